@@ -39,22 +39,22 @@ def ancestor_dirs(dirname="dirname") -> Column:
     ``./a/b/`` gives (./, a, 1) and (./a/, b, 2); ``./`` gives an empty array.
     """
     d = _c(dirname)
-    parts = F.split(F.substring(d, 3, 1 << 30), "/")
-    n = F.size(parts) - 1          # trailing '/' leaves an empty last element
+    parts = F.split(d, "/")            # ['.', 'a', 'b', '']
+    n = F.size(parts) - 2
     return F.when(n <= 0, F.array().cast("array<struct<parent:string,name:string,depth:int>>")).otherwise(
         F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(
-            F.concat(F.substring_index(d, "/", i), F.lit("/")).alias("parent"),
-            F.element_at(parts, i).alias("name"),
+            F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/")).alias("parent"),
+            F.element_at(parts, i + 1).alias("name"),
             i.alias("depth"))))
 
 
 def prefix_dirs(path) -> Column:
-    """All proper directory prefixes (ending in '/') of a relative path ``a/b/c``."""
+    """All directory prefixes (ending in '/') of a relative path: ``a/b/c`` gives a/, a/b/."""
     p = _c(path)
     parts = F.split(p, "/")
     n = F.size(parts) - 1
     return F.when(n <= 0, F.array().cast("array<string>")).otherwise(
-        F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.substring_index(p, "/", i), F.lit("/"))))
+        F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/"))))
 
 
 def breadcrumbs(path) -> Column:

@@ -329,3 +329,62 @@ def store_files(spark, sf) -> DataFrame:
     base = s.select("dirname", "filename", "created", version_name().alias("objname"))
     side = base.withColumn("objname", F.concat("objname", F.lit(".par2")))
     return base.unionByName(side)
+
+
+# ---------------------------------------------------------------------------------------
+# change log of a sync in which the blog hosts were moved under moved/ (J*, A5)
+# ---------------------------------------------------------------------------------------
+
+_sql("moves", """
+WITH p AS (SELECT inode AS page_id, substr(dirname, 3) || filename AS p, substr(dirname, 3) AS d,
+                  split_part(substr(dirname, 3), '/', 1) || '/' AS host_dir, filename
+           FROM page_paths),
+blog AS (SELECT * FROM p WHERE starts_with(p, 'blog.'))
+SELECT CAST(999999998 AS BIGINT) AS seq, 'new_dir' AS op, 'moved/' AS path
+UNION ALL SELECT CAST(999999999 AS BIGINT), 'new_dir', 'fresh/'
+UNION ALL SELECT 1000000000 + min(page_id) * 10 + 1, 'new_dir', 'moved/' || host_dir FROM blog GROUP BY host_dir
+UNION ALL SELECT 1000000000 + min(page_id) * 10 + 2, 'new_dir', 'moved/' || d FROM blog GROUP BY d
+UNION ALL SELECT 2000000000 + page_id * 10, 'new_file', 'moved/' || p FROM blog WHERE page_id % 10 <> 0
+UNION ALL SELECT 2000000000 + page_id * 10 + 1, 'new_file', 'fresh/' || filename FROM p
+          WHERE NOT starts_with(p, 'blog.') AND page_id % 7 = 0
+UNION ALL SELECT 3000000000 + page_id * 10, 'del_file', p FROM blog
+UNION ALL SELECT 4000000000 + min(page_id) * 10, 'del_dir', d FROM blog GROUP BY d
+UNION ALL SELECT 5000000000 + min(page_id) * 10, 'del_dir', host_dir FROM blog GROUP BY host_dir""",
+     ("page_paths",))
+
+
+def moves(spark, sf) -> DataFrame:
+    pp = page_paths(spark, sf).select(
+        F.col("inode").alias("page_id"),
+        F.concat(F.substring("dirname", 3, 1 << 30), "filename").alias("p"),
+        F.substring("dirname", 3, 1 << 30).alias("d"),
+        F.concat(F.substring_index(F.substring("dirname", 3, 1 << 30), "/", 1), F.lit("/")).alias("host_dir"),
+        "filename")
+    blog = pp.filter(F.col("p").startswith("blog."))
+    L = F.lit
+
+    def rows(df, seq, op, path):
+        return df.select(seq.cast("long").alias("seq"), L(op).alias("op"), path.alias("path"))
+
+    fixed = spark.range(1).select(L(999999998).cast("long").alias("seq"), L("new_dir").alias("op"),
+                                  L("moved/").alias("path")).unionByName(
+        spark.range(1).select(L(999999999).cast("long").alias("seq"), L("new_dir").alias("op"),
+                              L("fresh/").alias("path")))
+    hosts = blog.groupBy("host_dir").agg(F.min("page_id").alias("m"))
+    dirs = blog.groupBy("d").agg(F.min("page_id").alias("m"))
+    parts = [
+        fixed,
+        rows(hosts, L(1000000000) + F.col("m") * 10 + 1, "new_dir", F.concat(L("moved/"), "host_dir")),
+        rows(dirs, L(1000000000) + F.col("m") * 10 + 2, "new_dir", F.concat(L("moved/"), "d")),
+        rows(blog.filter(F.col("page_id") % 10 != 0), L(2000000000) + F.col("page_id") * 10, "new_file",
+             F.concat(L("moved/"), "p")),
+        rows(pp.filter(~F.col("p").startswith("blog.") & (F.col("page_id") % 7 == 0)),
+             L(2000000000) + F.col("page_id") * 10 + 1, "new_file", F.concat(L("fresh/"), "filename")),
+        rows(blog, L(3000000000) + F.col("page_id") * 10, "del_file", F.col("p")),
+        rows(dirs, L(4000000000) + F.col("m") * 10, "del_dir", F.col("d")),
+        rows(hosts, L(5000000000) + F.col("m") * 10, "del_dir", F.col("host_dir")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

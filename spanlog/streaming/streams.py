@@ -79,12 +79,15 @@ def history_stream(listings: DataFrame, spark: SparkSession, start: DataFrame, t
     state = {"last": -1}
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        h = spark.read.parquet(f"{base}/v={state['last']}")
+        src = f"{base}/v={state['last']}"
         times = [r[0] for r in df.select(t).distinct().orderBy(t).collect()]
-        for tt in times:
+        for i, tt in enumerate(times):
             inv = df.filter(F.col(t) == F.lit(tt)).drop(t)
-            h = apply_snapshot(h, inv, tt).history
-        h.write.mode("overwrite").parquet(f"{base}/v={batch_id}")
+            h2 = apply_snapshot(spark.read.parquet(src), inv, tt).history
+            # every step is written and read back: the plan of the next step stays flat
+            dst = f"{base}/v={batch_id}" if i == len(times) - 1 else f"{base}/step={batch_id}-{i}"
+            h2.write.mode("overwrite").parquet(dst)
+            src = dst
         state["last"] = batch_id
 
     _run(listings.writeStream.foreachBatch(sink), "history", spark)

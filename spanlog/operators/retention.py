@@ -10,7 +10,6 @@ from ..functions.times import epoch
 from ..model import fmt_time, ts
 from ..plans.ordered import global_exclusive_cumsum
 
-SCORE_ORDER = [F.desc("age"), "dirname", "filename", "created", "row_id"]
 MB = 1024 * 1024
 
 

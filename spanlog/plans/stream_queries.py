@@ -106,3 +106,11 @@ def q_interval_stream(spark, sf):
         F.col("event_type").alias("filename"), F.col("event_id").alias("inode"),
         F.date_trunc("second", "ts").alias("created"))
     return St.interval_stream(ch, spark)
+
+
+@register("debounce_stream", _debounce_sql(GAP, MAX) + """
+HAVING max(a) < (SELECT max(epoch_us(ts)) FROM events)""")
+def q_debounce_stream(spark, sf):
+    """L1 on a file stream: batches emitted while the stream runs (the last pending ones are not)."""
+    src = St.event_stream(spark, St.split_events(spark, sf))
+    return St.debounce_stream(src, spark, "user_id", "ts", GAP, MAX)

@@ -129,3 +129,64 @@ def interval_stream(changes: DataFrame, spark: SparkSession) -> DataFrame:
     _run(s.writeStream.outputMode("append").foreachBatch(sink), "intervals", spark)
     return spark.read.parquet(out).drop("batch")
 
+
+
+DEBOUNCE_OUT = "key long, batch_start timestamp, fire_at timestamp, n_events long"
+DEBOUNCE_STATE = "t0 long, fire long, n long"
+
+
+def _debounce_state(gap_us: int, thr_us: int):
+    def fn(key, pdfs: Iterator[pd.DataFrame], state):
+        out = []
+        cur = list(state.get) if state.exists else None
+        if state.hasTimedOut:
+            out.append(cur)
+            cur = None
+        else:
+            rows = pd.concat(list(pdfs)).sort_values(["t", "tie"])
+            for t in rows["t"].tolist():
+                if cur is not None and t >= cur[1]:
+                    out.append(cur)
+                    cur = None
+                if cur is None:
+                    cur = [t, t + gap_us, 1]
+                else:
+                    if t - cur[0] < thr_us:
+                        cur[1] = t + gap_us
+                    cur[2] += 1
+        if cur is None:
+            state.remove()
+        else:
+            state.update(tuple(cur))
+            # fires once the watermark (an event at or after the fire time) has passed it
+            state.setTimeoutTimestamp(-(-cur[1] // 1000))
+        if out:
+            k = int(key[0])
+            yield pd.DataFrame({"key": [k] * len(out),
+                                "batch_start": pd.to_datetime([o[0] for o in out], unit="us"),
+                                "fire_at": pd.to_datetime([o[1] for o in out], unit="us"),
+                                "n_events": [int(o[2]) for o in out]})
+    return fn
+
+
+def debounce_stream(stream: DataFrame, spark: SparkSession, key: str, ts: str, gap_s: int, max_s: int,
+                    tie: str = "event_id") -> DataFrame:
+    """L1/L2 on a stream: per-key state (batch start, fire time, size) with event-time timeouts.
+
+    A batch is emitted when a later event of its key arrives at or after its fire
+    time, or when the watermark passes the fire time; a batch still pending when
+    the input ends is not emitted (as the reference loses it).  Input must be in
+    time order per key (watermark delay 0; later rows would be dropped as late).
+    """
+    out = scratch_path(spark, "debounce")
+    x = stream.select(F.col(key).cast("long").alias("key"), F.col(ts).alias("ts"),
+                      F.unix_micros(F.col(ts)).alias("t"), F.col(tie).cast("long").alias("tie"))
+    s = (x.withWatermark("ts", "0 seconds").groupBy("key")
+         .applyInPandasWithState(_debounce_state(gap_s * 1_000_000, (max_s - gap_s) * 1_000_000),
+                                 DEBOUNCE_OUT, DEBOUNCE_STATE, "append", GroupStateTimeout.EventTimeTimeout))
+
+    def sink(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    _run(s.writeStream.outputMode("append").foreachBatch(sink), "debounce", spark)
+    return spark.read.parquet(out).drop("batch")

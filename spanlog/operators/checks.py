@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.classes import freq_class
 from ..model import KEY, history_columns, is_open
 from ..plans.ordered import keyed_scan
+from ..session import reliable_checkpoint
 
 VKEY = KEY + ["created", "deleted"]
 
@@ -104,9 +105,9 @@ def check_overlaps(h: DataFrame) -> DataFrame:
     return j.filter(F.col("next_created").isNotNull()).drop("_n1", "_n2")
 
 
-def repair_overlaps(h: DataFrame) -> DataFrame:
+def repair_overlaps(h: DataFrame, overlaps: DataFrame | None = None) -> DataFrame:
     """Cut an overlapped version at the next start; class recomputed."""
-    o = check_overlaps(h).select("row_id", "next_created")
+    o = (overlaps if overlaps is not None else check_overlaps(h)).select("row_id", "next_created")
     j = h.join(o, "row_id", "left")
     j = j.withColumn("deleted", F.coalesce("next_created", "deleted"))
     j = j.withColumn("freq", F.when(F.col("next_created").isNotNull(), freq_class("created", "deleted"))
@@ -155,14 +156,18 @@ def repair_all(h: DataFrame, live: DataFrame, store: DataFrame) -> dict[str, Dat
     old2current -> order -> db2current -> db2old -> dups_created -> overlaps -> old2db,
     then the report-only checks current2db, current2old and dups_open.
     """
-    live2 = repair_old2current(store, live)
+    # every stage reads the previous one several times: stages are materialised in the
+    # shared folder so that plans stay flat (and a lost executor recomputes one stage only)
+    cp = reliable_checkpoint
+    live2 = cp(repair_old2current(store, live))
     order = check_order(h)
-    store2 = store.join(order.select(*VKEY), VKEY, "left_anti")
-    h1 = repair_db2current(h, live2)
-    h2 = repair_db2old(h1, store2)
-    h3 = repair_dups_created(h2)
-    cut = check_overlaps(h3).select(*KEY, "created", "deleted", "next_created")
-    h4 = repair_overlaps(h3)
+    store2 = cp(store.join(order.select(*VKEY), VKEY, "left_anti"))
+    h1 = cp(repair_db2current(h, live2))
+    h2 = cp(repair_db2old(h1, store2))
+    h3 = cp(repair_dups_created(h2))
+    ov = cp(check_overlaps(h3))
+    cut = ov.select(*KEY, "created", "deleted", "next_created")
+    h4 = repair_overlaps(h3, ov)
     # the store object of a cut version is renamed to its new end
     st = store2.join(cut, VKEY, "left")
     store3 = st.withColumn("deleted", F.coalesce("next_created", "deleted")).drop("next_created")

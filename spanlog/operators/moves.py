@@ -63,11 +63,22 @@ def best_move(changes: DataFrame, min_matches: int = MIN_MATCHES, min_pct: int =
 
 
 def prune_nested(moves: DataFrame) -> DataFrame:
-    """Drop accepted directories lying below another accepted directory."""
-    anc = moves.select("new_dir", F.explode(prefix_dirs("new_dir")).alias("anc")).filter(
-        F.col("anc") != F.col("new_dir"))
-    covered = anc.join(moves.select(F.col("new_dir").alias("anc")), "anc", "left_semi").select("new_dir")
-    return moves.join(covered, "new_dir", "left_anti")
+    """Drop accepted directories lying below another accepted directory.
+
+    One pass over the accepted set: each directory is listed under itself and
+    under each proper ancestor; a directory is covered when one of its
+    ancestors is listed under itself too.
+    """
+    from pyspark.sql import Window
+    cols = moves.columns
+    anc = F.filter(prefix_dirs("new_dir"), lambda a: a != F.col("new_dir"))
+    entries = F.concat(F.array(F.struct(F.col("new_dir").alias("p"), F.lit(True).alias("own"))),
+                       F.transform(anc, lambda a: F.struct(a.alias("p"), F.lit(False).alias("own"))))
+    x = moves.select(*cols, F.explode(entries).alias("e"))
+    x = x.withColumn("_listed", F.max(F.col("e.own").cast("int")).over(Window.partitionBy("e.p")))
+    x = x.withColumn("_cov", (~F.col("e.own")) & (F.col("_listed") == 1))
+    g = x.groupBy(*cols).agg(F.max(F.col("_cov").cast("int")).alias("_c"))
+    return g.filter(F.col("_c") == 0).drop("_c")
 
 
 def copy_plan(moves: DataFrame) -> DataFrame:

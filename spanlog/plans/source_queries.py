@@ -10,7 +10,7 @@ from ..operators import moves as J
 from ..operators import protect as K
 from ..operators import reports as R
 from ..operators import tree as I
-from ..session import scratch_path
+from ..session import reliable_checkpoint, scratch_path
 from ..sources import files as S
 from ..sources import parsers as P
 from ..sources import render as W
@@ -20,6 +20,12 @@ from .registry import register
 
 # ---------------------------------------------------------------- J: moved directories
 
+
+def _moves(spark, sf):
+    """The change log is read many times by the detection; it is materialised once in the shared folder."""
+    return reliable_checkpoint(X.moves(spark, sf))
+
+
 MEMBERS_SQL = """
 f AS (SELECT seq AS file_seq, path AS file, op FROM moves WHERE op IN ('new_file', 'del_file') AND path NOT IN ('Thumbs.db')),
 fx AS (SELECT file, file_seq, op, array_to_string(list_slice(string_split(file, '/'), 1, i), '/') || '/' AS dir
@@ -48,7 +54,7 @@ WITH {MEMBERS_SQL}
 SELECT 'new' AS side, dir, dir_seq, rel FROM nm UNION ALL SELECT 'del', dir, dir_seq, rel FROM om""", ("moves",))
 def q_dir_members(spark, sf):
     """Files below each new and each deleted directory, relative to it."""
-    ch = X.moves(spark, sf)
+    ch = _moves(spark, sf)
     a = J.dir_members(ch, "new")[1].withColumn("side", F.lit("new"))
     b = J.dir_members(ch, "del")[1].withColumn("side", F.lit("del"))
     return a.unionByName(b)
@@ -57,13 +63,13 @@ def q_dir_members(spark, sf):
 @register("best_move", f"WITH {BEST_SQL} SELECT * FROM acc", ("moves",))
 def q_best_move(spark, sf):
     """J2."""
-    return J.best_move(X.moves(spark, sf)).withColumn("matches", F.col("matches").cast("long"))
+    return J.best_move(_moves(spark, sf)).withColumn("matches", F.col("matches").cast("long"))
 
 
 @register("prune_nested", f"WITH {BEST_SQL} SELECT * FROM pr", ("moves",))
 def q_prune_nested(spark, sf):
     """J3."""
-    return J.prune_nested(J.best_move(X.moves(spark, sf))).withColumn("matches", F.col("matches").cast("long"))
+    return J.prune_nested(J.best_move(_moves(spark, sf))).withColumn("matches", F.col("matches").cast("long"))
 
 
 @register("copy_plan", f"""
@@ -73,7 +79,7 @@ SELECT old_dir, new_dir, matches, CAST(floor(matches * 100.0 / n_files) AS BIGIN
 FROM pr""", ("moves",), headline=True)
 def q_copy_plan(spark, sf):
     """The move plan of the sync."""
-    return J.detect_moves(X.moves(spark, sf))
+    return J.detect_moves(_moves(spark, sf))
 
 
 # ---------------------------------------------------------------- K: protection audit

@@ -18,7 +18,10 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from ..functions.times import throttle_bucket
 from ..operators.history import apply_snapshot
 from ..session import scratch_path
+from ..sources.tables import read_history, write_history
 
+# buckets that are fixed-length event-time windows (UTC): their state can be evicted
+FIXED_GRAIN = {"hourly": "1 hour", "daily": "1 day"}
 EVENT_SCHEMA = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 
 
@@ -54,9 +57,13 @@ def throttle_stream(stream: DataFrame, grain: str, spark: SparkSession, source:
     and emits updates; updates are appended per batch and combined by ``min`` on read, which
     equals the batch result whatever the arrival order."""
     out = scratch_path(spark, "throttle")
-    agg = (stream.withWatermark(t, "1 day")
-           .groupBy(F.col(source).alias("source"), throttle_bucket(grain, t).alias("bucket"))
-           .agg(F.min(F.struct(F.col(t).alias("run_ts"), F.col(tie).alias("event_id"))).alias("r")))
+    keys = [F.col(source).alias("source"), throttle_bucket(grain, t).alias("bucket")]
+    if grain in FIXED_GRAIN:
+        # a fixed event-time window on the key lets the watermark evict finished buckets
+        keys.append(F.window(F.col(t), FIXED_GRAIN[grain]).alias("w"))
+    agg = (stream.withWatermark(t, "1 day").groupBy(*keys)
+           .agg(F.min(F.struct(F.col(t).alias("run_ts"), F.col(tie).alias("event_id"))).alias("r"))
+           .select("source", "bucket", "r"))
 
     def sink(df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
@@ -75,7 +82,7 @@ def history_stream(listings: DataFrame, spark: SparkSession, start: DataFrame, t
     batch is small) and writes the next version, which also cuts the lineage.
     """
     base = scratch_path(spark, "history")
-    start.write.mode("overwrite").parquet(f"{base}/v=-1")
+    write_history(start, f"{base}/v=-1", mode="overwrite")
     state = {"last": -1}
 
     def sink(df: DataFrame, batch_id: int) -> None:
@@ -83,15 +90,16 @@ def history_stream(listings: DataFrame, spark: SparkSession, start: DataFrame, t
         times = [r[0] for r in df.select(t).distinct().orderBy(t).collect()]
         for i, tt in enumerate(times):
             inv = df.filter(F.col(t) == F.lit(tt)).drop(t)
-            h2 = apply_snapshot(spark.read.parquet(src), inv, tt).history
-            # every step is written and read back: the plan of the next step stays flat
+            h2 = apply_snapshot(read_history(spark, src), inv, tt).history
+            # every step is written (open versions in their own partition) and read back:
+            # the plan of the next step stays flat and its diff reads only open versions
             dst = f"{base}/v={batch_id}" if i == len(times) - 1 else f"{base}/step={batch_id}-{i}"
-            h2.write.mode("overwrite").parquet(dst)
+            write_history(h2, dst, mode="overwrite")
             src = dst
         state["last"] = batch_id
 
     _run(listings.writeStream.foreachBatch(sink), "history", spark)
-    return spark.read.parquet(f"{base}/v={state['last']}")
+    return read_history(spark, f"{base}/v={state['last']}")
 
 
 INTERVAL_SCHEMA = "row_id long, inode long, type string, dirname string, filename string, created timestamp, deleted timestamp"

@@ -30,3 +30,16 @@ def test_no_cartesian_or_python_rows(spark):
         p = _plan(q(spark, SF_SMALL))
         assert "CartesianProduct" not in p, name
         assert "BatchEvalPython" not in p, name
+
+
+def test_history_table_prunes_open_partition_and_prefix(spark, tmp_path):
+    from spanlog.plans import fixtures as X
+    from spanlog.sources.tables import read_history, write_history
+    path = str(tmp_path / "h")
+    h = X.hist_events(spark, SF_SMALL)
+    write_history(h, path)
+    o = read_history(spark, path, open_only=True).filter("dirname LIKE './g1/%'")
+    p = _plan(o)
+    assert "PartitionFilters: [isnotnull(is_open" in p and "(is_open" in p and "StringStartsWith(dirname,./g1/)" in p
+    assert o.count() == h.filter("freq = 0 AND dirname LIKE './g1/%'").count()
+    assert read_history(spark, path).count() == h.count()

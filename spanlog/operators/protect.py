@@ -96,3 +96,12 @@ def sidecar_files(versions: DataFrame, limit: int = COPY_LIMIT) -> DataFrame:
     vol = big.select(F.concat("objname", F.lit(".vol000+01.par2")).alias("objname"),
                      (F.col("size") / 5).cast("long").alias("size"))
     return v.unionByName(bak).unionByName(par).unionByName(vol)
+
+
+def block_digests(contents: DataFrame, key: str = "doc_id", text: str = "text", block: int = 4096) -> DataFrame:
+    """K5 option: SHA-256 of every ``block``-character block of each whole content."""
+    n = F.greatest(F.ceil(F.length(F.col(text)) / block).cast("int"), F.lit(1))
+    x = contents.select(F.col(key), F.col(text), F.explode(F.sequence(F.lit(0), n - 1)).alias("block"))
+    part = F.expr(f"substring({text}, block * {block} + 1, {block})")
+    return x.select(F.col(key), F.col("block").cast("long").alias("block"), F.sha2(part, 256).alias("digest"),
+                    F.length(part).cast("long").alias("chars"))

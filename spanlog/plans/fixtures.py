@@ -8,7 +8,7 @@ tables; they never thin the input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model import OPEN_TEXT, open_ts, read_table, ts, with_freq
@@ -179,30 +179,39 @@ def _t(spark, sf, name) -> DataFrame:
     return read_table(spark, sf, name)
 
 
+def _next_within(df: DataFrame, keys: list[str], t: str, tie: str, col: str) -> DataFrame:
+    """Value of ``col`` on the next row of the same key in (t, tie) order, by a
+    range-partitioned scan in descending order (a hot key is split over tasks)."""
+    from .ordered import keyed_scan
+    d = df.withColumn("_nt", -F.unix_micros(F.col(t))).withColumn("_ni", -F.col(tie))
+    s = keyed_scan(d, keys, ["_nt", "_ni"], lag=[col])
+    return s.withColumnRenamed(f"lag_{col}", f"next_{col}").drop("_nt", "_ni")
+
+
 def hist_events(spark: SparkSession, sf: str) -> DataFrame:
-    e = _t(spark, sf, "events")
-    created = F.date_trunc("second", F.col("ts"))
-    w = Window.partitionBy("user_id", "event_type").orderBy("ts", "event_id")
+    e = _t(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
+    e = e.withColumn("created", F.date_trunc("second", F.col("ts")))
+    e = _next_within(e, ["user_id", "event_type"], "ts", "event_id", "created")
     h = e.select(
         F.col("event_id").alias("row_id"), F.col("event_id").alias("inode"), F.lit("f").alias("type"),
         F.concat(F.lit("./g"), (F.col("user_id") % 10).cast("string"), F.lit("/u"),
                  F.col("user_id").cast("string"), F.lit("/")).alias("dirname"),
         F.col("event_type").alias("filename"),
-        created.alias("created"),
-        F.coalesce(F.lead(created).over(w), open_ts()).alias("deleted"))
+        "created",
+        F.coalesce(F.col("next_created"), open_ts()).alias("deleted"))
     return with_freq(h)
 
 
 def hist_orders(spark: SparkSession, sf: str) -> DataFrame:
-    o = _t(spark, sf, "orders")
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    o = _next_within(o, ["o_custkey"], "o_orderdate", "o_orderkey", "o_orderdate")
     h = o.select(
         F.col("o_orderkey").alias("row_id"), F.col("o_orderkey").alias("inode"), F.lit("f").alias("type"),
         F.concat(F.lit("./p"), (F.col("o_custkey") % 20).cast("string"), F.lit("/c"),
                  F.col("o_custkey").cast("string"), F.lit("/")).alias("dirname"),
         F.lit("order").alias("filename"),
         F.col("o_orderdate").alias("created"),
-        F.coalesce(F.lead("o_orderdate").over(w), open_ts()).alias("deleted"))
+        F.coalesce(F.col("next_o_orderdate"), open_ts()).alias("deleted"))
     return with_freq(h)
 
 

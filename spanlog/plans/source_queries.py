@@ -378,3 +378,12 @@ FROM hist_events""", ("hist_events",))
 def q_write_delimited(spark, sf):
     """The history written as '|'-separated text to the shared folder and read back."""
     return S.write_delimited(X.hist_events(spark, sf), scratch_path(spark, "delimited"))
+
+
+@register("block_digests", """
+SELECT doc_id, CAST(b AS BIGINT) AS block, sha256(substr(text, b * 4096 + 1, 4096)) AS digest,
+       CAST(length(substr(text, b * 4096 + 1, 4096)) AS BIGINT) AS chars
+FROM documents, LATERAL (SELECT unnest(generate_series(0, greatest(CAST(ceil(length(text) / 4096) AS INTEGER), 1) - 1)) AS b)""")
+def q_block_digests(spark, sf):
+    """K5 option: per-block digests of the whole document texts."""
+    return K.block_digests(X._t(spark, sf, "documents"), block=4096)

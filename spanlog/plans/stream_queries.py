@@ -114,3 +114,16 @@ def q_debounce_stream(spark, sf):
     """L1 on a file stream: batches emitted while the stream runs (the last pending ones are not)."""
     src = St.event_stream(spark, St.split_events(spark, sf))
     return St.debounce_stream(src, spark, "user_id", "ts", GAP, MAX)
+
+
+@register("session_stream", f"""
+SELECT * FROM (
+SELECT k AS key, min(ts) AS session_start, max(ts) + INTERVAL {GAP} SECOND AS session_end, count(*) AS n_events
+FROM (SELECT *, sum(CASE WHEN p IS NULL OR ts - p >= INTERVAL {GAP} SECOND THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY k ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS s
+      FROM (SELECT user_id AS k, ts, event_id, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events))
+GROUP BY k, s) WHERE session_end <= (SELECT max(ts) FROM events)""")
+def q_session_stream(spark, sf):
+    """L3 on a file stream: 6 h sessions per user emitted as the watermark passes them."""
+    src = St.event_stream(spark, St.split_events(spark, sf))
+    return St.session_stream(src, spark, "user_id", "ts", GAP)

@@ -35,3 +35,9 @@ def read_history(spark: SparkSession, path: str, open_only: bool = False) -> Dat
     if open_only:
         h = h.filter(F.col("is_open") == 1)
     return h.drop("is_open")
+
+
+def write_snapshots(snaps: DataFrame, path: str, grain: str, mode: str = "errorifexists") -> None:
+    """Rolling snapshots (D7 output) as a table partitioned by grain and bucket."""
+    (snaps.withColumn("grain", F.lit(grain)).repartition("bucket")
+     .write.mode(mode).partitionBy("grain", "bucket").parquet(path))

@@ -198,3 +198,21 @@ def debounce_stream(stream: DataFrame, spark: SparkSession, key: str, ts: str, g
 
     _run(s.writeStream.outputMode("append").foreachBatch(sink), "debounce", spark)
     return spark.read.parquet(out).drop("batch")
+
+
+def session_stream(stream: DataFrame, spark: SparkSession, key: str, ts: str, gap_s: int) -> DataFrame:
+    """L3 on a stream: session windows per key in append mode; a session is emitted once
+    the watermark (delay 0, in-order input) has passed its end, so the sessions still open
+    at the end of the input are not emitted."""
+    out = scratch_path(spark, "sessions")
+    w = F.session_window(F.col(ts), f"{gap_s} seconds")
+    agg = (stream.withWatermark(ts, "0 seconds")
+           .groupBy(F.col(key).cast("long").alias("key"), w.alias("s"))
+           .agg(F.count(F.lit(1)).alias("n_events"))
+           .select("key", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "n_events"))
+
+    def sink(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    _run(agg.writeStream.outputMode("append").foreachBatch(sink), "sessions", spark)
+    return spark.read.parquet(out).drop("batch")

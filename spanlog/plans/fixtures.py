@@ -188,7 +188,32 @@ def _next_within(df: DataFrame, keys: list[str], t: str, tie: str, col: str) ->
     return s.withColumnRenamed(f"lag_{col}", f"next_{col}").drop("_nt", "_ni")
 
 
+_MATERIALISED: dict[tuple[str, str, str], str] = {}
+
+
+def _as_table(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
+    """A history view stands for a stored history table: it is written once per application
+    into the shared folder (partitioned by open/closed, sorted by key) and read back."""
+    from ..session import scratch_path
+    from ..sources.tables import read_history, write_history
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"), name)
+    path = _MATERIALISED.get(key)
+    if path is None:
+        path = scratch_path(spark, f"view-{name}")
+        write_history(build(), path)
+        _MATERIALISED[key] = path
+    return read_history(spark, path)
+
+
 def hist_events(spark: SparkSession, sf: str) -> DataFrame:
+    return _as_table(spark, sf, "hist_events", lambda: _hist_events(spark, sf))
+
+
+def hist_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return _as_table(spark, sf, "hist_orders", lambda: _hist_orders(spark, sf))
+
+
+def _hist_events(spark: SparkSession, sf: str) -> DataFrame:
     e = _t(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
     e = e.withColumn("created", F.date_trunc("second", F.col("ts")))
     e = _next_within(e, ["user_id", "event_type"], "ts", "event_id", "created")
@@ -202,7 +227,7 @@ def hist_events(spark: SparkSession, sf: str) -> DataFrame:
     return with_freq(h)
 
 
-def hist_orders(spark: SparkSession, sf: str) -> DataFrame:
+def _hist_orders(spark: SparkSession, sf: str) -> DataFrame:
     o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     o = _next_within(o, ["o_custkey"], "o_orderdate", "o_orderkey", "o_orderdate")
     h = o.select(

@@ -95,29 +95,33 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], *,
 
 
 def _carry(tails: DataFrame, lag, ffill, cumsum) -> DataFrame:
-    """State entering each partition; all inputs here have one row per partition."""
-    res = tails.select(_PID, F.col("fk").alias("_fk"))
-    if lag:
-        # previous non-empty partition's last row
-        w = Window.orderBy(_PID)
-        prev = tails.select(_PID, F.lag(F.struct(F.col("t.lk").alias("k"),
-                                                 *[F.col(f"t.lv_{c}").alias(f"v_{c}") for c in lag])).over(w)
-                            .alias("_cprev"))
-        res = res.join(prev, _PID)
-    if ffill or cumsum:
-        q = tails.select(F.col(_PID).alias("_q"), F.col("t.lk").alias("_lk"),
-                         *[F.col(f"t.lf_{c}").alias(f"_lf_{c}") for c in ffill],
-                         *[F.col(f"t.ls_{c}").alias(f"_ls_{c}") for c in cumsum])
-        j = res.select(_PID, "_fk").join(q, (q["_lk"] == F.col("_fk")) & (q["_q"] < F.col(_PID)), "left")
-        aggs = []
-        for c in ffill:
-            aggs.append(F.max_by(F.col(f"_lf_{c}.v"),
-                                 F.when(F.col(f"_lf_{c}").isNotNull() & (F.col(f"_lf_{c}.k") == F.col("_lk")),
-                                        F.col("_q"))).alias(f"_cf_{c}"))
-        for c in cumsum:
-            aggs.append(F.sum(F.col(f"_ls_{c}")).alias(f"_cs_{c}"))
-        res = res.join(j.groupBy(_PID).agg(*aggs), _PID)
-    return res
+    """State entering each partition, from the one-row-per-partition summary.
+
+    Partitions whose last key is k form a contiguous block (keys are sorted),
+    and only the block ending right before partition p can continue into p's
+    first key.  A running aggregate per block (window by last key, ordered by
+    partition id) and one lag over partition ids give the carry: linear in the
+    number of partitions, no join of the summary with itself.
+    """
+    t = tails.select(_PID, F.col("fk").alias("_fk"), F.col("t.lk").alias("_lk"),
+                     *[F.col(f"t.lv_{c}").alias(f"_lv_{c}") for c in lag],
+                     *[F.col(f"t.lf_{c}").alias(f"_lf_{c}") for c in ffill],
+                     *[F.col(f"t.ls_{c}").alias(f"_ls_{c}") for c in cumsum])
+    block = Window.partitionBy("_lk").orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for c in ffill:
+        own = F.when(F.col(f"_lf_{c}").isNotNull() & (F.col(f"_lf_{c}.k") == F.col("_lk")), F.col(f"_lf_{c}.v"))
+        t = t.withColumn(f"_bf_{c}", F.last(own, ignorenulls=True).over(block))
+    for c in cumsum:
+        t = t.withColumn(f"_bs_{c}", F.sum(F.col(f"_ls_{c}")).over(block))
+    prev = F.lag(F.struct(F.col("_lk").alias("k"),
+                          *[F.col(f"_lv_{c}").alias(f"v_{c}") for c in lag],
+                          *[F.col(f"_bf_{c}").alias(f"f_{c}") for c in ffill],
+                          *[F.col(f"_bs_{c}").alias(f"s_{c}") for c in cumsum])).over(Window.orderBy(_PID))
+    t = t.withColumn("_cprev", prev)
+    same = F.col("_cprev.k") == F.col("_fk")
+    return t.select(_PID, "_fk", "_cprev",
+                    *[F.when(same, F.col(f"_cprev.f_{c}")).alias(f"_cf_{c}") for c in ffill],
+                    *[F.when(same, F.col(f"_cprev.s_{c}")).alias(f"_cs_{c}") for c in cumsum])
 
 
 def global_exclusive_cumsum(df: DataFrame, order: list[str], col: str, out: str,

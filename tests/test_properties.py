@@ -231,3 +231,19 @@ def test_budget_frees_enough_and_is_minimal(spark):
     freed = sum(r.size for r in v)
     assert freed >= need
     assert freed - max(r.size for r in v if r.freed_before == max(x.freed_before for x in v)) < need
+
+
+def test_keyed_scan_key_spanning_many_partitions(spark):
+    rnd = random.Random(11)
+    rows = [(0 if rnd.random() < 0.7 else rnd.randrange(1, 5), i,
+             rnd.randrange(100) if rnd.random() < 0.02 else None) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k long, t long, v long")
+    s = keyed_scan(df, ["k"], ["t"], lag=["v"], ffill=["v"], cumsum=["t"], partitions=41)
+    w = Window.partitionBy("k").orderBy("t")
+    ref = df.select("k", "t", F.lag("v").over(w).alias("r_lag"),
+                    F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("r_ff"),
+                    F.sum("t").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("r_cs"))
+    j = s.join(ref, ["k", "t"])
+    bad = j.filter(~F.col("lag_v").eqNullSafe(F.col("r_lag")) | ~F.col("ffill_v").eqNullSafe(F.col("r_ff"))
+                   | (F.col("cumsum_t") != F.col("r_cs")))
+    assert j.count() == 4000 and bad.count() == 0

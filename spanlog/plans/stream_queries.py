@@ -127,3 +127,11 @@ def q_session_stream(spark, sf):
     """L3 on a file stream: 6 h sessions per user emitted as the watermark passes them."""
     src = St.event_stream(spark, St.split_events(spark, sf))
     return St.session_stream(src, spark, "user_id", "ts", GAP)
+
+
+@register("debounce_as_written_stream", _debounce_sql(GAP, GAP) + """
+HAVING max(a) < (SELECT max(epoch_us(ts)) FROM events)""")
+def q_debounce_as_written_stream(spark, sf):
+    """L2 on a file stream: fixed 6 h windows from the first event, emitted as the watermark passes."""
+    src = St.event_stream(spark, St.split_events(spark, sf))
+    return St.debounce_stream(src, spark, "user_id", "ts", GAP, GAP)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.classes import freq_class
 from ..functions.paths import ancestor_dirs, breadcrumbs, normalize_path, prefix_dirs, root_of
 from ..model import KEY, ROW4, history_columns, is_open, open_ts
+from ..session import reliable_checkpoint
 
 
 def rollup_ancestors(h: DataFrame) -> DataFrame:
@@ -80,7 +81,8 @@ def normalize_paths(df: DataFrame, path_col: str = "path") -> DataFrame:
 def rebuild_history(store: DataFrame, live_dirs: DataFrame) -> DataFrame:
     """A10: history re-created from store objects: files, their ancestor directories, live dir ids."""
     files = store.select(F.xxhash64(*KEY, "created", "inode").alias("row_id"), *ROW4, "created", "deleted")
-    files = files.withColumn("freq", freq_class("created", "deleted"))
+    # the parsed store is read three times below: it is materialised once in the shared folder
+    files = reliable_checkpoint(files.withColumn("freq", freq_class("created", "deleted")))
     dirs = rollup_ancestors(files)
     dirs = dirs.select(F.xxhash64(*KEY).alias("row_id"), *dirs.columns).withColumn(
         "freq", freq_class("created", "deleted"))

@@ -247,3 +247,14 @@ def test_keyed_scan_key_spanning_many_partitions(spark):
     bad = j.filter(~F.col("lag_v").eqNullSafe(F.col("r_lag")) | ~F.col("ffill_v").eqNullSafe(F.col("r_ff"))
                    | (F.col("cumsum_t") != F.col("r_cs")))
     assert j.count() == 4000 and bad.count() == 0
+
+
+def test_hot_key_is_split_evenly(spark):
+    from spanlog.plans.ordered import _ranged
+    rnd = random.Random(5)
+    rows = [(0 if rnd.random() < 0.6 else rnd.randrange(1, 100), i) for i in range(20000)]
+    df = spark.createDataFrame(rows, "k long, t long")
+    r = _ranged(df, ["k"], ["t"], 8)
+    sizes = [row["count"] for row in r.groupBy("_pid").count().collect()]
+    assert len(sizes) == 8
+    assert max(sizes) < 2 * (20000 / 8), sizes

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import default_parallelism, reliable_checkpoint
+from ..session import reliable_checkpoint
 
 _PID = "_pid"
 
@@ -27,8 +27,12 @@ def _cols(xs):
 
 
 def _ranged(df: DataFrame, keys: list[str], order: list[str], partitions: int | None):
-    n = partitions or default_parallelism(df.sparkSession)
-    r = df.repartitionByRange(n, *_cols(keys + order))
+    # Without an explicit count, AQE sizes the range partitions from the data (it only merges
+    # neighbouring ranges, so every partition stays one contiguous stretch of the order).
+    if partitions:
+        r = df.repartitionByRange(partitions, *_cols(keys + order))
+    else:
+        r = df.repartitionByRange(*_cols(keys + order))
     r = reliable_checkpoint(r)
     return r.withColumn(_PID, F.spark_partition_id())
 

@@ -17,14 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..model import HISTORY_SCHEMA, history_columns, is_open
-from ..session import default_parallelism
 
 
 def write_history(h: DataFrame, path: str, files: int | None = None, mode: str = "errorifexists") -> None:
-    n = files or default_parallelism(h.sparkSession)
     # 1/0 rather than a boolean: partition values are inferred back as integers
     out = history_columns(h).withColumn("is_open", is_open("deleted").cast("int"))
-    (out.repartitionByRange(n, "dirname", "filename", "created")
+    ranged = (out.repartitionByRange(files, "dirname", "filename", "created") if files
+              else out.repartitionByRange("dirname", "filename", "created"))  # AQE sizes the files
+    (ranged
      .sortWithinPartitions("dirname", "filename", "created")
      .write.mode(mode).partitionBy("is_open").parquet(path))
 

@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.ordered import keyed_scan
-from ..session import default_parallelism
 
 BATCH_SCHEMA = "key long, batch_start timestamp, fire_at timestamp, n_events long"
 RUN_SCHEMA = "key long, batch_start timestamp, fire_at timestamp, run_start timestamp, n_events long"
@@ -78,8 +77,9 @@ def debounce(df: DataFrame, key: str, ts: str, gap_s: int, max_s: int, tie: str
     loses it when its input ends).
     """
     s = sessions(df, key, ts, gap_s, tie)
-    n = partitions or default_parallelism(df.sparkSession)
-    s = s.repartition(n, "key", "session").sortWithinPartitions("key", "session", "t", "tie")
+    # AQE sizes the partitions unless a count is given (fewer Python workers on small data)
+    s = s.repartition(partitions, "key", "session") if partitions else s.repartition("key", "session")
+    s = s.sortWithinPartitions("key", "session", "t", "tie")
     out = s.mapInPandas(_fold(gap_s * 1_000_000, (max_s - gap_s) * 1_000_000), BATCH_SCHEMA)
     return out
 
@@ -157,8 +157,8 @@ def busy_coalesce(df: DataFrame, key: str, ts: str, gap_s: int, max_s: int, run_
     """
     x = df.select(F.col(key).cast("long").alias("key"), F.unix_micros(F.col(ts)).alias("t"),
                   F.col(tie).cast("long").alias("tie"))
-    n = partitions or default_parallelism(df.sparkSession)
-    x = x.repartition(n, "key").sortWithinPartitions("key", "t", "tie")
+    x = x.repartition(partitions, "key") if partitions else x.repartition("key")
+    x = x.sortWithinPartitions("key", "t", "tie")
     return x.mapInPandas(_fold_busy(gap_s * 1_000_000, (max_s - gap_s) * 1_000_000, run_s * 1_000_000), RUN_SCHEMA)
 
 

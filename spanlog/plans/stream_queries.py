@@ -12,7 +12,7 @@ from . import fixtures as X
 from .fixtures import OPEN_SQL, freq_sql
 from .registry import register
 
-GAP, MAX, RUN = 6 * 3600, 24 * 3600, 2 * 3600
+GAP, MAX, RUN = 6 * 3600, 24 * 3600, 10 * 3600
 
 
 def _debounce_sql(gap_s: int, max_s: int) -> str:
@@ -56,9 +56,40 @@ def q_session_windows(spark, sf):
     return L.session_windows(read_table(spark, sf, "events"), "user_id", "ts", GAP)
 
 
-@register("busy_coalesce")
+def _busy_sql(gap_s: int, max_s: int, run_s: int) -> str:
+    g, th, rn_ = gap_s * 1000000, (max_s - gap_s) * 1000000, run_s * 1000000
+    ge = (f"CASE WHEN w.busy IS NOT NULL AND w.fire < w.busy "
+          f"THEN w.fire + CAST(ceil((w.busy - w.fire) / {g}) AS BIGINT) * {g} ELSE w.fire END")
+    return f"""
+WITH RECURSIVE ev AS (
+  SELECT user_id AS k, epoch_us(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn,
+         count(*) OVER (PARTITION BY user_id) AS cnt
+  FROM events),
+walk(k, rn, t0, fire, n, busy, e_t0, e_fire, e_n) AS (
+  SELECT k, rn, t, t + {g}, 1, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
+  FROM ev WHERE rn = 1
+  UNION ALL
+  SELECT k, rn,
+         CASE WHEN due THEN t ELSE t0 END,
+         CASE WHEN due THEN t + {g} WHEN t - t0 < {th} THEN t + {g} ELSE f_gt END,
+         CASE WHEN due THEN 1 ELSE n + 1 END,
+         CASE WHEN due THEN f_ge + {rn_} ELSE busy END,
+         CASE WHEN due THEN t0 END, CASE WHEN due THEN f_ge END, CASE WHEN due THEN n END
+  FROM (SELECT e.k, e.rn, e.t, w.t0, w.n, w.busy, {ge} AS f_ge,
+               CASE WHEN w.fire <= e.t THEN w.fire + ((e.t - w.fire) // {g} + 1) * {g} ELSE w.fire END AS f_gt,
+               ({ge}) <= e.t AS due
+        FROM walk w JOIN ev e ON e.k = w.k AND e.rn = w.rn + 1)),
+ends AS (
+  SELECT k, e_t0 AS t0, e_fire AS fire, e_n AS n FROM walk WHERE e_t0 IS NOT NULL
+  UNION ALL
+  SELECT w.k, w.t0, {ge}, w.n FROM walk w JOIN ev e ON e.k = w.k AND e.rn = w.rn WHERE e.rn = e.cnt)
+SELECT k AS key, make_timestamp(t0) AS batch_start, make_timestamp(fire) AS fire_at, make_timestamp(fire) AS run_start,
+       n AS n_events FROM ends"""
+
+
+@register("busy_coalesce", _busy_sql(GAP, MAX, RUN))
 def q_busy_coalesce(spark, sf):
-    """L4: debounce with runs of 2 h that delay batches falling due meanwhile (tested against a loop)."""
+    """L4: debounce with runs of 10 h that delay batches falling due meanwhile."""
     return L.busy_coalesce(read_table(spark, sf, "events"), "user_id", "ts", GAP, MAX, RUN)
 
 

@@ -99,20 +99,21 @@ def session_windows(df: DataFrame, key: str, ts: str, gap_s: int, tie: str = "ev
 
 def _fold_busy(gap_us: int, thr_us: int, run_us: int):
     def run(it):
-        key = None
+        unit = None             # (key, session) being folded
         t0 = fire = None
         n = 0
         busy = None
         for pdf in it:
             out = []
-            ks, ts = pdf["key"].to_numpy(), pdf["t"].to_numpy()
+            ks, ss, ts = pdf["key"].to_numpy(), pdf["session"].to_numpy(), pdf["t"].to_numpy()
             for i in range(len(ts)):
-                k, t = int(ks[i]), int(ts[i])
-                if key is not None and k != key:
+                u, t = (int(ks[i]), int(ss[i])), int(ts[i])
+                if unit is not None and u != unit:
                     if t0 is not None:
-                        out.append(_flush_busy(key, t0, fire, n, busy, gap_us))
-                    key, t0, fire, n, busy = None, None, None, 0, None
-                key = k
+                        out.append(_flush_busy(unit[0], t0, fire, n, busy, gap_us))
+                    t0, fire, n, busy = None, None, 0, None
+                unit = u
+                key = u[0]
                 # alarms falling due before this event
                 while t0 is not None and fire <= t:
                     if busy is not None and fire < busy:
@@ -129,8 +130,8 @@ def _fold_busy(gap_us: int, thr_us: int, run_us: int):
                     n += 1
             if out:
                 yield _runs(out)
-        if key is not None and t0 is not None:
-            yield _runs([_flush_busy(key, t0, fire, n, busy, gap_us)])
+        if unit is not None and t0 is not None:
+            yield _runs([_flush_busy(unit[0], t0, fire, n, busy, gap_us)])
     return run
 
 
@@ -152,14 +153,16 @@ def busy_coalesce(df: DataFrame, key: str, ts: str, gap_s: int, max_s: int, run_
     """L4: batches falling due while the previous run (``run_s`` long) is active wait,
     re-checking every ``gap``; events arriving meanwhile join the waiting batch.
 
-    The busy state crosses sessions, so keys are folded whole (hash-partitioned
-    by key, one streaming pass per partition; O(1) state).
+    A pending batch fires at most ``run + gap`` after its last event and its run
+    ends ``run`` later, so after a silence longer than ``2 * run + gap`` nothing
+    of the earlier state matters: keys are cut into sessions at such silences
+    (range-partitioned scans) and each session is folded on its own, in one
+    streaming pass per partition with constant state.
     """
-    x = df.select(F.col(key).cast("long").alias("key"), F.unix_micros(F.col(ts)).alias("t"),
-                  F.col(tie).cast("long").alias("tie"))
-    x = x.repartition(partitions, "key") if partitions else x.repartition("key")
-    x = x.sortWithinPartitions("key", "t", "tie")
-    return x.mapInPandas(_fold_busy(gap_s * 1_000_000, (max_s - gap_s) * 1_000_000, run_s * 1_000_000), RUN_SCHEMA)
+    s = sessions(df, key, ts, 2 * run_s + gap_s, tie)
+    s = s.repartition(partitions, "key", "session") if partitions else s.repartition("key", "session")
+    s = s.sortWithinPartitions("key", "session", "t", "tie")
+    return s.mapInPandas(_fold_busy(gap_s * 1_000_000, (max_s - gap_s) * 1_000_000, run_s * 1_000_000), RUN_SCHEMA)
 
 
 def debounce_loop(events: list[tuple[int, int]], gap_us: int, max_us: int) -> list[tuple[int, int, int, int]]:

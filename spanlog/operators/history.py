@@ -44,6 +44,18 @@ def diff_old(inv: DataFrame, h: DataFrame, scope: str | None = None) -> DataFram
         scope_prefix(inv, scope).select(*ROW4), ROW4, "left_anti")
 
 
+def diff(inv: DataFrame, h: DataFrame, scope: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """B1 and B2 together: one full outer join on the 4-column identity gives both the new
+    listing rows and the old open versions, so each input is shuffled once (two anti joins
+    would shuffle both inputs twice)."""
+    a = scope_prefix(inv, scope).select(*ROW4).withColumn("_in_listing", F.lit(True))
+    b = scope_prefix(open_versions(h), scope).withColumn("_in_history", F.lit(True))
+    j = a.join(b, ROW4, "full")
+    new = j.filter(F.col("_in_history").isNull()).select(*ROW4)
+    old = j.filter(F.col("_in_listing").isNull()).select(*h.columns)
+    return new, old
+
+
 def diff_classify(inv: DataFrame, h: DataFrame, scope: str | None = None) -> DataFrame:
     """Per path added / removed / replaced / unchanged (full outer join on the key)."""
     a = scope_prefix(inv, scope).select(*KEY, F.col("inode").alias("new_inode"), F.col("type").alias("new_type"))
@@ -112,8 +124,7 @@ def apply_snapshot(h: DataFrame, inv: DataFrame, t, scope: str | None = None,
 
     ``bad`` carries ``created = t`` and ``deleted`` open, like the rows it stands for.
     """
-    new = diff_new(inv, h, scope)
-    old = diff_old(inv, h, scope)
+    new, old = diff(inv, h, scope)
     closed = close_versions(h, old, t, max_freq)
     ins, bad = quarantine_conflicts(new, closed)
     h2 = insert_versions(closed, ins, t)

@@ -154,13 +154,13 @@ def changed_paths(new: DataFrame, old: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
-def series_to_history(snaps: DataFrame, times: DataFrame, max_freq: int = 8640,
-                      broadcast_limit: int = 1_000_000) -> DataFrame:
+def series_to_history(snaps: DataFrame, times: DataFrame, max_freq: int = 8640) -> DataFrame:
     """Many snapshots (t, inode, type, dirname, filename) to history in one job.
 
     Snapshot times are a separate input so that an empty snapshot still closes
-    versions.  They get a dense index (the list of snapshot times is small:
-    one row per snapshot; it is broadcast only after its size is checked).
+    versions.  They get a dense index (one row per snapshot, numbered in one
+    small task); the joins with that list are broadcast by AQE only when its
+    measured size at run time is below the broadcast threshold.
     A version present in consecutive snapshots is one interval
     (gaps-and-islands: index minus rank within the version); it ends at the
     first snapshot it is absent from, or stays open.
@@ -168,16 +168,13 @@ def series_to_history(snaps: DataFrame, times: DataFrame, max_freq: int = 8640,
     w = Window.orderBy("t")
     idx = times.select("t").distinct().withColumn("idx", F.row_number().over(w).cast("long"))
     idx = idx.withColumn("next_t", F.lead("t").over(w))
-    n = idx.count()
-    small = n <= broadcast_limit
-    tidx = F.broadcast(idx) if small else idx
-    s = snaps.join(tidx, "t")
+    s = snaps.join(idx, "t")
     # rank within the version by a range-partitioned running count (a key may be hot)
     s = keyed_scan(s.withColumn("_one", F.lit(1).cast("long")), ROW4, ["idx"], cumsum=["_one"])
     s = s.withColumn("_isl", F.col("idx") - F.col("cumsum__one"))
     g = s.groupBy(*ROW4, "_isl").agg(F.min("t").alias("created"), F.max("idx").alias("_last"))
     ends = idx.select(F.col("idx").alias("_last"), "next_t")
-    g = g.join(F.broadcast(ends) if small else ends, "_last")
+    g = g.join(ends, "_last")
     g = g.withColumn("deleted", F.coalesce(F.col("next_t"), open_ts()))
     out = g.select(row_id_of("dirname", "filename", "inode", "type", "created").alias("row_id"),
                    *ROW4, "created", "deleted")

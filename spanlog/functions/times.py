@@ -11,7 +11,6 @@ GRAIN_UNIT = {"month": "month", "week": "week", "day": "day", "hour": "hour",
 GRAIN_STEP = {"month": "INTERVAL 1 MONTH", "week": "INTERVAL 7 DAYS", "day": "INTERVAL 1 DAY",
               "hour": "INTERVAL 1 HOUR", "5min": "INTERVAL 5 MINUTES", "minute": "INTERVAL 1 MINUTE",
               "second": "INTERVAL 1 SECOND"}
-GRAIN_SECONDS = {"week": 604800, "day": 86400, "hour": 3600, "5min": 300, "minute": 60, "second": 1}
 BUCKET_FORMAT = {"month": "yyyy-MM", "day": "yyyy-MM-dd", "hour": "yyyy-MM-dd HH"}
 
 

@@ -19,9 +19,15 @@ from pyspark.sql import types as T
 from ..model import HISTORY_SCHEMA, history_columns, is_open
 
 
-def write_history(h: DataFrame, path: str, files: int | None = None, mode: str = "errorifexists") -> None:
+def write_history(h: DataFrame, path: str, files: int | None = None, mode: str = "errorifexists",
+                  sorted_layout: bool = True) -> None:
+    """Write a history table; ``sorted_layout=False`` keeps only the open/closed partitioning
+    (for short-lived intermediate versions: no range sampling, no sort)."""
     # 1/0 rather than a boolean: partition values are inferred back as integers
     out = history_columns(h).withColumn("is_open", is_open("deleted").cast("int"))
+    if not sorted_layout:
+        out.write.mode(mode).partitionBy("is_open").parquet(path)
+        return
     ranged = (out.repartitionByRange(files, "dirname", "filename", "created") if files
               else out.repartitionByRange("dirname", "filename", "created"))  # AQE sizes the files
     (ranged

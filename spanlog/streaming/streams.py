@@ -93,8 +93,9 @@ def history_stream(listings: DataFrame, spark: SparkSession, start: DataFrame, t
             h2 = apply_snapshot(read_history(spark, src), inv, tt).history
             # every step is written (open versions in their own partition) and read back:
             # the plan of the next step stays flat and its diff reads only open versions
-            dst = f"{base}/v={batch_id}" if i == len(times) - 1 else f"{base}/step={batch_id}-{i}"
-            write_history(h2, dst, mode="overwrite")
+            last = i == len(times) - 1
+            dst = f"{base}/v={batch_id}" if last else f"{base}/step={batch_id}-{i}"
+            write_history(h2, dst, mode="overwrite", sorted_layout=last)
             src = dst
         state["last"] = batch_id
 

@@ -46,9 +46,18 @@ def event_stream(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _run(query_writer, name: str, spark: SparkSession) -> None:
-    q = query_writer.option("checkpointLocation", scratch_path(spark, f"ckpt-{name}")) \
-        .trigger(availableNow=True).start()
-    q.awaitTermination()
+    """Run a stream to the end of its input.  A stateful stream fixes its number of state
+    partitions when it starts; it is sized to the cluster's cores (at most twice them) rather
+    than to a batch setting made for large shuffles, and the setting is restored afterwards."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(old), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        q = query_writer.option("checkpointLocation", scratch_path(spark, f"ckpt-{name}")) \
+            .trigger(availableNow=True).start()
+        q.awaitTermination()
+    finally:
+        spark.conf.set(key, old)
 
 
 def throttle_stream(stream: DataFrame, grain: str, spark: SparkSession, source: str = "source",

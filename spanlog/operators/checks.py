@@ -79,13 +79,13 @@ def check_overlaps(h: DataFrame) -> DataFrame:
     """H7: versions overlapped by a later-starting version of the same path.
 
     Returns each such version with ``next_created`` = the smallest overlapping
-    start.  For well-formed later versions (deleted > created) that is just the
-    next larger start on the path, found by a range-partitioned scan in
-    descending time (no pairwise comparison).  Ill-formed versions
-    (deleted <= created, the rare H8 faults) are matched by an equi-join on the
-    path with the interval conditions.
+    start.  For later versions with deleted >= created (zero-length ones
+    included, which event histories have many of) that is just the next larger
+    start on the path, found by a range-partitioned scan in descending time (no
+    pairwise comparison).  Only inverted versions (deleted < created, H8
+    faults) are matched by an equi-join on the path with the interval conditions.
     """
-    good = F.col("deleted") > F.col("created")
+    good = F.col("deleted") >= F.col("created")
     a = h.select("row_id", *KEY, "created", "deleted")
     # well-formed starts, merged with the rows asking; rows ask before starts at equal time
     ask = a.select(*KEY, (-F.unix_micros("created")).alias("_neg"), F.lit(0).alias("_side"),

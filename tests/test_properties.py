@@ -258,3 +258,28 @@ def test_hot_key_is_split_evenly(spark):
     sizes = [row["count"] for row in r.groupBy("_pid").count().collect()]
     assert len(sizes) == 8
     assert max(sizes) < 2 * (20000 / 8), sizes
+
+
+def test_overlaps_match_brute_force(spark):
+    rnd = random.Random(9)
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(600):
+        c = base + dt.timedelta(minutes=rnd.randrange(0, 500))
+        kind = rnd.random()
+        if kind < 0.2:
+            d = c                                            # zero-length
+        elif kind < 0.3:
+            d = c - dt.timedelta(minutes=rnd.randrange(1, 30))  # inverted
+        else:
+            d = c + dt.timedelta(minutes=rnd.randrange(1, 60))
+        rows.append((i, i, "f", "./", f"p{rnd.randrange(3)}", str(c), str(d)))
+    h = hist_rows(spark, rows)
+    got = {r.row_id: r.next_created for r in H.check_overlaps(h).collect()}
+    want = {}
+    parsed = [(r[0], r[4], dt.datetime.fromisoformat(r[5]), dt.datetime.fromisoformat(r[6])) for r in rows]
+    for a in parsed:
+        cands = [b[2] for b in parsed if b[1] == a[1] and a[2] < b[2] and a[2] < b[3] and b[2] < a[3]]
+        if cands:
+            want[a[0]] = min(cands)
+    assert got == want

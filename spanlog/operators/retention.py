@@ -47,17 +47,23 @@ def retention_fifo(h: DataFrame) -> DataFrame:
     return h.filter(F.col("freq") != 0).orderBy("deleted", "dirname", "filename", "created", "row_id")
 
 
-def retention_budget(scored: DataFrame, shortfall, size: str = "size") -> DataFrame:
-    """take candidates in score order while the bytes freed before them are below the shortfall.
+def retention_budget(scored: DataFrame, shortfall, size: str = "size", order: str = "score") -> DataFrame:
+    """take candidates in order while the bytes freed before them are below the shortfall.
 
+    ``order='score'``: largest ``age`` first (F1); ``order='fifo'``: oldest end first (F3).
     Directory rows weigh nothing but are removed too.  The running sum is a
     global prefix sum done over range partitions (no single-task window).
     """
     s = scored.withColumn("_w", F.when(F.col("type") == "d", F.lit(0)).otherwise(F.col(size)).cast("long"))
-    s = s.withColumn("_neg_age", -F.col("age"))
-    c = global_exclusive_cumsum(s, ["_neg_age", "dirname", "filename", "created", "row_id"], "_w", "freed_before")
+    if order == "score":
+        s = s.withColumn("_order", -F.col("age"))
+    elif order == "fifo":
+        s = s.withColumn("_order", F.unix_micros("deleted"))
+    else:
+        raise ValueError(order)
+    c = global_exclusive_cumsum(s, ["_order", "dirname", "filename", "created", "row_id"], "_w", "freed_before")
     need = shortfall if isinstance(shortfall, Column) else F.lit(shortfall)
-    return c.filter(F.col("freed_before") < need).drop("_w", "_neg_age")
+    return c.filter(F.col("freed_before") < need).drop("_w", "_order")
 
 
 def space_target(usage: DataFrame, value: int, unit: str = "%") -> DataFrame:

@@ -47,8 +47,13 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], *,
     """Add ``lag_<c>``, ``ffill_<c>`` (last non-null at or before the row) and
     ``cumsum_<c>`` (inclusive running sum) within each key in ``order``.
 
-    ``keys + order`` must be a total order of the rows.
+    ``keys + order`` must be a total order of the rows.  Column names starting with
+    ``_k``, ``_pid``, ``_first``, ``_lag_``, ``_ff_``, ``_cf_``, ``_krun_``, ``_cs_`` and ``_cprev``
+    are used internally.
     """
+    clash = {"_k", _PID, "_first", "_fk", "_cprev"} & set(df.columns)
+    if clash:
+        raise ValueError(f"reserved column names: {sorted(clash)}")
     r = _ranged(df, list(keys), list(order), partitions)
     w = Window.partitionBy(_PID).orderBy(*_cols(list(keys) + list(order)))
     wrun = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -69,6 +69,20 @@ def q_retention_budget(spark, sf):
     return Fr.retention_budget(cand, shortfall)
 
 
+@register("retention_budget_fifo", f"""
+WITH cand AS (SELECT {HC}, size FROM event_sizes WHERE freq <> 0),
+need AS (SELECT sum(size) // 10 AS shortfall FROM cand),
+run AS (SELECT cand.*, CAST(coalesce(sum(CASE WHEN type = 'd' THEN 0 ELSE size END) OVER (
+          ORDER BY deleted, dirname, filename, created, row_id
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS freed_before FROM cand)
+SELECT {HC}, size, freed_before FROM run, need WHERE freed_before < need.shortfall""", ("event_sizes",))
+def q_retention_budget_fifo(spark, sf):
+    """F3 + F4: oldest end first (class ignored, no hold), until a tenth of the closed bytes is free."""
+    cand = Fr.retention_fifo(X.event_sizes(spark, sf))
+    shortfall = (cand.agg(F.sum("size")).scalar() / 10).cast("long")
+    return Fr.retention_budget(cand, shortfall, order="fifo")
+
+
 @register("space_target", """
 WITH u AS (SELECT CAST(sum(size) // 1024 AS BIGINT) AS total_mb FROM doc_inv),
 v AS (SELECT total_mb, CAST(floor(total_mb * 0.05) AS BIGINT) AS free_mb FROM u)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import ann, secrets, simhash, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,52 @@ def query(fn):
     return fn
 
 
+@query
+def op3_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every vec_id divisible by 20."""
+    out = ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+    return out.select("query_id", "rank", "vec_id", "score")
+
+
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document, judged by corpus-wide ownership."""
+    base = ("assign", "access", "hex")
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[number(k) for k in base],
+                        F.sha2(secrets.spans_text(F.col("spans"), base).cast("binary"), 256).alias("base_sha256"),
+                        secrets.spans_text(F.col("spans")).alias("spans"),
+                        F.size(F.filter("spans", lambda s: s["verdict"] == "live")).cast("long").alias("n_live"),
+                        F.size(F.filter("spans", lambda s: s["verdict"] == "example")).cast("long").alias("n_example"))
+
+
+@query
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest integer inner products for every vec_id divisible by 20."""
+    out = topk.top(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+    return out.select("query_id", "rank", "vec_id", "score")
+
+
+ORACLE["op7_exact_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.x, v.x), p -> p[1] * p[2])) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.vec_id % 20 = 0 AND q.vec_id <> v.vec_id AND len(q.x) = len(v.x)),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicate classes of all documents."""

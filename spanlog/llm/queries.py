@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, secrets, simhash, topk
-from .common import table
+from . import ann, langid, secrets, simhash, topk
+from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -19,6 +19,14 @@ def query(fn):
     return fn
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by models learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out().alias("held_out"))
+    out = langid.identify(docs, ~F.col("held_out"), keep=("doc_id", "held_out"))
+    return out.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 @query
 def op3_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors found for every vec_id divisible by 20."""

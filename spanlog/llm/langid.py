@@ -9,7 +9,8 @@ one column of log-probabilities per language, and one sorted array of context ha
 
 A text gets its length-normalised cross-entropy under every language; the lowest wins. Calibration uses all training
 rows: a temperature (best log-loss on a grid) turns cross-entropies into the score, and a text is rejected if it has no
-letter or if its cross-entropy lies over ``reject_sds`` deviations above the mean of its language and length class.
+letter, or if it has ``reject_chars`` characters or more and its cross-entropy lies over ``reject_sds`` deviations above the
+mean of its language and length class and also nearer to that of random letters than to that mean.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from .common import stored, text_slices
 ORDER = 4
 MAX_GRAMS = 200_000
 REJECT_SDS = 8.0
+REJECT_CHARS = 20
 TEMPERATURES = (0.5, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)
 UNKNOWN = "und"
 _SPACE, _END = 32, 1
@@ -258,26 +260,28 @@ def calibrate(scored: DataFrame, model: Model | None, true_col: str) -> tuple[fl
                          .agg(F.avg(true).alias("mean"), F.stddev(true).alias("sd"), F.count("*").alias("n")).collect())
 
 
-def judge(scored: DataFrame, model: Model | None, temperature: float, classes: list, reject_sds: float = REJECT_SDS) -> DataFrame:
+def judge(scored: DataFrame, model: Model | None, temperature: float, classes: list, reject_sds: float = REJECT_SDS,
+          reject_chars: int = REJECT_CHARS) -> DataFrame:
     """Adds ``lang_pred``, ``score`` and ``rejected`` to scored rows and drops the working columns."""
     out = scored.withColumn("lang_pred", _best(model)).withColumn(
         "score", F.when(F.col("_h").isNull(), F.lit(0.0)).otherwise(_posterior(F.array_min("_h"), temperature)))
     limits: dict[str, list[tuple[int, float]]] = {}
     for c in sorted(classes, key=lambda c: (c["lang"], c["size"])):
         if c["n"] >= 30 and c["sd"] is not None:  # too few rows give no deviation; nothing is rejected by them
-            limits.setdefault(c["lang"], []).append((int(c["size"]), c["mean"] + reject_sds * c["sd"]))
+            limits.setdefault(c["lang"], []).append(
+                (int(c["size"]), max(c["mean"] + reject_sds * c["sd"], (c["mean"] + float(np.log(model.alphabet))) / 2)))
     limit = F.lit(None).cast("double")
     for lang, steps in limits.items():
         own = F.lit(steps[-1][1])
         for size, high in reversed(steps[:-1]):
             own = F.when(F.floor(F.log2("_n")) <= size, F.lit(high)).otherwise(own)
         limit = F.when(F.col("lang_pred") == lang, own).otherwise(limit)
-    far = F.coalesce(F.array_min("_h") > limit, F.lit(False))
+    far = F.coalesce((F.array_min("_h") > limit) & (F.col("_n") >= reject_chars), F.lit(False))
     return out.withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | far).drop("_h", "_n")
 
 
 def identify(df: DataFrame, learn: Column, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", lang_col: str = "lang",
-             max_grams: int = MAX_GRAMS, reject_sds: float = REJECT_SDS) -> DataFrame:
+             max_grams: int = MAX_GRAMS, reject_sds: float = REJECT_SDS, reject_chars: int = REJECT_CHARS) -> DataFrame:
     """The columns ``keep`` of every row with ``lang_pred``, ``score`` (0 to 1) and ``rejected``.
 
     ``learn`` is the condition of the rows to learn from; languages are the non-null values of ``lang_col`` among them and are
@@ -290,4 +294,4 @@ def identify(df: DataFrame, learn: Column, keep: tuple[str, ...] = ("doc_id",),
     marked = df.select("*", F.coalesce(learn, F.lit(False)).alias("_learn"), F.col(lang_col).cast("string").alias("_true"))
     scored = stored(entropies(marked, model, (*keep, "_learn", "_true"), text_col), "langid-scores")
     temperature, classes = calibrate(scored.where("_learn"), model, "_true")
-    return judge(scored, model, temperature, classes, reject_sds).drop("_learn", "_true")
+    return judge(scored, model, temperature, classes, reject_sds, reject_chars).drop("_learn", "_true")

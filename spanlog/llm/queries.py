@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, secrets, simhash, topk
+from . import ann, langid, mixing, secrets, simhash, topk
 from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,13 +59,13 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["op7_exact_topk"] = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
 s AS (
   SELECT q.vec_id AS query_id, v.vec_id,
-         CAST(list_sum(list_transform(list_zip(q.x, v.x), p -> p[1] * p[2])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(list_zip(q.x, v.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
   FROM v AS q JOIN v ON q.vec_id % 20 = 0 AND q.vec_id <> v.vec_id AND len(q.x) = len(v.x)),
 r AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
@@ -73,6 +73,22 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 """
 
 
+@query
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents raked to tempered source, language and topic shares, with the sampling decision."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    docs = docs.withColumn("tokens", mixing.words(F.col("text")))
+    margins = {"source": F.col("source"), "language": F.col("lang"), "topic": mixing.length_class(F.col("tokens"))}
+    out = mixing.mix(docs, margins, F.col("tokens"))
+    return out.select("doc_id", F.col("mix_source").alias("source"), F.col("mix_language").alias("language"),
+                      F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("tokens"),
+                      F.round("mix_factor", 9).alias("factor"), F.round("mix_probability", 9).alias("probability"),
+                      F.col("mix_sampled").alias("sampled"))
+
+
+ORACLE["op8_mix_sources"] = mixing.oracle()
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicate classes of all documents."""

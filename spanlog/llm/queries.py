@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, mixing, secrets, simhash, topk
+from . import ann, langid, mixing, pieces, secrets, simhash, topk
 from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,17 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size(F.filter("spans", lambda s: s["verdict"] == "example")).cast("long").alias("n_example"))
 
 
+@query
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 3 best segmentations of every document, as digests, and whether the best decodes to the text."""
+    out = pieces.encode(table(spark, sf_dir, "documents"), n=3, digests=True)
+    best = F.get("pieces", F.lit(0))
+    return out.select("doc_id", best["n_pieces"].alias("n_pieces"), best["score"].alias("score"), best["sha256"].alias("ids_sha256"), "exact",
+                      F.size("pieces").alias("n_best"),
+                      F.array_join(F.transform("pieces", lambda p: p["score"].cast("string")), ",").alias("scores"),
+                      F.array_join(F.transform("pieces", lambda p: p["sha256"]), ",").alias("sha256s"))
+
+
 @query
 def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 highest integer inner products for every vec_id divisible by 20."""

@@ -207,10 +207,12 @@ def entropies(df: DataFrame, model: Model | None, keep: tuple[str, ...], text_co
     """The columns ``keep`` and ``_h`` (cross-entropy in nats per character under each language; null without a letter) and
     ``_n`` (characters predicted)."""
     spark = df.sparkSession
-    src = df.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("_text"))
-    schema = ", ".join(f"`{n}` {t}" for n, t in src.dtypes if n != "_text") + ", _h array<double>, _n long"
+    own = text_col in keep  # a kept text is sent to the workers once
+    src = df.select(*[F.col(c) for c in keep if not (own and c == text_col)], F.col(text_col).cast("string").alias("_text"))
+    names = [*src.columns[:-1], *[text_col] * own]
+    schema = ", ".join(f"`{n}` {src.schema['_text' if own and n == text_col else n].dataType.simpleString()}" for n in names) + ", _h array<double>, _n long"
     if model is None:
-        return src.drop("_text").withColumn("_h", F.lit(None).cast("array<double>")).withColumn("_n", F.lit(0).cast("long"))
+        return df.select(*names).withColumn("_h", F.lit(None).cast("array<double>")).withColumn("_n", F.lit(0).cast("long"))
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,8 +232,8 @@ def entropies(df: DataFrame, model: Model | None, keep: tuple[str, ...], text_co
                 n = np.bincount(doc, minlength=rows)
                 h = -sums / n[:, None]
                 h_column = pa.array([v if ok else None for v, ok in zip(h.tolist(), n_letters > 0, strict=True)], pa.list_(pa.float64()))
-                arrays = [part.column(i) for i in range(part.num_columns - 1)] + [h_column, pa.array(n.astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(arrays, [*part.schema.names[:-1], "_h", "_n"])
+                arrays = [part.column(i) for i in range(len(names))] + [h_column, pa.array(n.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(arrays, [*names, "_h", "_n"])
     return src.mapInArrow(run, schema)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, mixing, pieces, secrets, simhash, topk
+from . import ann, langid, mixing, pieces, quality, secrets, simhash, topk
 from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,16 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+@query
+def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, by a model fitted on labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out().alias("held_out"))
+    labels = table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "quality")
+    model = quality.train(docs.where(~F.col("held_out")), labels)
+    out = quality.score(docs, model, keep=("doc_id", "held_out"))
+    return out.withColumn("predicted", quality.predicted(F.col("score")))
+
+
 @query
 def op3_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors found for every vec_id divisible by 20."""

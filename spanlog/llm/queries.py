@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, mixing, pieces, quality, secrets, simhash, topk
+from . import ann, extract, langid, mixing, pieces, quality, secrets, simhash, topk
 from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,13 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.array_join(F.transform("pieces", lambda p: p["sha256"]), ",").alias("sha256s"))
 
 
+@query
+def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    out = extract.extract(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_open")
+
+
 @query
 def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 highest integer inner products for every vec_id divisible by 20."""

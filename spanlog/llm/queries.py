@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, extract, langid, mixing, pieces, quality, secrets, simhash, topk
+from . import ann, extract, langid, mixing, pieces, quality, secrets, simhash, substrings, topk
 from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicate classes of all documents."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes covered by 100-byte strings that start earlier."""
+    out = substrings.deduplicate(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

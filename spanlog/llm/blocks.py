@@ -43,7 +43,7 @@ def distinct_rows(x: np.ndarray, ids: np.ndarray, keep: int) -> tuple[np.ndarray
                                   return_index=True, return_inverse=True)
     by = np.argsort(inverse, kind="stable")
     groups = np.split(ids[by], np.cumsum(np.bincount(inverse))[:-1])
-    return x[first], [g[:keep] for g in groups]
+    return x[first], [np.unique(g)[:keep] for g in groups]
 
 
 def best(scores: np.ndarray, rows: np.ndarray, groups: list[np.ndarray], own: int, k: int) -> tuple[list, list]:

@@ -22,10 +22,9 @@ from functools import lru_cache, reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
 from .common import stored, text_slices
 from .graph import connected_components
 
@@ -122,13 +121,16 @@ def bucket_edges(members: np.ndarray, path: tuple[int, ...], distance: int) -> l
     return edges
 
 
-def _keyed(fps: DataFrame, paths: list[tuple[int, ...]], first: int) -> DataFrame:
-    """One row per fingerprint and path; the key is the path's number and the fingerprint's bits on it."""
-    def entry(i: int, path: tuple[int, ...]) -> Column:
-        mask = signed(reduce(int.__or__, path))
-        return F.struct(F.lit(first + i).alias("t"), F.col("fp").bitwiseAND(F.lit(mask)).alias("bits"))
-    return fps.select("fp", F.explode(F.array(*[entry(i, p) for i, p in enumerate(paths)])).alias("k")) \
-              .select("fp", "k.t", "k.bits")
+def _keyed(rows: DataFrame, paths: list[tuple[int, int, tuple[int, ...]]]) -> DataFrame:
+    """One row per fingerprint and path: the path's number and the fingerprint's bits on it.
+
+    ``paths`` are (number of the path split, own number, path); rows without a number ``t`` take all of them. The list of
+    paths is a table of a few rows for any input, so it is broadcast."""
+    if "t" not in rows.columns:
+        entry = [F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(signed(reduce(int.__or__, p)))).alias("bits")) for _, i, p in paths]
+        return rows.select("fp", F.explode(F.array(*entry)).alias("e")).select("fp", "e.t", "e.bits")
+    table = rows.sparkSession.createDataFrame([(t, i, signed(reduce(int.__or__, p))) for t, i, p in paths], "t int, path int, mask long")
+    return rows.join(F.broadcast(table), "t").select("fp", F.col("path").alias("t"), F.col("fp").bitwiseAND(F.col("mask")).alias("bits"))
 
 
 def links(fps: DataFrame, distance: int = DISTANCE, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -138,7 +140,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, bucket_rows: int = BUCKET_RO
     """
     paths = [c for p in children((), distance) for c in children(p, distance)]
     names: list[tuple[int, ...]] = list(paths)
-    rows, out = _keyed(fps, paths, 0), []
+    rows, out = _keyed(fps.select("fp"), [(0, i, p) for i, p in enumerate(paths)]), []
     while True:
         sizes = rows.groupBy("t", "bits").agg(F.count("*").alias("n")).where("n > 1")
         rows = stored(rows.join(sizes, ["t", "bits"]), "simhash-buckets")
@@ -159,16 +161,11 @@ def links(fps: DataFrame, distance: int = DISTANCE, bucket_rows: int = BUCKET_RO
         out.append(small.select("t", "fps").mapInArrow(run, "a long, b long"))
         big = rows.where(F.col("n") > bucket_rows)
         hot = [r["t"] for r in big.select("t").distinct().collect()]  # path numbers: bounded by the number of paths
-        grown = {t: children(names[t], distance) for t in sorted(hot)}
-        if not any(grown.values()):
+        grown = [(t, child) for t in sorted(hot) for child in children(names[t], distance)]
+        if not grown:
             break
-        parts = []
-        for t, deeper in grown.items():
-            if not deeper:
-                continue
-            parts.append(_keyed(big.where(F.col("t") == t).select("fp"), deeper, len(names)))
-            names += deeper
-        rows = reliable_checkpoint(reduce(DataFrame.unionByName, parts))
+        rows = _keyed(big.select("fp", "t"), [(t, len(names) + i, child) for i, (t, child) in enumerate(grown)])
+        names += [child for _, child in grown]
     return reduce(DataFrame.unionByName, out).distinct()
 
 

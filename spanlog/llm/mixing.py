@@ -34,9 +34,8 @@ def length_class(tokens: Column) -> Column:
 
 
 def tempered_shares(cells: DataFrame, margin: str, temper: float) -> DataFrame:
-    """(value, share): observed token shares raised to ``temper`` and normalised."""
-    own = cells.groupBy(margin).agg(F.sum("w").alias("w")).withColumn("p", F.pow(F.col("w").cast("double"), F.lit(temper)))
-    return own.crossJoin(own.agg(F.sum("p").alias("all"))).select(F.col(margin).alias("value"), F.when(F.col("all") > 0, F.col("p") / F.col("all")).otherwise(0.0).alias("share"))
+    """(value, share): observed token weights raised to ``temper``; raking normalises them."""
+    return cells.groupBy(F.col(margin).alias("value")).agg(F.pow(F.sum("w").cast("double"), F.lit(temper)).alias("share"))
 
 
 def rake(cells: DataFrame, margins: list[str], targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
@@ -45,13 +44,12 @@ def rake(cells: DataFrame, margins: list[str], targets: dict[str, DataFrame], ro
     Targets are (value, share); a value without a target gets share 0, a target without rows is left out and the rest are
     scaled up, null is a value. Margins whose total is 0 stay as they are.
     """
-    total = cells.agg(F.sum("w").cast("double").alias("_total"))
+    total = cells.agg(F.sum("w").cast("double")).head()[0] or 0.0
     for m in margins:
         t = targets[m].select(F.col("value").alias("_v"), F.col("share").alias("_s"))
         seen = cells.select(m).distinct().join(t, F.col(m).eqNullSafe(F.col("_v")), "left").select(F.col(m).alias("_v"), F.coalesce("_s", F.lit(0.0)).alias("_s"))
-        whole = seen.agg(F.sum("_s").alias("_all"))  # one row, as is the total
-        goal = seen.crossJoin(F.broadcast(whole)).crossJoin(F.broadcast(total)).select(
-            "_v", F.when(F.col("_all") > 0, F.col("_s") / F.col("_all") * F.col("_total")).otherwise(0.0).alias(f"_goal_{m}"))
+        whole = seen.agg(F.sum("_s")).head()[0] or 0.0
+        goal = seen.select("_v", (F.col("_s") / F.lit(whole) * F.lit(total) if whole else F.lit(0.0)).alias(f"_goal_{m}"))
         cells = cells.join(goal, F.col(m).eqNullSafe(F.col("_v"))).drop("_v")
     cells = stored(cells.withColumn("factor", F.lit(1.0)), "mix-start")
     for _ in range(rounds):

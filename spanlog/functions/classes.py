@@ -18,9 +18,8 @@ CLASS_OPEN, CLASS_MONTH, CLASS_WEEK, CLASS_DAY, CLASS_HOUR = 0, 1, 5, 30, 720
 DEFAULT_MAX_FREQ = 8640          # events per month -> 300 s slots
 COARSE_TAIL = 43800              # shown class of anything finer than max_freq
 
-# Display names of the classes (English) and the reference's own labels.
+# Display names of the classes.
 CLASS_LABELS = {0: "now", 1: "month", 5: "week", 30: "day", 720: "hour", 8640: "5min"}
-CLASS_LABELS_RU = {0: "Сейчас", 1: "Месяц", 5: "Неделя", 30: "День", 720: "Час", 8640: "5мин"}
 
 
 def _c(x) -> Column:

@@ -22,7 +22,8 @@ def full_path(dirname="dirname", filename="filename") -> Column:
 
 def root_of(dirname="dirname") -> Column:
     """First path component below ``./`` ('' for the root directory itself)."""
-    return F.substring_index(F.substring(_c(dirname), 3, 1 << 30), "/", 1)
+    d = _c(dirname)
+    return F.substring_index(F.substring(d, F.lit(3), F.length(d)), "/", 1)
 
 
 def under(dirname, prefix: str, case_insensitive: bool = False) -> Column:

@@ -17,6 +17,8 @@ OPEN_TEXT = "2199-12-31 00:00:00"   # sentinel valid-to of open versions
 NOW_WORD = "now"                    # how open versions are written in names
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss" # text form of times in rendered names
 KEY = ["dirname", "filename"]
+# a version is identified by all of these: hashed row ids of inserted versions may meet
+VERSION = ["row_id", "inode", "dirname", "filename", "created", "deleted"]
 ROW4 = ["inode", "type", "dirname", "filename"]
 
 HISTORY_SCHEMA = T.StructType([
@@ -30,15 +32,6 @@ HISTORY_SCHEMA = T.StructType([
     T.StructField("freq", T.LongType()),
 ])
 
-BAD_SCHEMA = T.StructType([f for f in HISTORY_SCHEMA.fields if f.name not in ("freq", "row_id")])
-
-INVENTORY_SCHEMA = T.StructType([
-    T.StructField("inode", T.LongType()),
-    T.StructField("type", T.StringType()),
-    T.StructField("dirname", T.StringType()),
-    T.StructField("filename", T.StringType()),
-])
-
 
 def open_ts() -> Column:
     """The open sentinel as a TIMESTAMP literal (session zone is UTC)."""
@@ -57,6 +50,20 @@ def is_open(deleted: Column | str = "deleted") -> Column:
     return c == open_ts()
 
 
+def open_versions(h: DataFrame) -> DataFrame:
+    """The open versions; of a stored history table (it carries ``is_open``) only the open partition is read."""
+    if "is_open" in h.columns:
+        h = h.filter(F.col("is_open") == 1).drop("is_open")
+    return h.filter(is_open("deleted"))
+
+
+def closed_versions(h: DataFrame) -> DataFrame:
+    """All other versions; of a stored history table only the closed partition is read."""
+    if "is_open" in h.columns:
+        h = h.filter(F.col("is_open") == 0).drop("is_open")
+    return h.filter(~F.coalesce(is_open("deleted"), F.lit(False)))
+
+
 def row_id_of(*cols) -> Column:
     """Deterministic row id of a newly inserted version."""
     return F.xxhash64(*cols)

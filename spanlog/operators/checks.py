@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.classes import freq_class
-from ..model import KEY, history_columns, is_open
+from ..model import KEY, VERSION, closed_versions, history_columns, is_open, open_versions
 from ..plans.ordered import keyed_scan
 from ..session import reliable_checkpoint
 
@@ -22,11 +22,13 @@ VKEY = KEY + ["created", "deleted"]
 
 def check_db2current(h: DataFrame, live: DataFrame) -> DataFrame:
     """H1: open versions with no live object at that path."""
-    return h.filter(is_open("deleted")).join(live.select(*KEY), KEY, "left_anti")
+    return open_versions(h).join(live.select(*KEY), KEY, "left_anti")
 
 
 def repair_db2current(h: DataFrame, live: DataFrame) -> DataFrame:
-    return h.join(check_db2current(h, live).select("row_id"), "row_id", "left_anti")
+    """Open versions stay where a live object is; closed versions are not touched (nor shuffled)."""
+    kept = open_versions(h).join(live.select(*KEY), KEY, "left_semi")
+    return history_columns(closed_versions(h)).unionByName(history_columns(kept))
 
 
 def check_db2old(h: DataFrame, store: DataFrame) -> DataFrame:
@@ -35,12 +37,15 @@ def check_db2old(h: DataFrame, store: DataFrame) -> DataFrame:
 
 
 def repair_db2old(h: DataFrame, store: DataFrame) -> DataFrame:
-    return h.join(check_db2old(h, store).select("row_id"), "row_id", "left_anti")
+    """Directory versions stay; others stay where their store object is."""
+    checked = F.coalesce(F.col("type") != "d", F.lit(False))
+    kept = h.filter(checked).join(store.select(*VKEY), VKEY, "left_semi")
+    return history_columns(h.filter(~checked)).unionByName(history_columns(kept))
 
 
 def check_current2db(live: DataFrame, h: DataFrame) -> DataFrame:
     """H3: live objects with no open version of the same inode and path."""
-    o = h.filter(is_open("deleted")).select("inode", *KEY)
+    o = open_versions(h).select("inode", *KEY)
     return live.join(o, ["inode"] + KEY, "left_anti")
 
 
@@ -86,29 +91,31 @@ def check_overlaps(h: DataFrame) -> DataFrame:
     faults) are matched by an equi-join on the path with the interval conditions.
     """
     good = F.col("deleted") >= F.col("created")
-    a = h.select("row_id", *KEY, "created", "deleted")
-    # well-formed starts, merged with the rows asking; rows ask before starts at equal time
-    ask = a.select(*KEY, (-F.unix_micros("created")).alias("_neg"), F.lit(0).alias("_side"),
-                   F.col("row_id").alias("_tie"), F.lit(None).cast("timestamp").alias("_b"))
-    starts = h.filter(good).select(*KEY, (-F.unix_micros("created")).alias("_neg"), F.lit(1).alias("_side"),
-                                   F.col("row_id").alias("_tie"), F.col("created").alias("_b"))
-    s = keyed_scan(ask.unionByName(starts), KEY, ["_neg", "_side", "_tie"], ffill=["_b"])
-    nxt = s.filter(F.col("_side") == 0).select(F.col("_tie").alias("row_id"), F.col("ffill__b").alias("_n1"))
-    bad = h.filter(~good).select(*KEY, F.col("created").alias("_bc"), F.col("deleted").alias("_bd"))
+    a = h.select(*VERSION)
+    # well-formed starts, merged with the rows asking (they carry their whole identity through the
+    # scan); rows ask before starts at equal time
+    ask = a.select(*VERSION, (-F.unix_micros("created")).alias("_neg"), F.lit(0).alias("_side"),
+                   F.lit(None).cast("timestamp").alias("_b"))
+    starts = h.filter(good).select(*VERSION, (-F.unix_micros("created")).alias("_neg"), F.lit(1).alias("_side"),
+                                   F.col("created").alias("_b"))
+    s = keyed_scan(ask.unionByName(starts), KEY, ["_neg", "_side", "row_id", "inode", "deleted"], ffill=["_b"])
+    nxt = s.filter(F.col("_side") == 0).select(*VERSION, F.col("ffill__b").alias("_n1"))
+    bad = h.filter(~good).select(*KEY, F.col("created").alias("_bc"), F.col("deleted").alias("_bd")).distinct()
     odd = (a.join(bad, KEY)
            .filter((F.col("created") < F.col("_bc")) & (F.col("_bc") < F.col("deleted")) &
                    (F.col("created") < F.col("_bd")))
-           .groupBy("row_id").agg(F.min("_bc").alias("_n2")))
-    j = a.join(nxt, "row_id", "left").join(odd, "row_id", "left")
+           .groupBy(*VERSION).agg(F.min("_bc").alias("_n2")))
+    j = nxt.join(odd, VERSION, "left")
     n1 = F.when(F.col("_n1") < F.col("deleted"), F.col("_n1"))
     j = j.withColumn("next_created", F.least(n1, F.col("_n2")))
-    return j.filter(F.col("next_created").isNotNull()).drop("_n1", "_n2")
+    return j.filter(F.col("next_created").isNotNull()).select(
+        "row_id", "inode", *KEY, "created", "deleted", "next_created")
 
 
 def repair_overlaps(h: DataFrame, overlaps: DataFrame | None = None) -> DataFrame:
     """Cut an overlapped version at the next start; class recomputed."""
-    o = (overlaps if overlaps is not None else check_overlaps(h)).select("row_id", "next_created")
-    j = h.join(o, "row_id", "left")
+    o = (overlaps if overlaps is not None else check_overlaps(h)).select(*VERSION, "next_created")
+    j = h.join(o, VERSION, "left")
     j = j.withColumn("deleted", F.coalesce("next_created", "deleted"))
     j = j.withColumn("freq", F.when(F.col("next_created").isNotNull(), freq_class("created", "deleted"))
                      .otherwise(F.col("freq")))
@@ -135,7 +142,13 @@ def check_dups_created(h: DataFrame) -> DataFrame:
 
 
 def repair_dups_created(h: DataFrame) -> DataFrame:
-    return h.join(check_dups_created(h).select("row_id"), "row_id", "left_anti")
+    """One version per (path, start) stays: a closed one if there is any, then that with the largest row id.
+
+    The reference deletes every row that has a better twin in either sense, so of a closed row and an open one with a
+    larger id nothing is left; here each (path, start) keeps one. A grouped maximum: no group is collected."""
+    rest = ["row_id", "inode", "type", "deleted", "freq"]
+    best = h.groupBy(*KEY, "created").agg(F.max(F.struct((F.col("freq") != 0).alias("closed"), *rest)).alias("_v"))
+    return history_columns(best.select(*KEY, "created", *[F.col(f"_v.{c}").alias(c) for c in rest]))
 
 
 def check_dups_open(h: DataFrame) -> DataFrame:
@@ -144,7 +157,7 @@ def check_dups_open(h: DataFrame) -> DataFrame:
     Each is reported once with the start of the newest open version of the
     path (one aggregate per path; no pairs are formed).
     """
-    o = h.filter(is_open("deleted"))
+    o = open_versions(h)
     g = o.groupBy(*KEY).agg(F.max_by(F.struct("row_id", "created"), "row_id").alias("_last"))
     j = o.join(g, KEY).filter(F.col("row_id") < F.col("_last.row_id"))
     return j.select(*history_columns(o).columns, F.col("_last.created").alias("other_created"))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.classes import freq_class
 from ..functions.paths import full_path
 from ..plans.ordered import keyed_scan
-from ..model import KEY, ROW4, history_columns, is_open, open_ts, row_id_of, ts
+from ..model import KEY, ROW4, closed_versions, history_columns, open_ts, open_versions, row_id_of, ts
 
 
 def scope_prefix(df: DataFrame, directory: str | None) -> DataFrame:
@@ -28,10 +28,6 @@ def scope_prefix(df: DataFrame, directory: str | None) -> DataFrame:
     return df.filter(F.col("dirname").startswith(f"./{directory.strip('/')}/"))
 
 
-def open_versions(h: DataFrame) -> DataFrame:
-    return h.filter(is_open("deleted"))
-
-
 def diff_new(inv: DataFrame, h: DataFrame, scope: str | None = None) -> DataFrame:
     """B1: listing rows with no open version equal on (inode, type, dirname, filename)."""
     return scope_prefix(inv, scope).select(*ROW4).join(
@@ -61,15 +57,15 @@ def diff_classify(inv: DataFrame, h: DataFrame, scope: str | None = None) -> Dat
 def close_versions(h: DataFrame, old: DataFrame, t, max_freq: int = 8640) -> DataFrame:
     """Set ``deleted = t`` on open versions whose path is in ``old``; class recomputed.
 
-    One pass: a left join with the distinct old keys gives a flag.
+    Only open versions are joined with the distinct old keys; closed ones pass by unshuffled.
     """
     keys = old.select(*KEY).distinct().withColumn("_close", F.lit(True))
-    j = h.join(keys, KEY, "left")
-    j = j.withColumn("_hit", F.col("_close").isNotNull() & is_open("deleted"))
+    j = open_versions(h).join(keys, KEY, "left")
+    j = j.withColumn("_hit", F.col("_close").isNotNull())
     j = j.withColumn("deleted", F.when(F.col("_hit"), ts(t)).otherwise(F.col("deleted")))
     j = j.withColumn("freq", F.when(F.col("_hit"), freq_class("created", "deleted", max_freq))
                      .otherwise(F.col("freq")))
-    return history_columns(j)
+    return history_columns(closed_versions(h)).unionByName(history_columns(j))
 
 
 def insert_versions(h: DataFrame, new: DataFrame, t) -> DataFrame:
@@ -114,9 +110,10 @@ def apply_snapshot(h: DataFrame, inv: DataFrame, t, scope: str | None = None,
     """
     new = diff_new(inv, h, scope)
     old = diff_old(inv, h, scope)
-    closed = close_versions(h, old, t, max_freq)
-    ins, bad = quarantine_conflicts(new, closed)
-    h2 = insert_versions(closed, ins, t)
+    # closing, conflicts and inserts concern the open versions only; closed ones are appended as they are
+    still = close_versions(open_versions(h), old, t, max_freq)
+    ins, bad = quarantine_conflicts(new, still)
+    h2 = history_columns(closed_versions(h)).unionByName(insert_versions(still, ins, t))
     bad = bad.select(*ROW4, ts(t).alias("created"), open_ts().alias("deleted"))
     return SnapshotResult(h2, new, old, bad)
 
@@ -143,30 +140,46 @@ def changed_paths(new: DataFrame, old: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
-def series_to_history(snaps: DataFrame, times: DataFrame, max_freq: int = 8640,
-                      broadcast_limit: int = 1_000_000) -> DataFrame:
-    """Many snapshots (t, inode, type, dirname, filename) to history in one job.
+def _one_per_path(s: DataFrame) -> DataFrame:
+    """Listing rows (t, idx, ROW4) with one version per path and time, chosen as B6 and B9 do.
+
+    A repeated row counts once. Of different rows of a path at one time the version open since the time before stays, or
+    else the smallest (inode, type) is taken. Only paths with such a clash are folded over their times (an array of at most
+    one entry per snapshot); all others pass through."""
+    g = s.groupBy(*KEY, "idx", "t").agg(F.array_sort(F.collect_set(F.struct("inode", "type"))).alias("_v"))
+    clash = g.filter(F.size("_v") > 1).select(*KEY).distinct()
+    one = g.join(clash, KEY, "left_anti").select("t", "idx", *KEY, F.col("_v")[0].alias("_c"))
+    lists = g.join(clash, KEY, "left_semi").groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("idx", "t", "_v"))).alias("_l"))
+
+    def step(done, at):
+        last = F.try_element_at(done, F.lit(-1))
+        stays = (last["idx"] == at["idx"] - 1) & F.array_contains(at["_v"], last["_c"])
+        return F.concat(done, F.array(F.struct(at["idx"].alias("idx"), at["t"].alias("t"), F.when(stays, last["_c"]).otherwise(at["_v"][0]).alias("_c"))))
+
+    empty = F.array().cast("array<struct<idx:bigint,t:timestamp,_c:struct<inode:bigint,type:string>>>")
+    many = lists.select(*KEY, F.explode(F.aggregate("_l", empty, step)).alias("_x")).select("_x.t", "_x.idx", *KEY, "_x._c")
+    return one.unionByName(many).select("t", "idx", F.col("_c.inode").alias("inode"), F.col("_c.type").alias("type"), *KEY)
+
+
+def series_to_history(snaps: DataFrame, times: DataFrame, max_freq: int = 8640) -> DataFrame:
+    """Many snapshots (t, inode, type, dirname, filename) to history in one job; equals B6 snapshot after snapshot.
 
     Snapshot times are a separate input so that an empty snapshot still closes
-    versions.  They get a dense index (the list of snapshot times is small:
-    one row per snapshot; it is broadcast only after its size is checked).
-    A version present in consecutive snapshots is one interval
+    versions.  They get a dense index (one row per snapshot; how it is joined is left to
+    the optimizer).  A version present in consecutive snapshots is one interval
     (gaps-and-islands: index minus rank within the version); it ends at the
-    first snapshot it is absent from, or stays open.
+    first snapshot it is absent from, or stays open.  Rows of one path at one
+    time are settled first (``_one_per_path``).
     """
     w = Window.orderBy("t")
     idx = times.select("t").distinct().withColumn("idx", F.row_number().over(w).cast("long"))
     idx = idx.withColumn("next_t", F.lead("t").over(w))
-    n = idx.count()
-    small = n <= broadcast_limit
-    tidx = F.broadcast(idx) if small else idx
-    s = snaps.join(tidx, "t")
+    s = _one_per_path(snaps.select("t", *ROW4).join(idx.select("t", "idx"), "t"))
     # rank within the version by a range-partitioned running count (a key may be hot)
     s = keyed_scan(s.withColumn("_one", F.lit(1).cast("long")), ROW4, ["idx"], cumsum=["_one"])
     s = s.withColumn("_isl", F.col("idx") - F.col("cumsum__one"))
     g = s.groupBy(*ROW4, "_isl").agg(F.min("t").alias("created"), F.max("idx").alias("_last"))
-    ends = idx.select(F.col("idx").alias("_last"), "next_t")
-    g = g.join(F.broadcast(ends) if small else ends, "_last")
+    g = g.join(idx.select(F.col("idx").alias("_last"), "next_t"), "_last")
     g = g.withColumn("deleted", F.coalesce(F.col("next_t"), open_ts()))
     out = g.select(row_id_of("dirname", "filename", "inode", "type", "created").alias("row_id"),
                    *ROW4, "created", "deleted")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import prefix_dirs
+from ..session import reliable_checkpoint
 
 # File names ignored (compared with the whole relative path) and the acceptance rule.
 EXCLUDE_FILES = ("Thumbs.db",)
@@ -58,27 +59,21 @@ def best_move(changes: DataFrame, min_matches: int = MIN_MATCHES, min_pct: int =
     best = best.select("new_dir", F.col("b.old_dir").alias("old_dir"), F.col("b.matches").alias("matches"))
     best = best.join(nd.select(F.col("dir").alias("new_dir"), F.col("dir_seq").alias("new_seq"), "n_files"),
                      "new_dir")
-    ok = (F.col("matches") >= min_matches) & (F.col("matches") * 100.0 / F.col("n_files") >= min_pct)
+    ok = (F.col("matches") >= min_matches) & (F.col("matches") * 100 >= F.col("n_files") * min_pct)
     return best.filter(ok)
 
 
 def prune_nested(moves: DataFrame) -> DataFrame:
     """Drop accepted directories lying below another accepted directory.
 
-    One pass over the accepted set: each directory is listed under itself and
-    under each proper ancestor; a directory is covered when one of its
-    ancestors is listed under itself too.
+    A directory is covered when one of its proper ancestors is accepted: a semi join of
+    the exploded ancestors with the accepted set, so no ancestor collects its subtree.
     """
-    from pyspark.sql import Window
-    cols = moves.columns
+    moves = reliable_checkpoint(moves)  # read three times
     anc = F.filter(prefix_dirs("new_dir"), lambda a: a != F.col("new_dir"))
-    entries = F.concat(F.array(F.struct(F.col("new_dir").alias("p"), F.lit(True).alias("own"))),
-                       F.transform(anc, lambda a: F.struct(a.alias("p"), F.lit(False).alias("own"))))
-    x = moves.select(*cols, F.explode(entries).alias("e"))
-    x = x.withColumn("_listed", F.max(F.col("e.own").cast("int")).over(Window.partitionBy("e.p")))
-    x = x.withColumn("_cov", (~F.col("e.own")) & (F.col("_listed") == 1))
-    g = x.groupBy(*cols).agg(F.max(F.col("_cov").cast("int")).alias("_c"))
-    return g.filter(F.col("_c") == 0).drop("_c")
+    below = moves.select("new_dir", F.explode(anc).alias("_p"))
+    covered = below.join(moves.select(F.col("new_dir").alias("_p")).distinct(), "_p", "left_semi").select("new_dir").distinct()
+    return moves.join(covered, "new_dir", "left_anti").select(*moves.columns)
 
 
 def copy_plan(moves: DataFrame) -> DataFrame:

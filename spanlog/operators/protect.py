@@ -100,8 +100,9 @@ def sidecar_files(versions: DataFrame, limit: int = COPY_LIMIT) -> DataFrame:
 
 def block_digests(contents: DataFrame, key: str = "doc_id", text: str = "text", block: int = 4096) -> DataFrame:
     """K5 option: SHA-256 of every ``block``-character block of each whole content."""
-    n = F.greatest(F.ceil(F.length(F.col(text)) / block).cast("int"), F.lit(1))
-    x = contents.select(F.col(key), F.col(text), F.explode(F.sequence(F.lit(0), n - 1)).alias("block"))
-    part = F.expr(f"substring({text}, block * {block} + 1, {block})")
-    return x.select(F.col(key), F.col("block").cast("long").alias("block"), F.sha2(part, 256).alias("digest"),
-                    F.length(part).cast("long").alias("chars"))
+    # the text is cut once and the pieces are exploded, not a copy of the text per block
+    pieces = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{block}}}"), F.lit(0))
+    pieces = F.when(F.size(pieces) > 0, pieces).otherwise(F.array(F.col(text)))  # null or empty: one block
+    x = contents.select(F.col(key), F.posexplode(pieces).alias("block", "_part"))
+    return x.select(F.col(key), F.col("block").cast("long").alias("block"), F.sha2("_part", 256).alias("digest"),
+                    F.length("_part").cast("long").alias("chars"))

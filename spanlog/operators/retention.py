@@ -72,7 +72,7 @@ def space_target(usage: DataFrame, value: int, unit: str = "%") -> DataFrame:
     ``usage`` has one row with ``total_mb`` and ``free_mb``.
     """
     if unit == "%":
-        needed = (F.col("total_mb") / 100).cast("long") * value
+        needed = F.expr("total_mb div 100") * value
     elif unit == "G":
         needed = F.lit(value * 1024).cast("long")
     else:
@@ -97,8 +97,9 @@ def delete_prefix(h: DataFrame, prefix: str) -> DataFrame:
 def purge_sidecars(victims: DataFrame, store: DataFrame, name: str = "objname") -> DataFrame:
     """F8: store objects of each victim: same path, object name beginning with its start time."""
     v = victims.select("dirname", "filename", fmt_time("created").alias("_p")).distinct()
-    j = store.join(v, ["dirname", "filename"])
-    return j.filter(F.col(name).startswith(F.col("_p"))).drop("_p")
+    # the start time has a fixed width: an equal prefix is a join key, no victim meets all objects of its path
+    width = len("yyyy-MM-dd HH:mm:ss")
+    return store.withColumn("_p", F.substring(name, 1, width)).join(v, ["dirname", "filename", "_p"]).drop("_p")
 
 
 def expire_snapshots(snaps: DataFrame, grain: str, now, keep: int) -> DataFrame:
@@ -130,9 +131,5 @@ def calendar_throttle(events: DataFrame, grain: str, source: str = "source", t:
 
 def usage_mb(sizes: DataFrame, size: str = "size", free_ratio: float = 0.05) -> DataFrame:
     """One-row disk usage from a size column (KiB units), with a free share (for F5)."""
-    return sizes.agg((F.sum(size) / 1024).cast("long").alias("total_mb")).withColumn(
+    return sizes.agg(F.expr(f"sum(`{size}`) div 1024").alias("total_mb")).withColumn(
         "free_mb", (F.col("total_mb") * free_ratio).cast("long"))
-
-
-def bytes_mb(c: Column) -> Column:
-    return (c / MB).cast("long")

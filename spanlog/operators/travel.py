@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.classes import freq_coarse, freq_label
 from ..functions.paths import masks_regex, root_of, under
 from ..functions.times import BUCKET_FORMAT, ceil_to, floor_to, step
-from ..model import is_open, open_ts, ts
+from ..model import open_ts, open_versions, ts
 from ..plans.ordered import keyed_scan
 
 
@@ -38,7 +38,7 @@ def list_dir(h: DataFrame, t, directory: str | None = None) -> DataFrame:
 
 def live_view(h: DataFrame) -> DataFrame:
     """D3: as-of "current" = open versions."""
-    return h.filter(is_open("deleted"))
+    return open_versions(h)
 
 
 def list_versions(h: DataFrame, directory: str | None = None, filename: str | None = None) -> DataFrame:
@@ -136,7 +136,6 @@ def oldest_per_class(h: DataFrame, directory: str | None = None) -> DataFrame:
 
 
 # Grid step of each shown class on the timeline.
-CLASS_GRAIN = {1: "month", 5: "week", 30: "day", 720: "hour", 8640: "5min", 43800: "minute"}
 CLASS_STEP_SECONDS = {5: 604800, 30: 86400, 720: 3600, 8640: 300, 43800: 60}
 
 
@@ -244,7 +243,3 @@ def export_subtree(h: DataFrame, t, prefix: str = "./") -> DataFrame:
 def filter_masks(df: DataFrame, masks: list[str], col: str = "filename") -> DataFrame:
     """Rows whose whole name matches any glob mask, case-insensitive."""
     return df.filter(F.col(col).rlike(masks_regex(masks)))
-
-
-def rows_open(h: DataFrame) -> DataFrame:  # convenience alias used in reports
-    return h.filter(F.col("deleted") == open_ts())

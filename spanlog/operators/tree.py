@@ -65,7 +65,7 @@ def path_breadcrumbs(df: DataFrame, path_col: str = "path") -> DataFrame:
 
 def empty_dirs(inv: DataFrame) -> DataFrame:
     """Directory rows with no file at any depth below them."""
-    used = (inv.filter(F.col("type") != "d").select(F.substring("dirname", 3, 1 << 30).alias("rel")).distinct()
+    used = (inv.filter(F.col("type") != "d").select(F.expr("substring(dirname, 3)").alias("rel")).distinct()
             .select(F.explode(prefix_dirs("rel")).alias("p")).distinct()
             .select(F.concat(F.lit("./"), "p").alias("p")))
     dirs = inv.filter(F.col("type") == "d").withColumn("p", F.concat("dirname", "filename", F.lit("/")))

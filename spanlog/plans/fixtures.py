@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..model import OPEN_TEXT, open_ts, read_table, ts, with_freq
+from ..model import OPEN_TEXT, history_columns, open_ts, open_versions, read_table, ts, with_freq
 
 # The "now" used with each history and the first snapshot time of inventories.
 NOW_EVENTS = "2024-01-31 00:00:00"
@@ -74,7 +74,7 @@ _sql("inv_prev", """
 SELECT p_partkey AS inode, 'f' AS type,
        concat('./', replace(p_brand, '#', '_'), '/s', CAST(p_size AS VARCHAR), '/') AS dirname,
        concat('p', CAST(p_partkey AS VARCHAR)) AS filename
-FROM part WHERE p_partkey % 7 <> 0""")
+FROM part WHERE p_partkey % 7 <> 0 OR p_partkey % 5 = 0""")
 _sql("inv_cur", """
 SELECT p_partkey + CASE WHEN p_partkey % 11 = 0 THEN 1000000 ELSE 0 END AS inode,
        CASE WHEN p_partkey % 13 = 0 THEN 'd' ELSE 'f' END AS type,
@@ -111,6 +111,8 @@ SELECT row_id, row_id % 3 AS inode, type, dirname, filename, created, deleted, f
 _sql("store_obj", """
 SELECT inode, type, dirname, filename, created, deleted FROM hist_events WHERE row_id % 97 <> 0""",
      ("hist_events",))
+_sql("store_all", "SELECT inode, type, dirname, filename, created, deleted FROM hist_events", ("hist_events",))
+_sql("live_all", f"SELECT inode, type, dirname, filename FROM hist_events WHERE deleted = {OPEN_SQL}", ("hist_events",))
 _sql("live_obj", f"""
 SELECT inode + CASE WHEN row_id % 83 = 0 THEN 1000000 ELSE 0 END AS inode, type, dirname, filename
 FROM hist_events WHERE deleted = {OPEN_SQL} AND row_id % 19 <> 0""", ("hist_events",))
@@ -124,6 +126,11 @@ SELECT row_id, inode, type, dirname, filename, created,
        CASE WHEN row_id % 101 = 0 THEN {OPEN_SQL} ELSE deleted END AS deleted,
        CASE WHEN row_id % 101 = 0 THEN CAST(0 AS BIGINT) ELSE freq END AS freq
 FROM hist_events""", ("hist_events",))
+_sql("hist_faults_base", f"""
+SELECT row_id, inode, type, dirname, filename, created,
+       CASE WHEN row_id % 101 = 0 THEN {OPEN_SQL} ELSE deleted END AS deleted
+FROM hist_overlap""", ("hist_overlap",))
+_sql("hist_faults", f"SELECT *, {FREQ} AS freq FROM hist_faults_base", ("hist_faults_base",))
 _sql("event_sizes", """
 SELECT h.*, CAST(round(e.value * 100) AS BIGINT) AS size
 FROM hist_events h JOIN events e ON h.row_id = e.event_id""", ("hist_events",))
@@ -144,7 +151,7 @@ _sql("store_files", """
 SELECT dirname, filename, created, concat(strftime(created, '%Y-%m-%d %H:%M:%S'), '~',
          CASE WHEN deleted = TIMESTAMP '2199-12-31 00:00:00' THEN 'now' ELSE strftime(deleted, '%Y-%m-%d %H:%M:%S') END,
          x.suffix) AS objname
-FROM store_obj CROSS JOIN (SELECT '' AS suffix UNION ALL SELECT '.par2') x""", ("store_obj",))
+FROM store_all, (SELECT unnest(['', '.par2']) AS suffix) x""", ("store_all",))
 
 
 def with_fixtures(body: str, *names: str) -> str:
@@ -247,7 +254,8 @@ def _part_dir():
 
 def inv_prev(spark, sf) -> DataFrame:
     p = _t(spark, sf, "part")
-    return p.filter(F.col("p_partkey") % 7 != 0).select(
+    k = F.col("p_partkey")
+    return p.filter((k % 7 != 0) | (k % 5 == 0)).select(
         F.col("p_partkey").alias("inode"), F.lit("f").alias("type"), _part_dir().alias("dirname"),
         F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("filename"))
 
@@ -306,6 +314,16 @@ def store_obj(spark, sf) -> DataFrame:
         "inode", "type", "dirname", "filename", "created", "deleted")
 
 
+def store_all(spark, sf) -> DataFrame:
+    """The complete version store; ``store_obj`` misses objects, for the checks that look for them."""
+    return hist_events(spark, sf).select("inode", "type", "dirname", "filename", "created", "deleted")
+
+
+def live_all(spark, sf) -> DataFrame:
+    """The complete live tree; ``live_obj`` misses objects and has changed ones."""
+    return open_versions(hist_events(spark, sf)).select("inode", "type", "dirname", "filename")
+
+
 def live_obj(spark, sf) -> DataFrame:
     h = hist_events(spark, sf)
     return h.filter((F.col("deleted") == open_ts()) & (F.col("row_id") % 19 != 0)).select(
@@ -314,7 +332,7 @@ def live_obj(spark, sf) -> DataFrame:
 
 
 def hist_overlap(spark, sf) -> DataFrame:
-    h = hist_events(spark, sf)
+    h = history_columns(hist_events(spark, sf))  # ends change: without is_open
     widen = (F.col("row_id") % 50 == 0) & (F.col("deleted") != open_ts())
     h = h.withColumn("deleted", F.when(widen, F.col("deleted") + F.expr("INTERVAL 1 HOUR"))
                      .otherwise(F.col("deleted")))
@@ -322,12 +340,18 @@ def hist_overlap(spark, sf) -> DataFrame:
 
 
 def hist_open_dups(spark, sf) -> DataFrame:
-    h = hist_events(spark, sf)
+    h = history_columns(hist_events(spark, sf))  # ends change: without is_open
     hit = F.col("row_id") % 101 == 0
     return h.withColumn("deleted", F.when(hit, open_ts()).otherwise(F.col("deleted"))) \
             .withColumn("freq", F.when(hit, F.lit(0).cast("long")).otherwise(F.col("freq")))
 
 
+def hist_faults(spark, sf) -> DataFrame:
+    """Widened ends and reopened versions together: something to find for every check of the history."""
+    h = hist_overlap(spark, sf)
+    return with_freq(h.withColumn("deleted", F.when(F.col("row_id") % 101 == 0, open_ts()).otherwise(F.col("deleted"))))
+
+
 def event_sizes(spark, sf) -> DataFrame:
     h = hist_events(spark, sf)
     e = _t(spark, sf, "events").select(F.col("event_id").alias("row_id"),
@@ -359,7 +383,7 @@ def snapshot_times(spark, sf) -> DataFrame:
 
 def store_files(spark, sf) -> DataFrame:
     from ..sources.render import version_name
-    s = store_obj(spark, sf)
+    s = store_all(spark, sf)
     base = s.select("dirname", "filename", "created", version_name().alias("objname"))
     side = base.withColumn("objname", F.concat("objname", F.lit(".par2")))
     return base.unionByName(side)
@@ -380,7 +404,7 @@ UNION ALL SELECT 1000000000 + min(page_id) * 10 + 1, 'new_dir', 'moved/' || host
 UNION ALL SELECT 1000000000 + min(page_id) * 10 + 2, 'new_dir', 'moved/' || d FROM blog GROUP BY d
 UNION ALL SELECT 2000000000 + page_id * 10, 'new_file', 'moved/' || p FROM blog WHERE page_id % 10 <> 0
 UNION ALL SELECT 2000000000 + page_id * 10 + 1, 'new_file', 'fresh/' || filename FROM p
-          WHERE NOT starts_with(p, 'blog.') AND page_id % 7 = 0
+          WHERE NOT starts_with(p, 'blog.')
 UNION ALL SELECT 3000000000 + page_id * 10, 'del_file', p FROM blog
 UNION ALL SELECT 4000000000 + min(page_id) * 10, 'del_dir', d FROM blog GROUP BY d
 UNION ALL SELECT 5000000000 + min(page_id) * 10, 'del_dir', host_dir FROM blog GROUP BY host_dir""",
@@ -390,9 +414,9 @@ UNION ALL SELECT 5000000000 + min(page_id) * 10, 'del_dir', host_dir FROM blog G
 def moves(spark, sf) -> DataFrame:
     pp = page_paths(spark, sf).select(
         F.col("inode").alias("page_id"),
-        F.concat(F.substring("dirname", 3, 1 << 30), "filename").alias("p"),
-        F.substring("dirname", 3, 1 << 30).alias("d"),
-        F.concat(F.substring_index(F.substring("dirname", 3, 1 << 30), "/", 1), F.lit("/")).alias("host_dir"),
+        F.concat(F.expr("substring(dirname, 3)"), "filename").alias("p"),
+        F.expr("substring(dirname, 3)").alias("d"),
+        F.concat(F.substring_index(F.expr("substring(dirname, 3)"), "/", 1), F.lit("/")).alias("host_dir"),
         "filename")
     blog = pp.filter(F.col("p").startswith("blog."))
     L = F.lit
@@ -412,7 +436,7 @@ def moves(spark, sf) -> DataFrame:
         rows(dirs, L(1000000000) + F.col("m") * 10 + 2, "new_dir", F.concat(L("moved/"), "d")),
         rows(blog.filter(F.col("page_id") % 10 != 0), L(2000000000) + F.col("page_id") * 10, "new_file",
              F.concat(L("moved/"), "p")),
-        rows(pp.filter(~F.col("p").startswith("blog.") & (F.col("page_id") % 7 == 0)),
+        rows(pp.filter(~F.col("p").startswith("blog.")),
              L(2000000000) + F.col("page_id") * 10 + 1, "new_file", F.concat(L("fresh/"), "filename")),
         rows(blog, L(3000000000) + F.col("page_id") * 10, "del_file", F.col("p")),
         rows(dirs, L(4000000000) + F.col("m") * 10, "del_dir", F.col("d")),

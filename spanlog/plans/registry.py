@@ -12,6 +12,7 @@ from .fixtures import with_fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+BODY: dict[str, str] = {}  # oracle statements without their views
 HEADLINE: list[str] = []
 
 
@@ -20,14 +21,14 @@ def register(name: str, sql: str | None = None, fixtures: tuple[str, ...] = (),
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             prepare(spark)
-            return to_output(fn(spark, sf_dir))
+            return to_output(fn(spark, sf_dir).drop("is_open"))
         run.__name__ = f"query_{name}"
         run.__doc__ = fn.__doc__
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = run
         if sql is not None:
-            ORACLE[name] = with_fixtures(sql, *fixtures)
+            ORACLE[name], BODY[name] = with_fixtures(sql, *fixtures), sql.strip()
         if headline:
             HEADLINE.append(name)
         return fn

@@ -16,6 +16,7 @@ from ..sources import parsers as P
 from ..sources import render as W
 from . import fixtures as X
 from .fixtures import INV_CREATED, NOW_ORDERS, OPEN_SQL, freq_sql
+from .upkeep_queries import LIVE_DIRS_SQL, ROLLUP_SQL
 from .registry import register
 
 # ---------------------------------------------------------------- J: moved directories
@@ -291,6 +292,16 @@ def q_parse_run_stats(spark, sf):
     return P.parse_run_stats(lines, RUN_METRICS)
 
 
+@register("parse_run_metrics", """
+SELECT l_linestatus AS run, 'priority_' || regexp_replace(lower(l_returnflag), '[^a-z0-9]+', '_', 'g') AS metric,
+       CAST(count(*) AS VARCHAR) AS val
+FROM lineitem GROUP BY l_linestatus, l_returnflag""")
+def q_parse_run_metrics(spark, sf):
+    """A6, long form: counts per line status rendered as log lines; no metric list is needed."""
+    g = X._t(spark, sf, "lineitem").groupBy(F.col("l_linestatus").alias("run"), "l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+    return P.parse_run_metrics(g.select("run", F.concat(F.lit("Priority "), "l_returnflag", F.lit(": "), F.col("n").cast("string")).alias("value")))
+
+
 @register("parse_snapshot_dirs", """
 SELECT strptime(strftime(o_orderdate, '%Y-%m-%d_%H-%M-%S'), '%Y-%m-%d_%H-%M-%S') AS t,
        min('/backups/' || o_orderpriority || '/daily/' || strftime(o_orderdate, '%Y-%m-%d_%H-%M-%S')) AS path
@@ -322,7 +333,7 @@ def q_commit_series(spark, sf):
 @register("init_history", "SELECT * FROM hist_events", ("hist_events",))
 def q_init_history(spark, sf):
     """An empty history with the generated class, filled with the event versions."""
-    base = X.hist_events(spark, sf).drop("freq")
+    base = history_columns(X.hist_events(spark, sf)).drop("freq")
     h = empty_history(spark).drop("freq").unionByName(base)
     return history_columns(with_freq(h))
 
@@ -335,20 +346,9 @@ def _live_dirs_of(live):
 
 
 @register("rebuild_history", f"""
-WITH RECURSIVE files AS (SELECT inode, type, dirname, filename, created, deleted FROM store_obj),
-cte(org, parent, name, rest, pos, data1, data2) AS (
-  SELECT dirname, '', '.', substr(dirname, 3), 0, min(created), max(deleted) FROM files GROUP BY dirname
-  UNION ALL
-  SELECT org, substr(org, 1, pos + length(name) + 1), substr(rest, 1, instr(rest, '/') - 1),
-         substr(rest, instr(rest, '/') + 1), pos + length(name) + 1, data1, data2 FROM cte WHERE rest <> ''),
-lcte(org, parent, name, rest, pos, m) AS (
-  SELECT dirname, '', '.', substr(dirname, 3), 0, min(inode) FROM live_obj GROUP BY dirname
-  UNION ALL
-  SELECT org, substr(org, 1, pos + length(name) + 1), substr(rest, 1, instr(rest, '/') - 1),
-         substr(rest, instr(rest, '/') + 1), pos + length(name) + 1, m FROM lcte WHERE rest <> ''),
-dirs AS (SELECT CAST(0 AS BIGINT) AS inode, parent AS dirname, name AS filename, min(data1) AS created,
-                max(data2) AS deleted FROM cte WHERE pos <> 0 GROUP BY parent, name),
-live AS (SELECT parent AS dirname, name AS filename, min(m) AS inode FROM lcte WHERE pos <> 0 GROUP BY parent, name),
+WITH files AS (SELECT inode, type, dirname, filename, created, deleted FROM store_all),
+dirs AS ({ROLLUP_SQL.format(src='files')}),
+live AS ({LIVE_DIRS_SQL}),
 mn AS (SELECT min(created) AS m FROM (SELECT created FROM files UNION ALL SELECT created FROM dirs)),
 up AS (SELECT coalesce(l.inode, d.inode) AS inode, 'd' AS type, coalesce(d.dirname, l.dirname) AS dirname,
               coalesce(d.filename, l.filename) AS filename, coalesce(d.created, (SELECT m FROM mn)) AS created,
@@ -356,18 +356,18 @@ up AS (SELECT coalesce(l.inode, d.inode) AS inode, 'd' AS type, coalesce(d.dirna
        FROM dirs d FULL OUTER JOIN live l ON d.dirname = l.dirname AND d.filename = l.filename)
 SELECT *, {freq_sql()} AS freq FROM files
 UNION ALL
-SELECT *, {freq_sql()} FROM up""", ("store_obj", "live_obj"), headline=True)
+SELECT *, {freq_sql()} FROM up""", ("store_all", "live_all"), headline=True)
 def q_rebuild_history(spark, sf):
     """A10: history rebuilt from version-store lines and the live directories."""
-    store = P.parse_version_store(W.store_lines(X.store_obj(spark, sf)))[0]
-    return I.rebuild_history(store, _live_dirs_of(X.live_obj(spark, sf))).drop("row_id")
+    store = P.parse_version_store(W.store_lines(X.store_all(spark, sf)))[0]
+    return I.rebuild_history(store, _live_dirs_of(X.live_all(spark, sf))).drop("row_id")
 
 
 @register("rebuild_live", f"""
-SELECT inode, type, dirname, filename FROM store_obj WHERE deleted = {OPEN_SQL}""", ("store_obj",))
+SELECT inode, type, dirname, filename FROM store_all WHERE deleted = {OPEN_SQL}""", ("store_all",))
 def q_rebuild_live(spark, sf):
     """A11."""
-    return I.rebuild_live(X.store_obj(spark, sf))
+    return I.rebuild_live(X.store_all(spark, sf))
 
 
 @register("write_delimited", """

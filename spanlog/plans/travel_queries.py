@@ -21,7 +21,7 @@ HCOLS = "row_id, inode, type, dirname, filename, created, deleted, freq"
 
 
 @register("freq_class", f"""
-SELECT row_id, created, deleted, {FREQ.replace('created', 'created').replace('deleted', 'deleted')} AS freq
+SELECT row_id, created, deleted, {FREQ} AS freq
 FROM hist_events_base
 UNION ALL
 SELECT row_id, created, deleted, {FREQ} AS freq FROM hist_orders_base""",
@@ -302,7 +302,7 @@ def q_oldest_deleted_per_class(spark, sf):
 
 
 @register("last_activity", f"""
-WITH roots AS (SELECT DISTINCT split_part(substr(dirname, 3), '/', 1) AS root FROM live_obj),
+WITH roots AS (SELECT DISTINCT split_part(substr(dirname, 3), '/', 1) AS root FROM live_all),
 agg AS (SELECT split_part(substr(dirname, 3), '/', 1) AS root,
                max(CASE WHEN freq = 0 THEN created END) AS c, max(CASE WHEN freq <> 0 THEN deleted END) AS d
         FROM hist_events WHERE dirname <> './' GROUP BY 1)
@@ -311,10 +311,10 @@ SELECT r.root, 'created' AS direction, a.c AS last_backup,
 FROM roots r LEFT JOIN agg a ON r.root = a.root
 UNION ALL
 SELECT r.root, 'deleted', a.d, round((epoch_us({NOW}) - epoch_us(a.d)) / 86400e6, 2)
-FROM roots r LEFT JOIN agg a ON r.root = a.root""", ("hist_events", "live_obj"))
+FROM roots r LEFT JOIN agg a ON r.root = a.root""", ("hist_events", "live_all"))
 def q_last_activity(spark, sf):
     """E5: per live root the newest start and the newest end."""
-    roots = X.live_obj(spark, sf).select(root_of("dirname").alias("root"))
+    roots = X.live_all(spark, sf).select(root_of("dirname").alias("root"))
     return R.last_activity(X.hist_events(spark, sf), roots, NOW_EVENTS)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.paths import full_path
+from ..model import history_columns
 from ..operators import dedup as G
 from ..operators import reports as R
 from ..operators import retention as Fr
@@ -65,7 +66,7 @@ def q_retention_budget(spark, sf):
     es = X.event_sizes(spark, sf)
     cand = Fr.retention_hold(Fr.retention_score(es, NOW_EVENTS), NOW_EVENTS, 0, 7, 24)
     cand = cand.filter(F.col("eligible"))
-    shortfall = (cand.agg(F.sum("size")).scalar() / 10).cast("long")
+    shortfall = cand.agg(F.expr("sum(size) div 10")).scalar()
     return Fr.retention_budget(cand, shortfall)
 
 
@@ -79,7 +80,7 @@ SELECT {HC}, size, freed_before FROM run, need WHERE freed_before < need.shortfa
 def q_retention_budget_fifo(spark, sf):
     """F3 + F4: oldest end first (class ignored, no hold), until a tenth of the closed bytes is free."""
     cand = Fr.retention_fifo(X.event_sizes(spark, sf))
-    shortfall = (cand.agg(F.sum("size")).scalar() / 10).cast("long")
+    shortfall = cand.agg(F.expr("sum(size) div 10")).scalar()
     return Fr.retention_budget(cand, shortfall, order="fifo")
 
 
@@ -201,16 +202,20 @@ def q_dedup_counters(spark, sf):
 
 # ---------------------------------------------------------------- I: hierarchy
 
+# every proper prefix of a row's directory is a directory, as old as its oldest row and as long-lived as its last
 ROLLUP_SQL = """
-WITH RECURSIVE cte(org, parent, name, rest, pos, data1, data2) AS (
-  SELECT dirname, '', '.', substr(dirname, 3), 0, min(created), max(deleted) FROM {src} GROUP BY dirname
-  UNION ALL
-  SELECT org, substr(org, 1, pos + length(name) + 1), substr(rest, 1, instr(rest, '/') - 1),
-         substr(rest, instr(rest, '/') + 1), pos + length(name) + 1, data1, data2
-  FROM cte WHERE rest <> '')
-SELECT CAST(0 AS BIGINT) AS inode, 'd' AS type, parent AS dirname, name AS filename,
-       min(data1) AS created, max(data2) AS deleted
-FROM cte WHERE pos <> 0 GROUP BY parent, name"""
+SELECT CAST(0 AS BIGINT) AS inode, 'd' AS type, array_to_string(parts[1:i], '/') || '/' AS dirname, parts[i + 1] AS filename,
+       min(first) AS created, max(last) AS deleted
+FROM (SELECT string_split(rtrim(dirname, '/'), '/') AS parts, created AS first, deleted AS last FROM {src}) x,
+     LATERAL (SELECT unnest(range(1, len(x.parts))) AS i)
+GROUP BY 3, 4"""
+
+# live directories take the smallest id below them
+LIVE_DIRS_SQL = """
+SELECT array_to_string(parts[1:i], '/') || '/' AS dirname, parts[i + 1] AS filename, min(inode) AS inode
+FROM (SELECT string_split(rtrim(dirname, '/'), '/') AS parts, inode FROM live_all) x,
+     LATERAL (SELECT unnest(range(1, len(x.parts))) AS i)
+GROUP BY 1, 2"""
 
 
 @register("rollup_ancestors", ROLLUP_SQL.format(src="hist_events"), ("hist_events",), headline=True)
@@ -219,30 +224,17 @@ def q_rollup_ancestors(spark, sf):
     return I.rollup_ancestors(X.hist_events(spark, sf))
 
 
-EARLY = "TIMESTAMP '2024-01-01 12:00:00'"
 def _live_dirs(spark, sf):
     from ..functions.paths import ancestor_dirs
-    lv = X.live_obj(spark, sf).groupBy("dirname").agg(F.min("inode").alias("m"))
+    lv = X.live_all(spark, sf).groupBy("dirname").agg(F.min("inode").alias("m"))
     x = lv.select(F.explode(ancestor_dirs("dirname")).alias("a"), "m")
     return x.groupBy(F.col("a.parent").alias("dirname"), F.col("a.name").alias("filename")).agg(
         F.min("m").alias("inode"))
 
 
 @register("upsert_dir_ids", f"""
-WITH RECURSIVE cte(org, parent, name, rest, pos, data1, data2) AS (
-  SELECT dirname, '', '.', substr(dirname, 3), 0, min(created), max(deleted) FROM hist_events
-  WHERE created < {EARLY} GROUP BY dirname
-  UNION ALL
-  SELECT org, substr(org, 1, pos + length(name) + 1), substr(rest, 1, instr(rest, '/') - 1),
-         substr(rest, instr(rest, '/') + 1), pos + length(name) + 1, data1, data2 FROM cte WHERE rest <> ''),
-lcte(org, parent, name, rest, pos, m) AS (
-  SELECT dirname, '', '.', substr(dirname, 3), 0, min(inode) FROM live_obj GROUP BY dirname
-  UNION ALL
-  SELECT org, substr(org, 1, pos + length(name) + 1), substr(rest, 1, instr(rest, '/') - 1),
-         substr(rest, instr(rest, '/') + 1), pos + length(name) + 1, m FROM lcte WHERE rest <> ''),
-dirs AS (SELECT CAST(0 AS BIGINT) AS inode, parent AS dirname, name AS filename, min(data1) AS created,
-                max(data2) AS deleted FROM cte WHERE pos <> 0 GROUP BY parent, name),
-live AS (SELECT parent AS dirname, name AS filename, min(m) AS inode FROM lcte WHERE pos <> 0 GROUP BY parent, name),
+WITH dirs AS ({ROLLUP_SQL.format(src='hist_events')}),
+live AS ({LIVE_DIRS_SQL}),
 mn AS (SELECT min(created) AS m FROM (SELECT created FROM hist_events UNION ALL SELECT created FROM dirs)),
 up AS (SELECT coalesce(l.inode, d.inode) AS inode, 'd' AS type, coalesce(d.dirname, l.dirname) AS dirname,
               coalesce(d.filename, l.filename) AS filename, coalesce(d.created, (SELECT m FROM mn)) AS created,
@@ -250,11 +242,11 @@ up AS (SELECT coalesce(l.inode, d.inode) AS inode, 'd' AS type, coalesce(d.dirna
        FROM dirs d FULL OUTER JOIN live l ON d.dirname = l.dirname AND d.filename = l.filename)
 SELECT inode, type, dirname, filename, created, deleted, freq FROM hist_events
 UNION ALL
-SELECT *, {freq_sql()} FROM up""", ("hist_events", "live_obj"))
+SELECT *, {freq_sql()} FROM up""", ("hist_events", "live_all"))
 def q_upsert_dir_ids(spark, sf):
-    """Directory versions of an early history get the live directory ids; new ones are inserted."""
-    h = X.hist_events(spark, sf)
-    dirs = I.rollup_ancestors(h.filter(F.col("created") < F.to_timestamp(F.lit("2024-01-01 12:00:00"))))
+    """Directory versions get the live directory ids; new ones are inserted."""
+    h = history_columns(X.hist_events(spark, sf))
+    dirs = I.rollup_ancestors(h)
     dirs = dirs.select(F.xxhash64("dirname", "filename").alias("row_id"), *dirs.columns).withColumn(
         "freq", F.lit(None).cast("long"))
     from ..functions.classes import freq_class

@@ -6,7 +6,6 @@ wall-clock times without a zone), so the session time zone is pinned to UTC.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,13 +59,17 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the cluster (a shared file system); it is read
-    from the session. Only when it is unset (local tests) a scratch folder is
-    created and registered.
+    from the session. Only when it is unset and Spark runs in one process
+    (local tests) a scratch folder is created and registered; on a cluster, where
+    machines do not share a local folder, a missing setting is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by all machines")
         d = tempfile.mkdtemp(prefix="spanlog-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -85,14 +88,3 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage by a reliable checkpoint in the shared folder (never a local one)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

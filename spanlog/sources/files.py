@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import split_path
+from ..plans.ordered import global_exclusive_cumsum
 
 
 def scan_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -24,8 +25,15 @@ def scan_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines with a sequence number that follows the file order (for order-sensitive parsers)."""
-    return spark.read.text(path).withColumn("seq", F.monotonically_increasing_id())
+    """Text lines numbered from 0 in the order of their files' paths and, within a file, of the lines.
+
+    Order-sensitive parsers need it. A line's place is (file, start of its piece of the file, row number within the scan), for a
+    scan may pack files in any order but reads a piece from front to back; a global running count turns it into a number.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_piece"),
+        F.monotonically_increasing_id().alias("_row"), F.lit(1).cast("long").alias("_line"))
+    return global_exclusive_cumsum(lines, ["_file", "_piece", "_row"], "_line", "seq").select("value", "seq")
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = "|", header: bool = False) -> DataFrame:

@@ -82,13 +82,18 @@ def metric_name(name):
 def parse_run_stats(lines: DataFrame, metrics: list[str]) -> DataFrame:
     """``name: value`` lines of each run (``run``, ``value``) -> one wide row per run.
 
-    The metric list is given (the pivot then needs no extra pass to find it).
+    The metric list is given (the pivot then needs no extra pass to find it); metrics outside
+    the list are in ``parse_run_metrics``. Of a metric stated twice in a run the greatest text counts.
     """
+    return parse_run_metrics(lines).groupBy("run").pivot("metric", metrics).agg(F.max("val"))
+
+
+def parse_run_metrics(lines: DataFrame) -> DataFrame:
+    """A6, long form: (run, metric, val) of every ``name: value`` line."""
     v = F.col("value")
-    kv = lines.filter(v.rlike(STATS_RE)).select(
+    return lines.filter(v.rlike(STATS_RE)).select(
         "run", metric_name(F.regexp_extract(v, STATS_RE, 1)).alias("metric"),
         F.trim(F.regexp_extract(v, STATS_RE, 2)).alias("val"))
-    return kv.groupBy("run").pivot("metric", metrics).agg(F.first("val"))
 
 
 def parse_snapshot_dirs(paths: DataFrame, col: str = "path") -> DataFrame:

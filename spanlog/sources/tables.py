@@ -36,14 +36,15 @@ def write_history(h: DataFrame, path: str, files: int | None = None, mode: str =
 
 
 def read_history(spark: SparkSession, path: str, open_only: bool = False) -> DataFrame:
+    """The table with its partition column ``is_open``, by which ``open_versions`` prunes; ``history_columns`` drops it."""
     schema = T.StructType(HISTORY_SCHEMA.fields + [T.StructField("is_open", T.IntegerType())])
     h = spark.read.schema(schema).parquet(path)
     if open_only:
         h = h.filter(F.col("is_open") == 1)
-    return h.drop("is_open")
+    return h
 
 
 def write_snapshots(snaps: DataFrame, path: str, grain: str, mode: str = "errorifexists") -> None:
-    """Rolling snapshots (D7 output) as a table partitioned by grain and bucket."""
-    (snaps.withColumn("grain", F.lit(grain)).repartition("bucket")
+    """Rolling snapshots (D7 output) as a table partitioned by grain and bucket; a large snapshot is cut by its paths."""
+    (snaps.withColumn("grain", F.lit(grain)).repartitionByRange("bucket", "dirname", "filename")
      .write.mode(mode).partitionBy("grain", "bucket").parquet(path))

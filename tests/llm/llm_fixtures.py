@@ -1,3 +1,5 @@
+"""Fixtures of the tests in this folder; a second conftest would hide the one above."""
+
 import pytest
 
 #: Columns that operators use for their own results or inside their plans; inputs that carry them must not break anything.

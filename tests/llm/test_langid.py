@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from spanlog.llm import langid
 from spanlog.llm.queries import QUERIES
+from llm_fixtures import make_docs  # noqa: E402, F401
 
 WORDS = {"aa": ["banana", "ananas", "nab", "abba", "na"], "zz": ["zozo", "ozzy", "zoo", "yoz", "oyo"]}
 

@@ -2,6 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from spanlog.llm import mixing
+from llm_fixtures import make_docs  # noqa: E402, F401
 
 
 def raked(cells, goals, rounds):

@@ -5,6 +5,7 @@ import sentencepiece
 
 from spanlog.llm import pieces
 from spanlog.llm.queries import QUERIES
+from llm_fixtures import make_docs  # noqa: E402, F401
 
 
 @pytest.fixture(scope="module")

@@ -9,6 +9,7 @@ import corpus_pipeline as pipeline  # noqa: E402
 from spanlog.llm import langid, pieces  # noqa: E402
 from test_secrets import brute as brute_secrets  # noqa: E402
 from test_simhash import brute_classes, brute_fingerprint  # noqa: E402
+from llm_fixtures import make_docs  # noqa: E402, F401
 
 SF = "/root/testdata/sf0.001"
 

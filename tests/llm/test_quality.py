@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from spanlog.llm import quality
 from spanlog.llm.queries import QUERIES
+from llm_fixtures import make_docs  # noqa: E402, F401
 
 
 def test_forward_backward_equals_enumeration():

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from spanlog.llm import secrets
 from spanlog.llm.queries import QUERIES
+from llm_fixtures import make_docs, make_table  # noqa: E402, F401
 
 RULES = [("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
          ("access", "AKIA[A-Z0-9]+"), ("hex", "[0-9a-f]+")]

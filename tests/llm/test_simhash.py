@@ -6,6 +6,7 @@ import xxhash
 
 from spanlog.llm import simhash
 from spanlog.llm.graph import connected_components
+from llm_fixtures import make_docs  # noqa: E402, F401
 
 
 def brute_fingerprint(text, shingle=3):

@@ -4,6 +4,7 @@ import numpy as np
 
 from spanlog.llm import substrings
 from spanlog.llm.rindex import RunLengthIndex
+from llm_fixtures import make_docs  # noqa: E402, F401
 
 
 def brute_removed(texts, window=100):

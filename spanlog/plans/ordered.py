@@ -9,7 +9,8 @@ broadcast: its size is bounded by the partition count) carries the state
 across partition borders.
 
 The range-partitioned data is checkpointed to the shared folder first: the
-partition ids are read twice and range bounds come from sampling.
+partition ids are read twice and range bounds come from sampling.  One exchange
+by partition id follows, each range to its own reducer; windows and summaries share it.
 """
 
 from __future__ import annotations
@@ -34,7 +35,9 @@ def _ranged(df: DataFrame, keys: list[str], order: list[str], partitions: int |
     else:
         r = df.repartitionByRange(*_cols(keys + order))
     r = reliable_checkpoint(r)
-    return r.withColumn(_PID, F.spark_partition_id())
+    # every range goes to a reducer of its own: the windows and summaries below need no further
+    # exchange, and ranges stay as even as they were cut (hashing their ids would pile some up)
+    return r.withColumn(_PID, F.spark_partition_id()).repartitionById(max(1, r.rdd.getNumPartitions()), F.col(_PID))
 
 
 def _key_struct(keys: list[str]) -> Column:

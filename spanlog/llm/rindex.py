@@ -19,9 +19,10 @@ class RunLengthIndex:
         self.depth, m = depth, len(strings)
         self.size = np.array([len(s) for s in strings], np.int64)
         self.end = np.cumsum(self.size + 1) - 1  # text position of each separator
-        text = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8).astype(np.int64) + m
+        data = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
+        text = data.astype(np.int64) + m
         text[self.end] = np.arange(m)
-        rank, part, h = self._ranks(text, m + 256)
+        rank, part, h = self._ranks(data)
         n = len(text)
         order = np.empty(n, np.int64)
         order[rank] = np.arange(n)
@@ -43,26 +44,44 @@ class RunLengthIndex:
         starts = np.nonzero(new)[0]
         self.interval_start, self.interval_first = starts, np.minimum.reduceat(order, starts)
 
-    def _ranks(self, text: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, int]:
-        """(row of every suffix, ranks by h symbols, h): h is the last length sorted by that is not above ``depth``."""
-        n = len(text)
-        padded = np.concatenate([text, np.zeros(2, np.int64)])
-        first = (1, 2, 3)[min(self.depth, 3) - 1]
-        key = text if first == 1 else padded[:n] * base + padded[1:n + 1]  # base is below 2^20
-        if first == 3:
-            key = key * base + padded[2:n + 2]
-        h, (rank, ties) = first, self._refined(key, np.arange(n), np.zeros(n, np.int64), n)
+    def _ranks(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """(row of every suffix, ranks by h bytes, h): h is the last length sorted by that is not above ``depth``.
+
+        A suffix ends at its string's separator; of equal ones that of the earlier string is smaller, as if separators
+        differed. Ranks by h bytes tell suffixes that end before h bytes from all others, but not from each other."""
+        n = len(data)
+        of = np.repeat(np.arange(len(self.end)), self.size + 1)
+        left = self.end[of] - np.arange(n)  # bytes up to the separator
+        used = np.unique(data)
+        number = np.zeros(256, np.int64)
+        number[used] = np.arange(1, len(used) + 1)
+        width = len(used) + 1
+        symbol = number[data]
+        symbol[self.end] = 0
+        first = min(int(62 / np.log2(width)), self.depth, 16)
+        key = symbol
+        length = 1
+        while length < first:
+            more = min(length, first - length)  # symbols at ``length`` and on, as a number of that many digits
+            after = np.zeros(n, np.int64)
+            after[:max(0, n - length)] = key[length:] // width ** (length - more)
+            after[left <= length] = 0
+            key = key * width ** more + after
+            length += more
+        h, (rank, ties) = first, self._refined(key, np.arange(n), np.zeros(n, np.int64))
         part, part_h = rank, h
-        while len(ties):
-            after = np.where(ties + h < n, rank[np.minimum(ties + h, n - 1)] + 1, 0)
-            rank, ties = self._refined(rank[ties] * (n + 2) + after, ties, rank, n)
+        while len(ties) and h <= self.size.max(initial=0):
+            after = np.where(left[ties] >= h, rank[np.minimum(ties + h, n - 1)] + 1, 0)
+            rank, ties = self._refined(rank[ties] * (n + 2) + after, ties, rank)
             h *= 2
             if h <= self.depth:
                 part, part_h = rank, h
+        if len(ties):  # equal to the end: by position
+            rank, _ = self._refined(rank[ties] * (n + 2) + ties, ties, rank)
         return rank, part, part_h
 
     @staticmethod
-    def _refined(key: np.ndarray, rows: np.ndarray, rank: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    def _refined(key: np.ndarray, rows: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Refines the ranks of ``rows`` (tied ones) by ``key``, which sorts by their ranks first; a rank is the number of
         suffixes below. Also the rows still tied."""
         order = np.argsort(key)

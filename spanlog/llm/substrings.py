@@ -9,7 +9,7 @@ A byte goes if a ``WINDOW``-byte string covering it also starts earlier: in a do
    occurs twice in the slice, which may then repeat itself. What remains are anchors whose slices differ: the edges of copied passages.
 3. The bytes of these slices are fetched, and the slices of an anchor go, in the order of their documents, into a run-length
    index (``rindex``). Streaming them through it marks every window that starts earlier, too.
-4. An anchor whose slices exceed ``index_bytes`` is not indexed as one group: its slices are cut anew by the anchors of longer
+4. An anchor whose slices exceed ``HOT_TIMES`` times ``index_bytes`` is not indexed as one group: its slices are cut anew by the anchors of longer
    grams, at last whole windows, where equal anchors mean equal windows. Exact for any skew, in bounded memory.
 5. The marked windows of a document are united and their bytes removed.
 """
@@ -29,7 +29,8 @@ from .rindex import RunLengthIndex
 
 WINDOW = 100  # fixed by the contract
 GRAMS = (48, 80, WINDOW)
-INDEX_BYTES = 1 << 20
+INDEX_BYTES = 1 << 19  # bytes after which an index is built from the anchors held
+HOT_TIMES = 2  # an anchor with so many times these bytes is cut again
 ROWS_AT_ONCE = 200_000
 MARK, SLICE, HOT = 0, 1, 2
 
@@ -99,14 +100,41 @@ NAMES = ["a", "s", "doc", "seq", "start", "count"]
 Rows = list[np.ndarray]  # the columns NAMES
 
 
-def split_equal(rows: Rows) -> tuple[Rows, np.ndarray, np.ndarray]:
-    """(rows by anchor, slice, document, place; whether each is the first of its equal slices; heads of the anchors)."""
-    order = np.lexsort((rows[4], rows[3], rows[2], rows[5], rows[1], rows[0]))
+def differs(c: np.ndarray) -> np.ndarray:
+    """Whether each value differs from the one before."""
+    return np.concatenate([np.ones(min(1, len(c)), bool), c[1:] != c[:-1]])
+
+
+def first_of_equal(rows: Rows, key: np.ndarray) -> np.ndarray:
+    """Whether each row is the first, by document and place, of its equal slices; equal slices have an equal ``key``."""
+    order = np.argsort(key)
+    new = differs(key[order])
+    shared = order[~(new & np.append(new[1:], True))]  # most slices are alone
+    first = np.ones(len(key), bool)
+    if len(shared):
+        part = [c[shared] for c in rows]
+        order = np.lexsort((part[4], part[3], part[2], part[5], part[1], part[0]))
+        first[shared[order]] = differs(part[0][order]) | differs(part[1][order]) | differs(part[5][order])
+    return first
+
+
+def united(rows: Rows) -> Rows:
+    """Marks, neighbouring ones of a document as one."""
+    order = np.lexsort((rows[4], rows[3], rows[2]))
     rows = [c[order] for c in rows]
-    a, s, count = rows[0], rows[1], rows[5]
-    anchor = np.concatenate([[True], a[1:] != a[:-1]])
-    first = anchor | np.concatenate([[True], (s[1:] != s[:-1]) | (count[1:] != count[:-1])])
-    return rows, first, np.nonzero(anchor)[0]
+    doc, seq, start, count = rows[2:]
+    heads = np.nonzero(differs(doc) | differs(seq) | np.concatenate([np.ones(min(1, len(start)), bool), start[1:] != start[:-1] + count[:-1]]))[0]
+    return [*(c[heads] for c in rows[:5]), np.add.reduceat(count, heads) if len(heads) else count]
+
+
+def settled_here(rows: Rows) -> Iterator[pa.RecordBatch]:
+    """The first of equal slices, and marks for the others."""
+    first = first_of_equal(rows, rows[0] * _MIX ^ rows[1])
+    if first.any():
+        yield batch_of(np.full(int(first.sum()), SLICE), [c[first] for c in rows])
+    if not first.all():
+        marks = united([c[~first] for c in rows])
+        yield batch_of(np.full(len(marks[0]), MARK), marks)
 
 
 def batch_of(kind: np.ndarray, rows: Rows, extra: pa.Array | None = None) -> pa.RecordBatch:
@@ -134,9 +162,7 @@ def anchored(docs: DataFrame) -> DataFrame:
                     a, s, start, count = slices(np.frombuffer(text.as_buffer(), np.uint8) if len(text.as_buffer()) else np.empty(0, np.uint8), GRAMS[0])
                     found.append([a, s, np.full(len(a), doc, np.int64), np.full(len(a), seq, np.int64), start, count])
                 if found:
-                    rows, first, _ = split_equal([np.concatenate(c) for c in zip(*found, strict=True)])
-                    if len(first):
-                        yield batch_of(np.where(first, SLICE, MARK), rows)
+                    yield from settled_here([np.concatenate(c) for c in zip(*found, strict=True)])
     return docs.mapInArrow(run, ROW)
 
 
@@ -152,7 +178,8 @@ def settle(rows: DataFrame, gram: int, index_bytes: int) -> DataFrame:
         def out(rows: Rows, final: bool) -> Iterator[pa.RecordBatch]:
             """Sends what is decided; keeps the last anchor's rows unless ``final``."""
             nonlocal held, size, hot
-            rows, first, heads = split_equal(rows)
+            first = first_of_equal(rows, rows[0])
+            heads = np.nonzero(differs(rows[0]))[0]
             ends = np.append(heads[1:], len(first))
             if not final:
                 keep = heads[-1]
@@ -173,7 +200,7 @@ def settle(rows: DataFrame, gram: int, index_bytes: int) -> DataFrame:
             slices_of = np.add.reduceat(first.astype(np.int64), heads)
             bytes_of = np.add.reduceat(np.where(first, count + WINDOW - 1, 0), heads)
             reach = np.repeat(slices_of > 1, ends - heads) | (s & np.uint64(1) > 0)
-            heavy = np.repeat(bytes_of > index_bytes, ends - heads) if gram < WINDOW else np.zeros(len(first), bool)
+            heavy = np.repeat(bytes_of > HOT_TIMES * index_bytes, ends - heads) if gram < WINDOW else np.zeros(len(first), bool)
             kind = np.where(~first, MARK, np.where(heavy, HOT, SLICE))
             send = ~first | reach
             if send.any():
@@ -264,8 +291,7 @@ def cut_again(rows: DataFrame, gram: int) -> DataFrame:
                 a, s, start, count = slices(np.frombuffer(b, np.uint8), gram)
                 found.append([a, s, np.full(len(a), doc, np.int64), np.full(len(a), seq, np.int64), start + at, count])
             if found:
-                rows = [np.concatenate(c) for c in zip(*found, strict=True)]
-                yield batch_of(np.full(len(rows[0]), SLICE), rows)
+                yield from settled_here([np.concatenate(c) for c in zip(*found, strict=True)])
     return rows.mapInArrow(run, ROW)
 
 

@@ -1,38 +1,46 @@
 """Structured Streaming forms: throttle, history upkeep per listing, intervals from change events.
 
-Sources are file streams (``readStream``) read with ``trigger(availableNow=True)``;
-results go to parquet under the shared folder named by ``spark.checkpoint.dir``
-through ``foreachBatch`` with the batch id in the path, so a replayed batch
-overwrites its own output (idempotent).
+Sources are file streams (``readStream``) read with ``trigger(availableNow=True)``. Results are Parquet tables written by
+``foreachBatch`` under a path that holds the batch id, so a replayed batch overwrites its own output. Table and checkpoint
+folders are arguments: a stream that is started again with the same two goes on where it stopped (left out, both are new folders
+in the shared one). What a batch needs from the batches before it lies in the table, never in the driver: batch ``n`` reads
+version ``n - 1``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from ..functions.classes import freq_class
 from ..functions.times import throttle_bucket
-from ..operators.history import apply_snapshot
+from ..model import KEY, ROW4, closed_versions, history_columns, open_versions
+from ..operators.history import series_to_history
+from ..plans.ordered import keyed_scan
 from ..session import scratch_path
 from ..sources.tables import read_history, write_history
 
-# buckets that are fixed-length event-time windows (UTC): their state can be evicted
-FIXED_GRAIN = {"hourly": "1 hour", "daily": "1 day"}
 EVENT_SCHEMA = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 
 
-def split_events(spark: SparkSession, sf_dir: str, parts: int = 4) -> str:
-    """Copy the events table into ``parts`` files by event id range, written one after the other
-    (file streams take files in modification order)."""
+def split_events(spark: SparkSession, sf_dir: str, parts: int = 4, ordered: bool = False) -> str:
+    """Copy the events table into files to stream from.
+
+    One parallel write, for streams that take rows in any order; ``ordered`` writes ``parts`` files by event id
+    one after the other (file streams take files in modification order), for those that need time order."""
     from ..model import read_table
     e = read_table(spark, sf_dir, "events")
+    out = scratch_path(spark, "events-stream")
+    if not ordered:
+        e.repartition(parts).write.parquet(out)
+        return out
     bounds = e.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
     lo, hi = int(bounds["lo"]), int(bounds["hi"])
-    out = scratch_path(spark, "events-stream")
     step = (hi - lo) // parts + 1
     for i in range(parts):
         a, b = lo + i * step, lo + (i + 1) * step
@@ -45,108 +53,119 @@ def event_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def _run(query_writer, name: str, spark: SparkSession) -> None:
-    """Run a stream to the end of its input.  A stateful stream fixes its number of state
-    partitions when it starts; it is sized to the cluster's cores (at most twice them) rather
-    than to a batch setting made for large shuffles, and the setting is restored afterwards."""
+def _run(query_writer, name: str, spark: SparkSession, checkpoint: str | None = None, state_partitions: int | None = None) -> int:
+    """Run a stream to the end of its input; returns the rows that its watermark dropped as late.
+
+    A stateful stream fixes its number of state partitions when it starts first. ``state_partitions`` sets it, for a cluster
+    that may grow; left out, it is the session's number of shuffle partitions, or twice the cores if that is less. The
+    session's setting is changed only while the query starts."""
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(old), 2 * spark.sparkContext.defaultParallelism)))
+    spark.conf.set(key, str(state_partitions or min(int(old), 2 * spark.sparkContext.defaultParallelism)))
     try:
-        q = query_writer.option("checkpointLocation", scratch_path(spark, f"ckpt-{name}")) \
-            .trigger(availableNow=True).start()
-        q.awaitTermination()
+        q = query_writer.option("checkpointLocation", checkpoint or scratch_path(spark, f"ckpt-{name}")).trigger(availableNow=True).start()
     finally:
         spark.conf.set(key, old)
+    q.awaitTermination()
+    return sum(op.numRowsDroppedByWatermark for p in q.recentProgress for op in p.stateOperators)
 
 
-def throttle_stream(stream: DataFrame, grain: str, spark: SparkSession, source: str = "source",
-                    t: str = "ts", tie: str = "event_id") -> DataFrame:
-    """F10 on a stream.  A streaming aggregate keeps the first event per (source, bucket)
-    and emits updates; updates are appended per batch and combined by ``min`` on read, which
-    equals the batch result whatever the arrival order."""
-    out = scratch_path(spark, "throttle")
-    keys = [F.col(source).alias("source"), throttle_bucket(grain, t).alias("bucket")]
-    if grain in FIXED_GRAIN:
-        # a fixed event-time window on the key lets the watermark evict finished buckets
-        keys.append(F.window(F.col(t), FIXED_GRAIN[grain]).alias("w"))
-    agg = (stream.withWatermark(t, "1 day").groupBy(*keys)
-           .agg(F.min(F.struct(F.col(t).alias("run_ts"), F.col(tie).alias("event_id"))).alias("r"))
-           .select("source", "bucket", "r"))
+def throttle_stream(stream: DataFrame, grain: str, spark: SparkSession, source: str = "source", t: str = "ts", tie: str = "event_id",
+                    table: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """F10 on a stream.
+
+    Each batch appends its own first event per (source, bucket), and reading takes the minimum over the batches. Minima can be
+    merged in any order, so no state and no watermark are needed, no row is ever late, and the result equals the batch
+    result whatever the arrival order."""
+    out = table or scratch_path(spark, "throttle")
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        (df.groupBy(F.col(source).alias("source"), throttle_bucket(grain, t).alias("bucket"))
+         .agg(F.min(F.struct(F.col(t).alias("run_ts"), F.col(tie).alias("event_id"))).alias("r"))
+         .write.mode("overwrite").parquet(f"{out}/batch={batch_id}"))
 
-    _run(agg.writeStream.outputMode("update").foreachBatch(sink), "throttle", spark)
+    _run(stream.writeStream.foreachBatch(sink), "throttle", spark, checkpoint)
     r = spark.read.parquet(out)
     return (r.groupBy("source", "bucket").agg(F.min("r").alias("r"))
             .select("source", "bucket", "r.run_ts", "r.event_id"))
 
 
-def history_stream(listings: DataFrame, spark: SparkSession, start: DataFrame, t: str = "t") -> DataFrame:
-    """Each arriving listing (rows with their snapshot time) is applied to the history.
-
-    The history lives as parquet versions ``v=<batch>`` in the shared folder;
-    each batch applies its snapshot times in order (the list of times in one
-    batch is small) and writes the next version, which also cuts the lineage.
-    """
-    base = scratch_path(spark, "history")
-    write_history(start, f"{base}/v=-1", mode="overwrite")
-    state = {"last": -1}
+def apply_listings(h: DataFrame, listings: DataFrame, t: str = "t") -> DataFrame:
+    """The history after several listings, in one pass (equals B6 for each in order of its time).
+
+    A row without a path only says that a listing was taken at its time: that is how an empty listing is stated. The open
+    versions stand for a listing before the first; those still there at the first time keep their start."""
+    rows = listings.withColumnRenamed(t, "t").select("t", *ROW4)
+    times = rows.select("t").distinct()
+    first = times.agg(F.min("t")).head()[0]
+    if first is None:
+        return history_columns(h)
+    now = open_versions(h)
+    before = F.lit(first) - F.expr("INTERVAL 1 SECOND")
+    again = rows.filter(F.col("dirname").isNotNull()).unionByName(now.select(before.alias("t"), *ROW4))
+    made = series_to_history(again, times.unionByName(times.limit(1).select(before.alias("t"))))
+    start = now.select(*ROW4, F.col("row_id").alias("_id"), F.col("created").alias("_since"))
+    made = made.join(start.withColumn("_old", F.lit(True)), ROW4, "left")
+    old = F.col("_old").isNotNull() & (F.col("created") == before)
+    made = (made.withColumn("row_id", F.when(old, F.col("_id")).otherwise(F.col("row_id")))
+            .withColumn("created", F.when(old, F.col("_since")).otherwise(F.col("created")))
+            .withColumn("freq", freq_class("created", "deleted")))
+    return history_columns(closed_versions(h)).unionByName(history_columns(made))
+
+
+def history_stream(listings: DataFrame, spark: SparkSession, start: DataFrame, t: str = "t", table: str | None = None,
+                   checkpoint: str | None = None) -> DataFrame:
+    """Arriving listings (rows with their snapshot time, see ``apply_listings``) are applied to the history.
+
+    The history lives as versions ``v=<batch>`` of the table; ``start`` is version -1, written when the stream starts first.
+    Batches must hold whole listings, in time order from batch to batch."""
+    base = table or scratch_path(spark, "history")
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+
+    def versions() -> list[int]:
+        path = jvm.Path(base)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+        return sorted(int(n[2:]) for n in names if n.startswith("v=") and fs.exists(jvm.Path(f"{base}/{n}/_SUCCESS")))
+
+    if not versions():
+        write_history(start, f"{base}/v=-1", mode="overwrite")
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        src = f"{base}/v={state['last']}"
-        times = [r[0] for r in df.select(t).distinct().orderBy(t).collect()]
-        for i, tt in enumerate(times):
-            inv = df.filter(F.col(t) == F.lit(tt)).drop(t)
-            h2 = apply_snapshot(read_history(spark, src), inv, tt).history
-            # every step is written (open versions in their own partition) and read back:
-            # the plan of the next step stays flat and its diff reads only open versions
-            last = i == len(times) - 1
-            dst = f"{base}/v={batch_id}" if last else f"{base}/step={batch_id}-{i}"
-            write_history(h2, dst, mode="overwrite", sorted_layout=last)
-            src = dst
-        state["last"] = batch_id
-
-    _run(listings.writeStream.foreachBatch(sink), "history", spark)
-    return read_history(spark, f"{base}/v={state['last']}")
-
-
-INTERVAL_SCHEMA = "row_id long, inode long, type string, dirname string, filename string, created timestamp, deleted timestamp"
-STATE_SCHEMA = "inode long, created timestamp"
-
-
-def _intervals(key, pdfs: Iterator[pd.DataFrame], state):
-    """Per path: each new version closes the open one at its start (state = the open version)."""
-    dirname, filename = key
-    rows = pd.concat(list(pdfs)).sort_values(["created", "inode"])
-    cur = state.get if state.exists else None
-    out = []
-    for inode, created in zip(rows["inode"].tolist(), rows["created"].tolist()):
-        if cur is not None:
-            out.append((int(cur[0]), int(cur[0]), "f", dirname, filename, cur[1], created))
-        cur = (inode, created)
-    state.update(cur)
-    if out:
-        yield pd.DataFrame(out, columns=["row_id", "inode", "type", "dirname", "filename", "created", "deleted"])
-
-
-def interval_stream(changes: DataFrame, spark: SparkSession) -> DataFrame:
+        write_history(apply_listings(read_history(spark, f"{base}/v={batch_id - 1}"), df, t), f"{base}/v={batch_id}", mode="overwrite")
+
+    _run(listings.writeStream.foreachBatch(sink), "history", spark, checkpoint)
+    return read_history(spark, f"{base}/v={versions()[-1]}")
+
+
+def interval_stream(changes: DataFrame, spark: SparkSession, table: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Keyed change events (dirname, filename, inode, created) -> closed intervals as they end.
 
-    State per path holds the open version; events must arrive in time order per
-    path (as with an in-order file stream); the open versions stay in the state.
-    """
-    out = scratch_path(spark, "intervals")
-    s = changes.groupBy("dirname", "filename").applyInPandasWithState(
-        _intervals, INTERVAL_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+    A batch joins its events with the open version of each path, left by the batch before it, cuts them into intervals by an
+    ordered scan (a hot path is split over tasks) and writes the closed intervals and the versions now open. Events must
+    arrive in time order per path from batch to batch; within a batch any order does."""
+    base = table or scratch_path(spark, "intervals")
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        rows = df.select(*KEY, "inode", "created")
+        if batch_id > 0:
+            rows = rows.unionByName(spark.read.parquet(f"{base}/open/v={batch_id - 1}").select(*KEY, "inode", "created"))
+        # from the last event of a path to its first, so that the next one is what a lag sees
+        rows = rows.withColumn("_neg", -F.unix_micros("created")).withColumn("_id", -F.col("inode"))
+        s = keyed_scan(rows, KEY, ["_neg", "_id"], lag=["created"])
+        done = s.select(F.col("inode").alias("row_id"), "inode", F.lit("f").alias("type"), *KEY, "created", F.col("lag_created").alias("deleted"))
+        done.filter("deleted IS NOT NULL").write.mode("overwrite").parquet(f"{base}/closed/batch={batch_id}")
+        done.filter("deleted IS NULL").select(*KEY, "inode", "created").write.mode("overwrite").parquet(f"{base}/open/v={batch_id}")
+
+    _run(changes.writeStream.foreachBatch(sink), "intervals", spark, checkpoint)
+    return spark.read.parquet(f"{base}/closed").drop("batch")
 
-    _run(s.writeStream.outputMode("append").foreachBatch(sink), "intervals", spark)
-    return spark.read.parquet(out).drop("batch")
 
+@dataclass
+class StreamResult:
+    """What a stream with a watermark emitted, and how many of its input rows came too late to count."""
+    rows: DataFrame
+    late_rows: int
 
 
 DEBOUNCE_OUT = "key long, batch_start timestamp, fire_at timestamp, n_events long"
@@ -187,36 +206,38 @@ def _debounce_state(gap_us: int, thr_us: int):
     return fn
 
 
-def debounce_stream(stream: DataFrame, spark: SparkSession, key: str, ts: str, gap_s: int, max_s: int,
-                    tie: str = "event_id") -> DataFrame:
+def debounce_stream(stream: DataFrame, spark: SparkSession, key: str, ts: str, gap_s: int, max_s: int, delay: str,
+                    tie: str = "event_id", table: str | None = None, checkpoint: str | None = None) -> StreamResult:
     """L1/L2 on a stream: per-key state (batch start, fire time, size) with event-time timeouts.
 
     A batch is emitted when a later event of its key arrives at or after its fire
     time, or when the watermark passes the fire time; a batch still pending when
-    the input ends is not emitted (as the reference loses it).  Input must be in
-    time order per key (watermark delay 0; later rows would be dropped as late).
+    the input ends is not emitted (as the reference loses it).  Within a batch rows may
+    come in any order; from batch to batch they must be in time order per key.  Rows that
+    lie more than ``delay`` before the newest one seen are dropped and counted.
     """
-    out = scratch_path(spark, "debounce")
+    out = table or scratch_path(spark, "debounce")
     x = stream.select(F.col(key).cast("long").alias("key"), F.col(ts).alias("ts"),
                       F.unix_micros(F.col(ts)).alias("t"), F.col(tie).cast("long").alias("tie"))
-    s = (x.withWatermark("ts", "0 seconds").groupBy("key")
+    s = (x.withWatermark("ts", delay).groupBy("key")
          .applyInPandasWithState(_debounce_state(gap_s * 1_000_000, (max_s - gap_s) * 1_000_000),
                                  DEBOUNCE_OUT, DEBOUNCE_STATE, "append", GroupStateTimeout.EventTimeTimeout))
 
     def sink(df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    _run(s.writeStream.outputMode("append").foreachBatch(sink), "debounce", spark)
-    return spark.read.parquet(out).drop("batch")
+    late = _run(s.writeStream.outputMode("append").foreachBatch(sink), "debounce", spark, checkpoint)
+    return StreamResult(spark.read.parquet(out).drop("batch"), late)
 
 
-def session_stream(stream: DataFrame, spark: SparkSession, key: str, ts: str, gap_s: int) -> DataFrame:
-    """L3 on a stream: session windows per key in append mode; a session is emitted once
-    the watermark (delay 0, in-order input) has passed its end, so the sessions still open
-    at the end of the input are not emitted."""
-    out = scratch_path(spark, "sessions")
+def session_stream(stream: DataFrame, spark: SparkSession, key: str, ts: str, gap_s: int, delay: str,
+                   table: str | None = None, checkpoint: str | None = None) -> StreamResult:
+    """L3 on a stream: session windows per key in append mode; a session is emitted once the watermark, ``delay`` behind
+    the newest row, has passed its end, so the sessions still open at the end of the input are not emitted (they stay
+    in the state for a stream that goes on).  Rows behind the watermark are dropped and counted."""
+    out = table or scratch_path(spark, "sessions")
     w = F.session_window(F.col(ts), f"{gap_s} seconds")
-    agg = (stream.withWatermark(ts, "0 seconds")
+    agg = (stream.withWatermark(ts, delay)
            .groupBy(F.col(key).cast("long").alias("key"), w.alias("s"))
            .agg(F.count(F.lit(1)).alias("n_events"))
            .select("key", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "n_events"))
@@ -224,5 +245,5 @@ def session_stream(stream: DataFrame, spark: SparkSession, key: str, ts: str, ga
     def sink(df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    _run(agg.writeStream.outputMode("append").foreachBatch(sink), "sessions", spark)
-    return spark.read.parquet(out).drop("batch")
+    late = _run(agg.writeStream.outputMode("append").foreachBatch(sink), "sessions", spark, checkpoint)
+    return StreamResult(spark.read.parquet(out).drop("batch"), late)

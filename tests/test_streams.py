@@ -1,16 +1,78 @@
-"""Stream forms against their batch forms (smallest data set)."""
+"""Stream forms against their batch forms: any arrival order, late rows, going on after a stop (smallest data set)."""
+
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from spanlog.model import read_table
+from spanlog.model import empty_history, read_table
+from spanlog.operators.history import apply_snapshot
 from spanlog.operators.retention import calendar_throttle
 from spanlog.streaming import streams as St
 
 
-def test_throttle_stream_equals_batch_and_restores_settings(spark):
+def _events(spark):
+    return read_table(spark, SF_SMALL, "events")
+
+
+def _backwards(spark, path):
+    """All events in three files, the latest first."""
+    e = _events(spark)
+    lo, hi = e.agg(F.min("event_id"), F.max("event_id")).head()
+    step = (hi - lo) // 3 + 1
+    for i in (2, 1, 0):
+        e.filter((F.col("event_id") >= lo + i * step) & (F.col("event_id") < lo + (i + 1) * step)).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_throttle_stream_equals_batch_in_any_order_and_restores_settings(spark, tmp_path):
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    src = St.event_stream(spark, St.split_events(spark, SF_SMALL))
-    got = St.throttle_stream(src, "daily", spark, source="user_id")
+    _backwards(spark, f"{tmp_path}/in")
+    got = St.throttle_stream(St.event_stream(spark, f"{tmp_path}/in"), "daily", spark, source="user_id")
     assert spark.conf.get(key) == before
-    want = calendar_throttle(read_table(spark, SF_SMALL, "events"), "daily", source="user_id")
+    want = calendar_throttle(_events(spark), "daily", source="user_id")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    _backwards(spark, f"{tmp_path}/in")
+    total = _events(spark).count()
+    strict = St.session_stream(St.event_stream(spark, f"{tmp_path}/in"), spark, "user_id", "ts", 3600, delay="0 seconds")
+    counted = strict.rows.agg(F.sum("n_events")).head()[0]
+    patient = St.session_stream(St.event_stream(spark, f"{tmp_path}/in"), spark, "user_id", "ts", 3600, delay="60 days")
+    assert strict.late_rows > 0 and patient.late_rows == 0
+    # what is neither emitted nor late lies in sessions that the end of the input leaves open
+    end = _events(spark).agg(F.max("ts")).head()[0]
+    still = _events(spark).filter(F.col("ts") > F.lit(end) - F.expr("INTERVAL 2 DAYS")).count()
+    assert 0 <= total - counted - strict.late_rows <= still
+
+
+def test_throttle_and_intervals_go_on_after_a_stop(spark, tmp_path):
+    e = _events(spark).withColumn("dirname", F.concat(F.lit("./u"), F.col("user_id").cast("string"), F.lit("/"))) \
+        .select("dirname", F.col("event_type").alias("filename"), F.col("event_id").alias("inode"), F.col("ts").alias("created"))
+    cut = e.agg(F.expr("percentile_approx(inode, 0.6)")).head()[0]
+    paths = {"table": f"{tmp_path}/t", "checkpoint": f"{tmp_path}/c"}
+    for part in (F.col("inode") <= cut, F.col("inode") > cut):
+        e.filter(part).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        got = St.interval_stream(spark.readStream.schema(e.schema).parquet(f"{tmp_path}/in"), spark, **paths)
+    e.write.parquet(f"{tmp_path}/all")
+    want = St.interval_stream(spark.readStream.schema(e.schema).parquet(f"{tmp_path}/all"), spark)
+    assert got.count() > 100
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_history_goes_on_after_a_stop_and_takes_empty_listings(spark, tmp_path):
+    schema = "t timestamp, inode long, type string, dirname string, filename string"
+    days = {"2024-01-01": [(1, "x"), (2, "y")], "2024-01-02": [(1, "x"), (3, "y")], "2024-01-03": [], "2024-01-04": [(3, "y")], "2024-01-05": [(3, "y"), (5, "z")]}
+    paths = {"table": f"{tmp_path}/t", "checkpoint": f"{tmp_path}/c"}
+    want = empty_history(spark)
+    for t, rows in days.items():
+        listing = [(inode, "f", "./a/", name) for inode, name in rows]
+        marked = [(t, None, None, None, None), *[(t, *r) for r in listing]]
+        df = spark.createDataFrame(marked, schema.replace("t timestamp", "t string")).withColumn("t", F.to_timestamp("t"))
+        df.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        inv = spark.createDataFrame(listing, "inode long, type string, dirname string, filename string")
+        want = spark.createDataFrame(apply_snapshot(want, inv, f"{t} 00:00:00").history.collect(), want.schema)
+        if t in ("2024-01-02", "2024-01-05"):  # the stream runs twice, from the same folders
+            src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+            got = St.history_stream(src, spark, empty_history(spark), **paths)
+    columns = ["inode", "type", "dirname", "filename", "created", "deleted", "freq"]
+    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(map(tuple, want.select(*columns).collect()))

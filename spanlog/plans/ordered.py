@@ -46,18 +46,20 @@ def _key_struct(keys: list[str]) -> Column:
 
 def keyed_scan(df: DataFrame, keys: list[str], order: list[str], *,
                lag: list[str] = (), ffill: list[str] = (), cumsum: list[str] = (),
-               partitions: int | None = None) -> DataFrame:
+               partitions: int | None = None, keep_ranges: bool = False) -> DataFrame:
     """Add ``lag_<c>``, ``ffill_<c>`` (last non-null at or before the row) and
     ``cumsum_<c>`` (inclusive running sum) within each key in ``order``.
 
-    ``keys + order`` must be a total order of the rows.  Column names starting with
+    ``keys + order`` must be a total order of the rows.  With ``keep_ranges`` the result
+    keeps its ranges (column ``_pid``), and a second scan of it by the same keys and order
+    needs no new ranges, checkpoint or exchange.  Column names starting with
     ``_k``, ``_pid``, ``_first``, ``_lag_``, ``_ff_``, ``_cf_``, ``_krun_``, ``_cs_`` and ``_cprev``
     are used internally.
     """
-    clash = {"_k", _PID, "_first", "_fk", "_cprev"} & set(df.columns)
+    clash = {"_k", "_first", "_fk", "_cprev"} & set(df.columns)
     if clash:
         raise ValueError(f"reserved column names: {sorted(clash)}")
-    r = _ranged(df, list(keys), list(order), partitions)
+    r = df if _PID in df.columns else _ranged(df, list(keys), list(order), partitions)
     w = Window.partitionBy(_PID).orderBy(*_cols(list(keys) + list(order)))
     wrun = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     k = _key_struct(list(keys))
@@ -103,6 +105,8 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], *,
     internal = {_PID, "_k", "_first", "_fk", "_cprev"}
     internal |= {f"_lag_{c}" for c in lag} | {f"_ff_{c}" for c in ffill} | {f"_cf_{c}" for c in ffill}
     internal |= {f"_krun_{c}" for c in cumsum} | {f"_cs_{c}" for c in cumsum}
+    if keep_ranges:
+        internal.discard(_PID)
     return out.drop(*[x for x in out.columns if x in internal])
 
 

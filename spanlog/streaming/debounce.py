@@ -31,7 +31,7 @@ def sessions(df: DataFrame, key: str, ts: str, gap_s: int, tie: str, at_gap: boo
     ``gap`` (or at least ``gap`` with ``at_gap``, the session-window rule)."""
     x = df.select(F.col(key).cast("long").alias("key"), F.unix_micros(F.col(ts)).alias("t"),
                   F.col(tie).cast("long").alias("tie"))
-    x = keyed_scan(x, ["key"], ["t", "tie"], lag=["t"])
+    x = keyed_scan(x, ["key"], ["t", "tie"], lag=["t"], keep_ranges=True)
     silence = F.col("t") - F.col("lag_t")
     brk = silence >= gap_s * 1_000_000 if at_gap else silence > gap_s * 1_000_000
     x = x.withColumn("_start", F.when(F.col("lag_t").isNull() | brk, F.col("t")))
@@ -39,23 +39,47 @@ def sessions(df: DataFrame, key: str, ts: str, gap_s: int, tie: str, at_gap: boo
     return x.select("key", "t", "tie", F.col("ffill__start").alias("session"))
 
 
+def _extend(ts: np.ndarray, at: int, quiet: np.ndarray, t0: int, fire: int, gap_us: int, thr_us: int) -> tuple[int, int]:
+    """The end of a pending batch among the events ``ts[at:]`` of its session, and its fire time.
+
+    The events before ``t0 + thr`` postpone, up to the first silence of ``gap`` (``quiet`` holds the events after one);
+    then those before the fire time just join.  Two binary searches per batch, whatever its size."""
+    if at == len(ts) or ts[at] >= fire:
+        return at, fire
+    late = max(at, int(np.searchsorted(ts, t0 + thr_us)))
+    if late > at:
+        k = int(np.searchsorted(quiet, at, side="right"))
+        stop = min(late, int(quiet[k]) if k < len(quiet) else len(ts))
+        fire = int(ts[stop - 1]) + gap_us
+        if stop < late:
+            return stop, fire
+    return max(late, int(np.searchsorted(ts, fire))), fire
+
+
 def _fold(gap_us: int, thr_us: int):
     def run(it):
-        cur = None  # (key, session, t0, fire, n)
+        cur = None  # (key, session, t0, fire, n): the batch pending at the end of a chunk
         for pdf in it:
             out = []
             ks, ss, ts = pdf["key"].to_numpy(), pdf["session"].to_numpy(), pdf["t"].to_numpy()
-            for i in range(len(ts)):
-                k, s, t = int(ks[i]), int(ss[i]), int(ts[i])
-                if cur is not None and (cur[0] != k or cur[1] != s or t >= cur[3]):
+            new = np.nonzero(np.concatenate([[True], (ks[1:] != ks[:-1]) | (ss[1:] != ss[:-1])]))[0] if len(ts) else []
+            for b, e in zip(new, [*new[1:], len(ts)]):
+                key, session, own = int(ks[b]), int(ss[b]), ts[b:e]
+                quiet = np.nonzero(np.diff(own) >= gap_us)[0] + 1
+                if cur is not None and (cur[0], cur[1]) != (key, session):
                     out.append((cur[0], cur[2], cur[3], cur[4]))
                     cur = None
-                if cur is None:
-                    cur = [k, s, t, t + gap_us, 1]
-                else:
-                    if t - cur[2] < thr_us:
-                        cur[3] = t + gap_us
-                    cur[4] += 1
+                at = 0
+                while at < len(own):
+                    if cur is None:
+                        t0, n, fire, start = int(own[at]), 1, int(own[at]) + gap_us, at + 1
+                    else:
+                        t0, fire, n, start = cur[2], cur[3], cur[4], at
+                    at, fire = _extend(own, start, quiet, t0, fire, gap_us, thr_us)
+                    cur = (key, session, t0, fire, n + at - start)
+                    if at < len(own):
+                        out.append((key, t0, fire, cur[4]))
+                        cur = None
             if out:
                 yield _batches(out)
         if cur is not None:

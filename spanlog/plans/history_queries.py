@@ -319,7 +319,7 @@ FROM store3 s WHERE s.deleted = {OPEN_SQL} AND NOT EXISTS (
   AND h.filename = s.filename AND h.created = s.created AND h.deleted = s.deleted)"""
 
 
-@register("repair_all", REPAIR_SQL, ("hist_overlap", "live_obj", "store_obj"))
+@register("repair_all", REPAIR_SQL, ("hist_overlap", "live_obj", "store_obj"), headline=True)
 def q_repair_all(spark, sf):
     """All repairs on the seeded history in dependency order (row ids of inserted rows are hashes)."""
     r = H.repair_all(X.hist_overlap(spark, sf), X.live_obj(spark, sf), X.store_obj(spark, sf))

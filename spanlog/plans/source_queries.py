@@ -139,7 +139,7 @@ def _doc_manifest(spark, sf):
     return K.build_manifest(v, limit=5000)
 
 
-@register("build_manifest", MANIFEST_SQL, ("hist_docs",))
+@register("build_manifest", MANIFEST_SQL, ("hist_docs",), headline=True)
 def q_build_manifest(spark, sf):
     """K5: digests of the whole texts of all document versions."""
     return _doc_manifest(spark, sf)

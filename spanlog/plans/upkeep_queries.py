@@ -185,7 +185,7 @@ def q_path_guard(spark, sf):
 WITH d AS (SELECT doc_id, text, sha256(text) AS digest FROM documents),
 g AS (SELECT digest, min(doc_id) AS keep_id FROM d GROUP BY digest HAVING count(*) > 1)
 SELECT d.doc_id, g.keep_id, d.digest FROM d JOIN g ON d.digest = g.digest JOIN d k ON k.doc_id = g.keep_id
-WHERE d.doc_id <> g.keep_id AND d.text = k.text""")
+WHERE d.doc_id <> g.keep_id AND d.text = k.text""", headline=True)
 def q_content_duplicates(spark, sf):
     """Exact copies among the documents (whole texts)."""
     return G.content_duplicates(X._t(spark, sf, "documents"))

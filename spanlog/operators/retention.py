@@ -42,19 +42,29 @@ def retention_hold(h: DataFrame, now, months: int = 0, days: int = 0, hours: int
     return h.filter(f != 0).withColumn("eligible", eligible)
 
 
+OBJECT_TIME_WIDTH = len("yyyy-MM-dd HH:mm:ss")  # the start time that object names begin with
+
+
 def retention_fifo(h: DataFrame) -> DataFrame:
     """oldest end first, class ignored."""
     return h.filter(F.col("freq") != 0).orderBy("deleted", "dirname", "filename", "created", "row_id")
 
 
-def retention_budget(scored: DataFrame, shortfall, size: str = "size", order: str = "score") -> DataFrame:
+def retention_budget(scored: DataFrame, shortfall, size: str = "size", order: str = "score",
+                     sidecars: DataFrame | None = None, name: str = "objname") -> DataFrame:
     """take candidates in order while the bytes freed before them are below the shortfall.
 
     ``order='score'``: largest ``age`` first (F1); ``order='fifo'``: oldest end first (F3).
-    Directory rows weigh nothing but are removed too.  The running sum is a
-    global prefix sum done over range partitions (no single-task window).
+    Directory rows weigh nothing but are removed too.  With ``sidecars`` (dirname, filename,
+    object name, size) a victim also frees the objects that F8 removes with it.  The running
+    sum is a global prefix sum done over range partitions (no single-task window).
     """
     s = scored.withColumn("_w", F.when(F.col("type") == "d", F.lit(0)).otherwise(F.col(size)).cast("long"))
+    if sidecars is not None:
+        extra = (sidecars.groupBy("dirname", "filename", F.substring(name, 1, OBJECT_TIME_WIDTH).alias("_p"))
+                 .agg(F.sum(size).alias("_side")))
+        s = s.withColumn("_p", fmt_time("created")).join(extra, ["dirname", "filename", "_p"], "left")
+        s = s.withColumn("_w", F.col("_w") + F.when(F.col("type") == "d", F.lit(0)).otherwise(F.coalesce("_side", F.lit(0)))).drop("_p", "_side")
     if order == "score":
         s = s.withColumn("_order", -F.col("age"))
     elif order == "fifo":
@@ -98,8 +108,7 @@ def purge_sidecars(victims: DataFrame, store: DataFrame, name: str = "objname")
     """F8: store objects of each victim: same path, object name beginning with its start time."""
     v = victims.select("dirname", "filename", fmt_time("created").alias("_p")).distinct()
     # the start time has a fixed width: an equal prefix is a join key, no victim meets all objects of its path
-    width = len("yyyy-MM-dd HH:mm:ss")
-    return store.withColumn("_p", F.substring(name, 1, width)).join(v, ["dirname", "filename", "_p"]).drop("_p")
+    return store.withColumn("_p", F.substring(name, 1, OBJECT_TIME_WIDTH)).join(v, ["dirname", "filename", "_p"]).drop("_p")
 
 
 def expire_snapshots(snaps: DataFrame, grain: str, now, keep: int) -> DataFrame:

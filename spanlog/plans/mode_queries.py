@@ -88,6 +88,23 @@ def q_retention_hold_months(spark, sf):
     return Fr.retention_hold(X.hist_orders(spark, sf), NOW_ORDERS, months=3)
 
 
+@register("retention_budget_sidecars", f"""
+WITH side AS (SELECT dirname, filename, substr(objname, 1, 19) AS p, sum(length(objname)) AS side FROM store_files
+              WHERE ends_with(objname, '.par2') GROUP BY 1, 2, 3),
+cand AS (SELECT {HC}, size FROM event_sizes WHERE freq <> 0),
+w AS (SELECT cand.*, CASE WHEN type = 'd' THEN 0 ELSE size + coalesce(side, 0) END AS frees
+      FROM cand LEFT JOIN side ON side.dirname = cand.dirname AND side.filename = cand.filename
+       AND side.p = strftime(cand.created, '%Y-%m-%d %H:%M:%S')),
+run AS (SELECT * EXCLUDE (frees), CAST(coalesce(sum(frees) OVER (
+          ORDER BY deleted, dirname, filename, created, row_id
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS freed_before FROM w)
+SELECT * FROM run WHERE freed_before < 100000""", ("event_sizes", "store_files"))
+def q_retention_budget_sidecars(spark, sf):
+    """oldest end first until 100000 bytes are free, protection sidecars included."""
+    side = X.store_files(spark, sf).filter(F.col("objname").endswith(".par2")).withColumn("size", F.length("objname").cast("long"))
+    return Fr.retention_budget(Fr.retention_fifo(X.event_sizes(spark, sf)), 100000, order="fifo", sidecars=side)
+
+
 @register("protect_order_newest", ELIG_SQL + " ORDER BY created DESC, dirname, filename", ("hist_orders",))
 def q_protect_order_newest(spark, sf):
     """K2: newest first."""

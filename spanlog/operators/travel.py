@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.classes import freq_coarse, freq_label
 from ..functions.paths import masks_regex, root_of, under
 from ..functions.times import BUCKET_FORMAT, ceil_to, floor_to, step
-from ..model import open_ts, open_versions, ts
+from ..model import open_versions, ts
 from ..plans.ordered import keyed_scan
 
 

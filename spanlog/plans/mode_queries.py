@@ -8,6 +8,8 @@ from ..operators import dedup as G
 from ..operators import protect as K
 from ..operators import retention as Fr
 from ..operators import travel as D
+from ..session import scratch_path
+from ..sources import files as S
 from ..sources import parsers as P
 from ..sources import render as W
 from . import fixtures as X
@@ -172,3 +174,18 @@ def q_parse_rejects(spark, sf):
     log = P.parse_change_log(bad(2, "sending incremental file list ").withColumn("seq", F.lit(1).cast("long")))[1]
     return (inventory.select(F.lit("inventory").alias("source"), "value").unionByName(store.select(F.lit("store").alias("source"), "value"))
             .unionByName(log.select(F.lit("log").alias("source"), "value")))
+
+
+@register("append_run_stats", """
+SELECT event_type AS source, strftime(date_trunc('day', ts), '%Y-%m-%d') AS run, CAST(count(*) AS VARCHAR) AS number_of_created_files
+FROM events GROUP BY 1, 2""")
+def q_append_run_stats(spark, sf):
+    """Daily statistics of each event type, parsed from log lines and appended in two runs to one table."""
+    e = X._t(spark, sf, "events")
+    lines = e.groupBy(F.col("event_type").alias("source"), F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("n")).select(
+        F.concat_ws("|", "source", "day").alias("run"), F.concat(F.lit("Number of created files: "), F.col("n").cast("string")).alias("value"))
+    stats = P.parse_run_stats(lines, ["number_of_created_files"]).select(
+        F.substring_index("run", "|", 1).alias("source"), F.substring_index("run", "|", -1).alias("run"), "number_of_created_files")
+    path = scratch_path(spark, "run-stats")
+    S.append_run_stats(stats.filter("run < '2024-01-15'"), path)
+    return S.append_run_stats(stats.filter("run >= '2024-01-15'"), path)

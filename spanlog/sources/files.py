@@ -43,3 +43,11 @@ def write_delimited(df: DataFrame, path: str, sep: str = "|", header: bool = Fal
      .csv(path))
     return (df.sparkSession.read.option("sep", sep).option("header", header)
             .schema(", ".join(f"`{c}` string" for c in df.columns)).csv(path))
+
+
+def append_run_stats(stats: DataFrame, path: str, source: str = "source") -> DataFrame:
+    """A6 sink: run statistics (``parse_run_stats`` rows with their source) appended to a table kept per source; returns the table.
+
+    The table is partitioned by source, so one source's runs are appended and read without touching the others'."""
+    stats.write.mode("append").partitionBy(source).parquet(path)
+    return stats.sparkSession.read.schema(stats.schema).parquet(path).select(*stats.columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.paths import full_path
@@ -10,8 +10,6 @@ from ..functions.times import epoch
 from ..model import fmt_time, ts
 from ..plans.ordered import global_exclusive_cumsum
 
-MB = 1024 * 1024
-
 
 def retention_score(h: DataFrame, now) -> DataFrame:
     """closed versions with ``age = freq * (now + 1 - deleted)`` seconds (largest first)."""
@@ -71,11 +69,29 @@ def retention_budget(scored: DataFrame, shortfall, size: str = "size", order: st
         s = s.withColumn("_order", F.unix_micros("deleted"))
     else:
         raise ValueError(order)
-    c = global_exclusive_cumsum(s, ["_order", "dirname", "filename", "created", "row_id"], "_w", "freed_before")
     need = shortfall if isinstance(shortfall, Column) else F.lit(shortfall)
+    s = _up_to_budget(s, need)
+    c = global_exclusive_cumsum(s, ["_order", "dirname", "filename", "created", "row_id"], "_w", "freed_before")
     return c.filter(F.col("freed_before") < need).drop("_w", "_order")
 
 
+def _up_to_budget(s: DataFrame, need: Column, buckets: int = 64) -> DataFrame:
+    """Candidates without those that certainly lie behind the budget, so that only the rest is sorted.
+
+    Quantiles of the order cut it into buckets; their byte sums (one small aggregate) tell from which bucket on
+    the bytes before it already reach the shortfall. Ties of the order share a bucket."""
+    bounds = s.agg(F.percentile_approx("_order", [i / buckets for i in range(1, buckets)], 1000)).head()[0]
+    if not bounds:
+        return s
+    bounds = sorted(set(bounds))
+    bucket = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col("_order")))
+    per = s.groupBy(bucket.alias("b")).agg(F.sum("_w").alias("w"))
+    first = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)  # at most ``buckets`` rows
+    over = per.withColumn("_before", F.coalesce(F.sum("w").over(first), F.lit(0))).filter(F.col("_before") >= need)
+    cut = over.agg(F.min("b")).head()[0]
+    return s if cut is None else s.filter(bucket < cut)
+
+
 def space_target(usage: DataFrame, value: int, unit: str = "%") -> DataFrame:
     """needed free MB from a percentage of the disk or an absolute number of GiB, and the shortfall.
 

@@ -7,6 +7,9 @@ executor costs no more than one stage. Nulls, empty texts, repeated rows and emp
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,17 +20,35 @@ from spanlog.llm.common import held_out, stored, table
 ORACLE_SQL = None
 
 
+#: The columns of ``documents``; others pass through every stage but the last.
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def own_names(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """Runs a stage with other columns under names that cannot clash with its own, and names them back."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        safe = [c if c in COLUMNS else f"_other{i}" for i, c in enumerate(docs.columns)]
+        back = dict(zip(safe, docs.columns, strict=True))
+        out = stage(spark, docs.toDF(*safe), sf_dir)
+        return out.toDF(*[back.get(c, c) for c in out.columns])
+    return run
+
+
+@own_names
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents whose language is recognised; learns as op1 does."""
     out = langid.identify(docs, ~held_out(), keep=tuple(docs.columns))
     return out.where(~F.col("rejected")).select(*docs.columns)
 
 
+@own_names
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each SimHash class (3-word shingles, up to 3 bits), the one with the smallest id."""
     return simhash.keep_one(docs, shingle=simhash.SHINGLE, distance=simhash.DISTANCE).select(*docs.columns)
 
 
+@own_names
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every secret that is not a widely copied example; keeps every document. ``n_chars`` follows the new text."""
     key = F.xxhash64("doc_id", "text")  # a row's own spans, whatever ids repeat
@@ -39,6 +60,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return out.withColumns({"text": F.col("_text"), "n_chars": size}).select(*docs.columns)
 
 
+@own_names
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Samples documents so that token weights follow tempered source, language and length-class shares."""
     rows = docs.withColumn("_tokens", mixing.words(F.col("text")))
@@ -46,6 +68,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(rows, margins, F.col("_tokens")).where("mix_sampled").select(*docs.columns)
 
 
+@own_names
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, source, lang, n_pieces, pieces): the 3 best segmentations of each kept document."""
     out = pieces.encode(docs, keep=("doc_id", "source", "lang"), n=3)

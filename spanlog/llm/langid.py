@@ -28,11 +28,12 @@ from pyspark.sql import functions as F
 from .common import stored, text_slices
 
 ORDER = 4
-MAX_GRAMS = 200_000
+MAX_GRAMS = 60_000
 REJECT_SDS = 8.0
 REJECT_CHARS = 20
 TEMPERATURES = (0.5, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)
 UNKNOWN = "und"
+SLICE = 1 << 20  # bytes of text at a time: arrays of 8 bytes a character are made of it
 _SPACE, _END = 32, 1
 
 
@@ -57,6 +58,7 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     drop = blank.copy()
     drop[1:] &= blank[:-1] | start[1:]
     x = x[~drop]
+    x = x[~((x == _SPACE) & (np.append(x[1:], 0) == _END))]  # the end stands for a last space
     end = x == _END
     doc = np.cumsum(end) - end
     n_letters = np.bincount(doc[~end & (x != _SPACE)], minlength=len(texts))
@@ -94,7 +96,7 @@ def count_grams(df: DataFrame) -> DataFrame:
 
         size = 0
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SLICE):
                 langs = part.column("lang").to_pylist()
                 key, doc, _ = grams(part.column("text").to_pylist())
                 names = sorted(set(langs))
@@ -104,11 +106,11 @@ def count_grams(df: DataFrame) -> DataFrame:
                     at = np.nonzero(np.concatenate([[True], own[1:] != own[:-1]]))[0] if len(own) else np.empty(0, int)
                     held.setdefault(lang, []).append((own[at], np.diff(np.append(at, len(own)))))
                     size += len(at)
-                if size > 4_000_000:  # bounds a task's memory; merging first usually makes room
+                if size > 1_500_000:  # bounds a task's memory; merging first usually makes room
                     for lang in list(held):
                         held[lang] = [merged(lang)]
                     size = sum(len(k) for parts in held.values() for k, _ in parts)
-                    if size > 2_000_000:
+                    if size > 1_000_000:
                         yield from flush()
                         size = 0
         yield from flush()
@@ -189,17 +191,20 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", max_gra
         return None
     from pyspark.sql import Window
 
-    rank = F.row_number().over(Window.partitionBy("lang", "k").orderBy(F.desc("n"), "g"))
-    kept = (every.withColumn("rank", rank).where(F.col("rank") <= max_grams).withColumn("ctx", context)
-            .join(totals, ["lang", "k", "ctx"]).select("lang", "k", "g", "n", "total").toPandas())  # bounded by max_grams
     langs = sorted({r["lang"] for r in spread})
     number = {v: i for i, v in enumerate(langs)}
-    model = Model(langs, int(kept[kept.k == 1].g.nunique()) + 1)
+    rank = F.row_number().over(Window.partitionBy("lang", "k").orderBy(F.desc("n"), "g"))
+    kept = (every.withColumn("rank", rank).where(F.col("rank") <= max_grams).withColumn("ctx", context)
+            .join(totals, ["lang", "k", "ctx"])
+            .select((F.array_position(F.array(*map(F.lit, langs)), F.col("lang")) - 1).alias("lang"), "k", "g", "n", "total")
+            .toArrow())  # plain numbers; rows are bounded by max_grams
+    lang, order, g, n, total = (kept.column(c).to_numpy() for c in ("lang", "k", "g", "n", "total"))
+    model = Model(langs, len(np.unique(g[order == 1])) + 1)
     for k in range(1, ORDER + 1):
-        own = kept[kept.k == k]
+        own = order == k
         discount = {number[r["lang"]]: r["n1"] / (r["n1"] + 2 * r["n2"]) if r["n1"] else 0.5 for r in spread if r["k"] == k}
-        model.add_order(own.lang.map(number).to_numpy(np.int64), own.g.to_numpy(np.int64).view(np.uint64),
-                        own.n.to_numpy(np.float64), own.total.to_numpy(np.float64), discount)
+        model.add_order(lang[own].astype(np.int64), g[own].astype(np.int64).view(np.uint64), n[own].astype(np.float64),
+                        total[own].astype(np.float64), discount)
     return model
 
 
@@ -218,7 +223,7 @@ def entropies(df: DataFrame, model: Model | None, keep: tuple[str, ...], text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            for part in text_slices(batch, "_text"):
+            for part in text_slices(batch, "_text", SLICE):
                 key, doc, n_letters = grams(part.column("_text").to_pylist())
                 rows, width = part.num_rows, len(m.langs)
                 sums = np.zeros((rows, width))
@@ -289,11 +294,12 @@ def identify(df: DataFrame, learn: Column, keep: tuple[str, ...] = ("doc_id",),
     ``learn`` is the condition of the rows to learn from; languages are the non-null values of ``lang_col`` among them and are
     used in training and calibration only. A text without a letter (null, empty) is ``und`` with score 0 and rejected; with no
     training row every text is. Equal cross-entropies go to the first language by name. Repeated rows give repeated results;
-    an empty table an empty result; columns outside ``keep`` are ignored, and a kept column named like a result is replaced.
+    an empty table an empty result; columns outside ``keep`` are ignored; a kept column named like a result
+    is replaced, one named like a working column (_h, _n, _learn, _true, _text) left out.
     """
-    keep = tuple(c for c in keep if c not in ("lang_pred", "score", "rejected"))
+    keep = tuple(c for c in keep if c not in ("lang_pred", "score", "rejected", "_h", "_n", "_learn", "_true", "_text"))
     model = train(df.where(learn), text_col, lang_col, max_grams)
-    marked = df.select("*", F.coalesce(learn, F.lit(False)).alias("_learn"), F.col(lang_col).cast("string").alias("_true"))
+    marked = df.select(*dict.fromkeys((*keep, text_col)), F.coalesce(learn, F.lit(False)).alias("_learn"), F.col(lang_col).cast("string").alias("_true"))
     scored = stored(entropies(marked, model, (*keep, "_learn", "_true"), text_col), "langid-scores")
     temperature, classes = calibrate(scored.where("_learn"), model, "_true")
     return judge(scored, model, temperature, classes, reject_sds, reject_chars).drop("_learn", "_true")

@@ -5,9 +5,9 @@ every position its best score; these scores are exact heuristics for an A-star s
 complete segmentations leave the queue in order of their scores. Scores are integers (millionths of a nat), so sums are exact.
 
 No piece holds U+2581 after another character, so the lattice falls apart into independent chunks (a word with its spaces).
-Different chunks of a batch are segmented once: those of equal length together by a numpy Viterbi of the two best, which also gives
-the gap between them. A text's N best segmentations change only chunks with the N - 1
-smallest gaps; these chunks' own N best come from the A-star search, and a second A-star search combines them.
+Different chunks are segmented once a task, but for rare ones that its cache has dropped: those of equal length together by a
+numpy Viterbi of the two best, which also gives the gap between them. A text's N best segmentations change only chunks with the
+N - 1 smallest gaps; these chunks' own N best come from the A-star search, and a second A-star search combines them.
 
 A BPE model's scores are merge ranks, not log-probabilities; with ``scoring="zipf"`` (the default for such models) the piece of
 rank r weighs 1/(r+2). Characters outside the vocabulary become UTF-8 byte pieces, each below every other piece.
@@ -34,14 +34,13 @@ NBEST = 3
 UNIT = 1_000_000
 SPACE = "▁"
 LONG = 48  # chunks longer than this are segmented one by one
-CACHE = 1_000_000  # different chunks kept by a Python worker
+CACHE = 250_000  # different chunks kept by a task
 _LOW = -(1 << 60)
 
 
 @dataclass
 class Lexicon:
     """What encoding needs of a model; small (tens of thousands of pieces)."""
-    name: tuple[str, str]
     score: dict[str, int]
     number: dict[str, int]
     raw: list[bytes]
@@ -91,7 +90,7 @@ def load(path: str = MODEL, scoring: str = "zipf") -> Lexicon:
         if len(np.unique(keys)) != len(keys):
             raise ValueError("hash collision among pieces")
         by_length[length] = (keys, np.array([score[p] for p in names], np.int64), np.array([number[p] for p in names], np.int64))
-    return Lexicon((path, scoring), score, number, raw, byte, min(score.values()) - 10 * UNIT, max(by_length), pattern, by_length)
+    return Lexicon(score, number, raw, byte, min(score.values()) - 10 * UNIT, max(by_length), pattern, by_length)
 
 
 def edges(chunk: str, lex: Lexicon) -> list[list[tuple[int, int]]]:
@@ -234,7 +233,7 @@ class _Numbered(dict):
 
 
 class Encoder:
-    """Encodes texts one after another and keeps the segmentations of the chunks seen (at most about ``cache``)."""
+    """Encodes texts one after another and keeps the segmentations of the chunks seen; of more than ``cache`` the most used half stay."""
 
     def __init__(self, lex: Lexicon, n: int = NBEST, cache: int = CACHE):
         self.lex, self.n, self.cache = lex, n, cache
@@ -242,7 +241,17 @@ class Encoder:
 
     def _clear(self) -> None:
         self.index, self.names, self.score, self.gap = _Numbered(), [], np.empty(0, np.int64), np.empty(0, np.int64)
-        self.flat, self.start, self.more = np.empty(0, np.int32), np.zeros(1, np.int64), {}
+        self.flat, self.start, self.more, self.uses = np.empty(0, np.int32), np.zeros(1, np.int64), {}, np.empty(0, np.int64)
+
+    def _shrink(self) -> None:
+        stay = np.sort(np.argsort(-self.uses, kind="stable")[:self.cache // 2])
+        size = self.start[stay + 1] - self.start[stay]
+        ends = np.cumsum(size)
+        self.flat = self.flat[np.arange(ends[-1]) + np.repeat(self.start[stay] - ends + size, size)] if len(stay) else self.flat[:0]
+        self.start = np.concatenate([[0], ends])
+        self.score, self.gap, self.uses, self.more = self.score[stay], self.gap[stay], self.uses[stay] // 2, {}
+        self.names = [self.names[i] for i in stay.tolist()]
+        self.index = _Numbered(zip(self.names, range(len(self.names)), strict=True))
 
     def _learn(self, known: int) -> None:
         fresh = list(self.index)[known:] if known else list(self.index)
@@ -281,12 +290,15 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[list[tuple[int, np.ndarray]]]:
         """Per text its n best (score, numbers), best first; an empty text has one segmentation, the empty one."""
         if len(self.index) > self.cache:
-            self._clear()
+            self._shrink()
         known, find = len(self.index), self.index.__getitem__
         rows = [np.array(list(map(find, self.lex.pattern.findall(SPACE + t.replace(" ", SPACE)))), np.int64) if t else np.empty(0, np.int64)
                 for t in texts]
         if len(self.index) > known:
             self._learn(known)
+        self.uses = np.concatenate([self.uses, np.zeros(len(self.index) - len(self.uses), np.int64)])
+        if rows:
+            self.uses += np.bincount(np.concatenate(rows), minlength=len(self.uses))
         out = []
         for row in rows:
             if not len(row):
@@ -317,18 +329,6 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
-
-
-def _encoder(lex: Lexicon, n: int) -> Encoder:
-    """The worker's encoder: the tasks that a Python worker runs one after another share the chunks seen."""
-    key = (*lex.name, n)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(lex, n)
-    return _ENCODERS[key]
-
-
 def decode_ids(ids: list[int], lex: Lexicon) -> str:
     """The text of piece numbers; bytes that are no UTF-8 become U+FFFD, numbers outside the model nothing."""
     if ids and not (0 <= min(ids) and max(ids) < len(lex.raw)):
@@ -355,7 +355,7 @@ def encode(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex = shared.value
-        encoder = _encoder(lex, n)
+        encoder = Encoder(lex, n)
         for batch in batches:
             for part in text_slices(batch, "_text", 2 << 20):
                 texts = part.column("_text").to_pylist()

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 ROUNDS = 8
+SMALL_CELLS = 50_000  # up to so many cells a round runs in one task; beyond, its sums and joins are shuffled
 CALIBRATIONS = 8
 BUDGET = 0.5
 TEMPER = 0.5
@@ -50,13 +51,16 @@ def rake(cells: DataFrame, margins: list[str], targets: dict[str, DataFrame], ro
         seen = cells.select(m).distinct().join(t, F.col(m).eqNullSafe(F.col("_v")), "left").select(F.col(m).alias("_v"), F.coalesce("_s", F.lit(0.0)).alias("_s"))
         whole = seen.agg(F.sum("_s")).head()[0] or 0.0
         goal = seen.select("_v", (F.col("_s") / F.lit(whole) * F.lit(total) if whole else F.lit(0.0)).alias(f"_goal_{m}"))
-        cells = cells.join(goal, F.col(m).eqNullSafe(F.col("_v"))).drop("_v")
+        cells = cells.join(goal.hint("shuffle_hash"), F.col(m).eqNullSafe(F.col("_v"))).drop("_v")
     cells = stored(cells.withColumn("factor", F.lit(1.0)), "mix-start")
+    small = cells.count() <= SMALL_CELLS  # the same steps either way; a single partition needs no exchanges
     for _ in range(rounds):
+        cells = cells.coalesce(1) if small else cells
         for m in margins:
             now = cells.groupBy(F.col(m).alias("_v")).agg(F.sum(F.col("w") * F.col("factor")).alias("_now"))
             scaled = F.when(F.col("_now") > 0, F.col("factor") * F.col(f"_goal_{m}") / F.col("_now")).otherwise(F.col("factor"))
-            cells = cells.join(now, F.col(m).eqNullSafe(F.col("_v"))).withColumn("factor", scaled).drop("_v", "_now")
+            # a shuffle of a few cells: two dozen broadcasts would be built in the driver instead
+            cells = cells.join(now.hint("shuffle_hash"), F.col(m).eqNullSafe(F.col("_v"))).withColumn("factor", scaled).drop("_v", "_now")
         cells = stored(cells, "mix-round")  # a checkpoint would keep every round's constraints in the plan
     return cells.select(*margins, "w", "factor")
 

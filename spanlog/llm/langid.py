@@ -2,10 +2,12 @@
 
 Text is lower-cased, every run of non-letters becomes one space, and each character is predicted from the three before it.
 Training counts 4-grams per language over all training texts (numpy inside tasks, summed by Spark); continuation counts
-of the lower orders, context totals and discounts are Spark aggregates. Per language and order the ``max_grams`` most
-frequent n-grams are kept (so the broadcast model is bounded; a context's dropped mass goes to its back-off weight, so
-each model still sums to one). The model holds, per order, one sorted array of n-gram hashes (16 bits a character) with
-one column of log-probabilities per language, and one sorted array of context hashes with back-off weights.
+of the lower orders, context totals and discounts are Spark aggregates. Every n-gram is kept: the model is two tables
+keyed by (order, n-gram hash of 16 bits a character), the n-grams' discounted shares and the contexts' back-off weights,
+one entry per language, and no process holds it.
+
+Scoring cuts the texts into blocks of about ``BLOCK`` bytes. A block's distinct 4-grams are joined to the model once and
+meet the block's texts again under its number, so a task holds one block and the log-probabilities of its own n-grams.
 
 A text gets its length-normalised cross-entropy under every language; the lowest wins. Calibration uses all training
 rows: a temperature (best log-loss on a grid) turns cross-entropies into the score, and a text is rejected if it has no
@@ -17,23 +19,25 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored, text_slices
 
 ORDER = 4
-MAX_GRAMS = 60_000
 REJECT_SDS = 8.0
 REJECT_CHARS = 20
 TEMPERATURES = (0.5, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)
 UNKNOWN = "und"
 SLICE = 1 << 20  # bytes of text at a time: arrays of 8 bytes a character are made of it
+BLOCK = 16 << 20  # bytes of text that look up their n-grams together
 _SPACE, _END = 32, 1
 
 
@@ -117,129 +121,147 @@ def count_grams(df: DataFrame) -> DataFrame:
     return df.mapInArrow(run, "lang string, g long, n long")
 
 
-def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, hit) of each wanted key in a sorted array."""
-    if not len(keys):
-        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    at = np.searchsorted(keys, wanted)
-    at[at == len(keys)] = 0
-    return at, keys[at] == wanted
+def _hash(order: int) -> Column:
+    """The last ``order`` characters of a 4-gram."""
+    return F.col("g").bitwiseAND(F.lit((1 << 16 * order) - 1)) if order < ORDER else F.col("g")
 
 
 @dataclass
 class Model:
-    """Per order (from 1): sorted n-gram hashes with log-probabilities, sorted context hashes with back-off weights."""
+    """``grams`` (k, g, share) and ``contexts`` (k, ctx, weight): per order (from 1) the discounted share of every n-gram in its
+    context and the back-off weight of every context, as arrays with one entry per language."""
     langs: list[str]
     alphabet: int
-    keys: list[np.ndarray] = field(default_factory=list)
-    logs: list[np.ndarray] = field(default_factory=list)
-    contexts: list[np.ndarray] = field(default_factory=list)
-    weights: list[np.ndarray] = field(default_factory=list)
-
-    def log_probability(self, g: np.ndarray, order: int = ORDER) -> np.ndarray:
-        """Rows: n-grams (their last ``order`` characters count); columns: languages."""
-        if order == 0:
-            return np.full((len(g), len(self.langs)), -np.log(self.alphabet), np.float32)
-        g = g & np.uint64((1 << 16 * order) - 1)
-        at, hit = _find(self.keys[order - 1], g)
-        out = self.logs[order - 1][at] if len(self.keys[order - 1]) else np.zeros((len(g), len(self.langs)), np.float32)
-        miss = np.nonzero(~hit)[0]
-        if len(miss):
-            out[miss] = self._weight(g[miss], order) + self.log_probability(g[miss], order - 1)
-        return out
-
-    def _weight(self, g: np.ndarray, order: int) -> np.ndarray:
-        at, hit = _find(self.contexts[order - 1], g >> np.uint64(16))
-        if not len(self.contexts[order - 1]):
-            return np.zeros((len(g), len(self.langs)), np.float32)
-        return np.where(hit[:, None], self.weights[order - 1][at], np.float32(0))
-
-    def add_order(self, lang: np.ndarray, g: np.ndarray, n: np.ndarray, total: np.ndarray, discount: dict[int, float]) -> None:
-        """Next higher order from kept n-grams: their language's number, hash, count and their context's full total."""
-        order = len(self.keys) + 1
-        keys, row = np.unique(g, return_inverse=True)
-        contexts, of = np.unique(g >> np.uint64(16), return_inverse=True)
-        d = np.array([discount.get(i, 0.5) for i in range(len(self.langs))])
-        share = np.maximum(n - d[lang], 0) / total
-        kept = np.zeros((len(contexts), len(self.langs)))
-        np.add.at(kept, (of, lang), share)
-        direct = np.zeros((len(keys), len(self.langs)))
-        direct[row, lang] = share
-        self.contexts.append(contexts)
-        self.weights.append(np.log(np.clip(1 - kept, 1e-9, 1)).astype(np.float32))
-        lower = self.log_probability(keys, order - 1).astype(np.float64)
-        self.keys.append(keys)
-        p = direct + np.exp(self._weight(keys, order).astype(np.float64) + lower)
-        self.logs.append(np.log(p).astype(np.float32))
-
-
-def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", max_grams: int = MAX_GRAMS) -> Model | None:
+    grams: DataFrame
+    contexts: DataFrame
+
+    def logs(self, wanted: DataFrame) -> DataFrame:
+        """(g, logs) of the distinct 4-grams ``wanted`` (column g): log-probabilities, one per language.
+
+        An n-gram or context without a row has share 0 or weight 1, so an order that knows neither is passed over."""
+        width = len(self.langs)
+        p = None
+        for order in range(1, ORDER + 1):
+            own = wanted.select(_hash(order).alias("g")).distinct() if order < ORDER else wanted.select("g")
+            shares = self.grams.where(F.col("k") == order).select("g", "share")
+            weights = self.contexts.where(F.col("k") == order).select("ctx", "weight")
+            own = own.withColumn("ctx", F.shiftrightunsigned("g", 16)).join(shares, "g", "left").join(weights, "ctx", "left")
+            if p is None:
+                own = own.withColumn("lower", F.array_repeat(F.lit(1.0 / self.alphabet), width))
+            else:
+                own = own.withColumn("low_g", _hash(order - 1)).join(p.select(F.col("g").alias("low_g"), F.col("p").alias("lower")), "low_g")
+            nothing, whole = (F.array_repeat(F.lit(v).cast("float"), width) for v in (0.0, 1.0))
+            p = own.select("g", F.zip_with(F.coalesce("share", nothing), F.zip_with(F.coalesce("weight", whole), "lower", lambda w, q: w * q),
+                                           lambda d, q: d + q).alias("p"))
+        return p.select("g", F.transform("p", lambda v: F.log(v).cast("float")).alias("logs"))
+
+    def log_probability(self, g: np.ndarray) -> np.ndarray:
+        """Rows: 4-grams; columns: languages. For a few n-grams: they and their rows pass through the driver."""
+        keys = [int(v) for v in np.unique(g).view(np.int64)]
+        rows = self.logs(self.grams.sparkSession.createDataFrame([(v,) for v in keys], "g long")).collect()
+        found = {r["g"]: r["logs"] for r in rows}
+        return np.array([found[int(v)] for v in g.view(np.int64)], np.float32).reshape(-1, len(self.langs))
+
+
+def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """Learn from every row with a text and a language; None if there is none."""
     src = df.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     counts = count_grams(src.where("text IS NOT NULL AND lang IS NOT NULL")).groupBy("lang", "g").agg(F.sum("n").alias("n"))
     top = stored(counts, "langid-grams")
     tables, cur = [top.withColumn("k", F.lit(ORDER))], top
     for k in range(ORDER - 1, 0, -1):  # continuation counts: different characters before an n-gram
-        suffix = F.col("g").bitwiseAND(F.lit((1 << 16 * k) - 1))
-        cur = cur.groupBy("lang", suffix.alias("g")).agg(F.count("*").alias("n"))
+        cur = cur.groupBy("lang", _hash(k).alias("g")).agg(F.count("*").alias("n"))
         tables.append(cur.withColumn("k", F.lit(k)))
     every = stored(reduce(DataFrame.unionByName, tables), "langid-orders")
-    context = F.shiftrightunsigned("g", 16)
-    totals = every.groupBy("lang", "k", context.alias("ctx")).agg(F.sum("n").alias("total"))
     spread = every.groupBy("lang", "k").agg(F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).collect()
-    if not spread:
+    if not spread:  # one row per language and order
         return None
-    from pyspark.sql import Window
-
     langs = sorted({r["lang"] for r in spread})
-    number = {v: i for i, v in enumerate(langs)}
-    rank = F.row_number().over(Window.partitionBy("lang", "k").orderBy(F.desc("n"), "g"))
-    kept = (every.withColumn("rank", rank).where(F.col("rank") <= max_grams).withColumn("ctx", context)
-            .join(totals, ["lang", "k", "ctx"])
-            .select((F.array_position(F.array(*map(F.lit, langs)), F.col("lang")) - 1).alias("lang"), "k", "g", "n", "total")
-            .toArrow())  # plain numbers; rows are bounded by max_grams
-    lang, order, g, n, total = (kept.column(c).to_numpy() for c in ("lang", "k", "g", "n", "total"))
-    model = Model(langs, len(np.unique(g[order == 1])) + 1)
-    for k in range(1, ORDER + 1):
-        own = order == k
-        discount = {number[r["lang"]]: r["n1"] / (r["n1"] + 2 * r["n2"]) if r["n1"] else 0.5 for r in spread if r["k"] == k}
-        model.add_order(lang[own].astype(np.int64), g[own].astype(np.int64).view(np.uint64), n[own].astype(np.float64),
-                        total[own].astype(np.float64), discount)
-    return model
-
-
-def entropies(df: DataFrame, model: Model | None, keep: tuple[str, ...], text_col: str = "text") -> DataFrame:
+    width = len(langs)
+    discounts = [0.5] * (width * ORDER)
+    for r in spread:
+        if r["n1"]:
+            discounts[langs.index(r["lang"]) * ORDER + r["k"] - 1] = r["n1"] / (r["n1"] + 2 * r["n2"])
+    number = (F.array_position(F.array(*map(F.lit, langs)), F.col("lang")) - 1).cast("int")
+    rows = (every.withColumn("ctx", F.shiftrightunsigned("g", 16)).withColumn("i", number)
+            .withColumn("d", F.get(F.array(*map(F.lit, discounts)), F.col("i") * ORDER + F.col("k") - 1)))
+    mass = F.greatest(F.col("n") - F.col("d"), F.lit(0.0))
+    totals = rows.groupBy("k", "ctx", "i").agg(F.sum("n").alias("total"), F.sum(mass).alias("kept"))
+
+    def dense(entries: str, default: float) -> Column:
+        found = F.map_from_entries(entries)
+        return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.coalesce(F.try_element_at(found, i), F.lit(default).cast("float")))
+
+    left = F.least(F.greatest(1 - F.col("kept") / F.col("total"), F.lit(1e-9)), F.lit(1.0))
+    contexts = (totals.groupBy("k", "ctx").agg(F.collect_list(F.struct("i", left.cast("float").alias("w"))).alias("e"))
+                .select("k", "ctx", dense("e", 1.0).alias("weight")))
+    grams = (rows.join(totals.select("k", "ctx", "i", "total"), ["k", "ctx", "i"])
+             .groupBy("k", "g").agg(F.collect_list(F.struct("i", (mass / F.col("total")).cast("float").alias("s"))).alias("e"))
+             .select("k", "g", dense("e", 0.0).alias("share")))
+    grams, contexts = stored(grams, "langid-shares"), stored(contexts, "langid-contexts")
+    return Model(langs, grams.where("k = 1").count() + 1, grams, contexts)
+
+
+def _blocks(df: DataFrame, block: int) -> DataFrame:
+    """(block, rows, grams): runs of rows with about ``block`` bytes of text in column _text, as one Arrow stream, and their
+    distinct 4-grams. A block's number holds for this evaluation only."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, size, parts, own = TaskContext.get().partitionId() << 32, 0, [], []
+
+        def out() -> pa.RecordBatch:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                for part in parts:
+                    stream.write_batch(part)
+            found = np.unique(np.concatenate(own)).view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+                                               pa.array([found], pa.list_(pa.int64()))], ["block", "rows", "grams"])
+
+        for batch in batches:
+            for part in text_slices(batch, "_text", min(SLICE, block)):
+                parts.append(part)
+                own.append(np.unique(grams(part.column("_text").to_pylist())[0]))
+                size += pc.sum(pc.binary_length(part.column("_text"))).as_py() or 0
+                if size >= block:
+                    yield out()
+                    number, size = number + 1, 0
+                    parts.clear()
+                    own.clear()
+        if parts:
+            yield out()
+    return df.mapInArrow(run, "block long, rows binary, grams array<long>")
+
+
+def entropies(df: DataFrame, model: Model | None, keep: tuple[str, ...], text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """The columns ``keep`` and ``_h`` (cross-entropy in nats per character under each language; null without a letter) and
     ``_n`` (characters predicted)."""
-    spark = df.sparkSession
     own = text_col in keep  # a kept text is sent to the workers once
     src = df.select(*[F.col(c) for c in keep if not (own and c == text_col)], F.col(text_col).cast("string").alias("_text"))
     names = [*src.columns[:-1], *[text_col] * own]
-    schema = ", ".join(f"`{n}` {src.schema['_text' if own and n == text_col else n].dataType.simpleString()}" for n in names) + ", _h array<double>, _n long"
     if model is None:
         return df.select(*names).withColumn("_h", F.lit(None).cast("array<double>")).withColumn("_n", F.lit(0).cast("long"))
-    shared = spark.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for batch in batches:
-            for part in text_slices(batch, "_text", SLICE):
-                key, doc, n_letters = grams(part.column("_text").to_pylist())
-                rows, width = part.num_rows, len(m.langs)
-                sums = np.zeros((rows, width))
-                for at in range(0, len(key), 1 << 18):
-                    logs = m.log_probability(key[at:at + (1 << 18)])
-                    of = doc[at:at + (1 << 18)]
-                    low = of[0]
-                    for i in range(width):
-                        s = np.bincount(of - low, weights=logs[:, i])
-                        sums[low:low + len(s), i] += s
-                n = np.bincount(doc, minlength=rows)
-                h = -sums / n[:, None]
-                h_column = pa.array([v if ok else None for v, ok in zip(h.tolist(), n_letters > 0, strict=True)], pa.list_(pa.float64()))
-                arrays = [part.column(i) for i in range(len(names))] + [h_column, pa.array(n.astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(arrays, [*names, "_h", "_n"])
-    return src.mapInArrow(run, schema)
+    schema = ", ".join(f"`{n}` {src.schema['_text' if own and n == text_col else n].dataType.simpleString()}" for n in names) + ", _h array<double>, _n long"
+    texts = stored(_blocks(src, block), "langid-blocks")  # stored: both uses below see the same blocks
+    wanted = texts.select("block", F.explode("grams").alias("g"))
+    logs = wanted.join(model.logs(wanted.select("g").distinct()), "g").select(F.col("block").alias("of"), "g", "logs")
+    width = len(model.langs)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        keys = right.column("g").combine_chunks().to_numpy(zero_copy_only=False).view(np.uint64)
+        order = np.argsort(keys)
+        values = right.column("logs").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)[order]
+        keys = keys[order]
+        out = []
+        for part in pa.ipc.open_stream(left.column("rows")[0].as_buffer()):
+            key, doc, n_letters = grams(part.column("_text").to_pylist())
+            at = np.searchsorted(keys, key)
+            n = np.bincount(doc, minlength=part.num_rows)
+            h = -np.stack([np.bincount(doc, weights=values[at, i], minlength=part.num_rows) for i in range(width)], axis=1) / n[:, None]
+            h_column = pa.array([v if ok else None for v, ok in zip(h.tolist(), n_letters > 0, strict=True)], pa.list_(pa.float64()))
+            arrays = [part.column("_text" if own and c == text_col else c) for c in names] + [h_column, pa.array(n.astype(np.int64))]
+            out.append(pa.RecordBatch.from_arrays(arrays, [*names, "_h", "_n"]))
+        return pa.Table.from_batches(out)
+    return texts.select("block", "rows").groupBy("block").cogroup(logs.groupBy("of")).applyInArrow(run, schema)
 
 
 def _best(model: Model | None) -> Column:
@@ -288,7 +310,7 @@ def judge(scored: DataFrame, model: Model | None, temperature: float, classes: l
 
 
 def identify(df: DataFrame, learn: Column, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", lang_col: str = "lang",
-             max_grams: int = MAX_GRAMS, reject_sds: float = REJECT_SDS, reject_chars: int = REJECT_CHARS) -> DataFrame:
+             reject_sds: float = REJECT_SDS, reject_chars: int = REJECT_CHARS) -> DataFrame:
     """The columns ``keep`` of every row with ``lang_pred``, ``score`` (0 to 1) and ``rejected``.
 
     ``learn`` is the condition of the rows to learn from; languages are the non-null values of ``lang_col`` among them and are
@@ -298,7 +320,7 @@ def identify(df: DataFrame, learn: Column, keep: tuple[str, ...] = ("doc_id",),
     is replaced, one named like a working column (_h, _n, _learn, _true, _text) left out.
     """
     keep = tuple(c for c in keep if c not in ("lang_pred", "score", "rejected", "_h", "_n", "_learn", "_true", "_text"))
-    model = train(df.where(learn), text_col, lang_col, max_grams)
+    model = train(df.where(learn), text_col, lang_col)
     marked = df.select(*dict.fromkeys((*keep, text_col)), F.coalesce(learn, F.lit(False)).alias("_learn"), F.col(lang_col).cast("string").alias("_true"))
     scored = stored(entropies(marked, model, (*keep, "_learn", "_true"), text_col), "langid-scores")
     temperature, classes = calibrate(scored.where("_learn"), model, "_true")

@@ -64,6 +64,59 @@ def test_identify(make_docs, rows):
     assert langid.identify(make_docs([]), F.lit(True)).count() == 0
 
 
+def brute_logs(rows, gram):
+    """Interpolated Kneser-Ney log-probabilities of a 4-gram per language, from dictionaries that hold every n-gram."""
+    seen = {}
+    for _, text, lang, _ in rows:
+        line = "   " + text + " "
+        for i in range(3, len(line)):
+            own = seen.setdefault(lang, {}).setdefault(4, {})
+            own[line[i - 3:i + 1]] = own.get(line[i - 3:i + 1], 0) + 1
+    for orders in seen.values():
+        for k in (3, 2, 1):
+            orders[k] = {}
+            for g in orders[k + 1]:
+                orders[k][g[1:]] = orders[k].get(g[1:], 0) + 1
+    alphabet = len({g for orders in seen.values() for g in orders[1]}) + 1
+    out = []
+    for lang in sorted(seen):
+        p = 1 / alphabet
+        for k in range(1, 5):
+            counts, g = seen[lang][k], gram[4 - k:]
+            ones, twos = (sum(n == v for n in counts.values()) for v in (1, 2))
+            d = ones / (ones + 2 * twos) if ones else 0.5
+            of = {x: n for x, n in counts.items() if x[:-1] == g[:-1]}
+            if of:
+                total = sum(of.values())
+                kept = sum(max(n - d, 0) / total for n in of.values())
+                p = max(of.get(g, 0) - d, 0) / total + min(max(1 - kept, 1e-9), 1) * p
+        out.append(np.log(p))
+    return out
+
+
+def test_every_ngram_is_in_the_model(make_docs):
+    rng = np.random.default_rng(3)
+    many = "".join(chr(0x4E00 + c) for c in rng.integers(0, 20_000, 70_000))  # nearly 70,000 different 4-grams of one language
+    rows = [(1, many, "aa", "s"), (2, "zozo ozzy zoo", "zz", "s"), (3, "zoo yoz", "zz", "s")]
+    model = langid.train(make_docs(rows))
+    stored = {r["k"]: r["n"] for r in model.grams.groupBy("k").count().withColumnRenamed("count", "n").collect()}
+    lines = ["   " + t + " " for _, t, *_ in rows]
+    assert stored == {k: len({line[i - k + 1:i + 1] for line in lines for i in range(3, len(line))}) for k in (1, 2, 3, 4)}
+    wanted = [many[i:i + 4] for i in range(0, 69_000, 6_900)] + ["zoo ", "zozo", " ozx", "xqzo", many[5:7] + "zo"]
+    keys = np.array([sum(ord(c) << 16 * (3 - i) for i, c in enumerate(g)) for g in wanted], np.uint64)
+    assert np.allclose(model.log_probability(keys), [brute_logs(rows, g) for g in wanted], atol=1e-4)
+
+
+def test_scores_do_not_depend_on_the_blocks(make_docs, rows):
+    docs = make_docs(rows + [(200, None, "aa", "s"), (201, "", "aa", "s")])
+    model = langid.train(docs)
+    one, many = ({r["doc_id"]: r for r in langid.entropies(docs, model, ("doc_id", "text"), block=b).collect()} for b in (langid.BLOCK, 300))
+    assert one.keys() == many.keys() and len(one) == len(rows) + 2
+    assert all(one[i]["_n"] == many[i]["_n"] and (one[i]["_h"] is None) == (many[i]["_h"] is None) for i in one)
+    assert all(np.allclose(one[i]["_h"], many[i]["_h"], atol=1e-6) for i in one if one[i]["_h"] is not None)
+    assert one[200]["_h"] is None and one[201]["_h"] is None
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     out = QUERIES["op1_language_id"](spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")

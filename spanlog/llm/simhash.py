@@ -51,16 +51,18 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(votes * 2 > len(h), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): one row per input row; other columns, whatever their names, are left out."""
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, keep: str | None = None) -> DataFrame:
+    """(doc_id, fp) and the long column ``keep``: one row per input row; other columns, whatever their names, are left out."""
+    names = ["doc_id", *[keep] * bool(keep)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
                 fps = [fingerprint(t.as_buffer().to_pybytes(), shingle) if t.is_valid else 0 for t in part.column("text")]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "fp"])
-    src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "doc_id long, fp long")
+                    [*[part.column(c) for c in names], pa.array(np.array(fps, np.uint64).view(np.int64))], [*names, "fp"])
+    src = df.select(F.col(id_col).cast("long").alias("doc_id"), *names[1:], F.col(text_col).cast("string").alias("text"))
+    return src.mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "fp"]))
 
 
 def ring(positions: list[int], distance: int) -> list[int]:
@@ -169,6 +171,14 @@ def links(fps: DataFrame, distance: int = DISTANCE, bucket_rows: int = BUCKET_RO
     return reduce(DataFrame.unionByName, out).distinct()
 
 
+def _classes(docs: DataFrame, distance: int, bucket_rows: int) -> DataFrame:
+    """(fp, root, least) of every distinct fingerprint of ``docs``: its component's smallest fingerprint, which is never null
+    and names one component only, and its own smallest doc_id."""
+    fps = stored(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+    comp = connected_components(links(fps.select("fp"), distance, bucket_rows))
+    return fps.join(comp, fps.fp == comp.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     distance: int = DISTANCE, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(doc_id, fp, component_id): the class of every document under links of at most ``distance`` bits.
@@ -178,20 +188,27 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Repeated rows are copies of each other. An empty table gives an empty result.
     """
     docs = stored(fingerprints(df, id_col, text_col, shingle), "simhash-fp")
-    fps = stored(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    comp = connected_components(links(fps.select("fp"), distance, bucket_rows))
-    of = fps.join(comp, fps.fp == comp.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    of = _classes(docs, distance, bucket_rows)
     least = of.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = stored(of.join(least, "root").select("fp", "component_id"), "simhash-classes")
     return docs.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(df: DataFrame, **params) -> DataFrame:
-    """The rows of ``df``, one per near-duplicate class: that with the smallest doc_id (ties: the smallest text)."""
-    from pyspark.sql import Window
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+             distance: int = DISTANCE, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """The rows of ``df``, one per near-duplicate class: that with the smallest id (null after all others), then the smallest
+    text (null first); of rows that are equal in both any one, and of any number of them only one.
 
-    chosen = (near_duplicates(df, **params).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-              .select(F.col("doc_id").alias("_chosen")).distinct())
-    one = Window.partitionBy("doc_id").orderBy("text")
-    return (df.join(chosen, df.doc_id.eqNullSafe(chosen["_chosen"]), "left_semi")
-            .withColumn("_copy", F.row_number().over(one)).where("_copy = 1").drop("_copy"))
+    Rows are told apart by their number in a stored copy of ``df``; ids may be null or shared by different texts.
+    """
+    rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
+    src = rows.select("_row", F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = stored(fingerprints(src, "doc_id", "text", shingle, keep="_row"), "simhash-fp")
+    classes = stored(_classes(docs, distance, bucket_rows).select("fp", "root"), "simhash-classes")
+    of = docs.join(classes, "fp").select("root", "doc_id", "_row")
+    # First the smallest id of each class, map-side; texts are compared only among the rows that share it.
+    least = of.groupBy("root").agg(F.min("doc_id").alias("least"))
+    first = stored(of.join(least, "root").where(F.col("doc_id").eqNullSafe(F.col("least"))).select("root", "_row"), "simhash-first")
+    best = (first.join(src.select("_row", "text"), "_row").groupBy("root")
+            .agg(F.min(F.struct("text", "_row")).alias("m")).select(F.col("m._row").alias("_row")))
+    return rows.join(best, "_row", "left_semi").drop("_row")

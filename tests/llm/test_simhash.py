@@ -75,6 +75,15 @@ def test_classes_with_nulls_copies_and_clashing_names(make_docs):
     assert simhash.near_duplicates(make_docs([])).count() == 0
 
 
+def test_one_row_of_each_class_stays_whatever_its_id(make_docs):
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(30)) for w in ("alpha", "beta", "gamma", "delta"))
+    rows = [(7, a, "en", "s"), (7, b, "en", "s"), (3, a, "en", "s"),  # a repeated id on different texts
+            (None, c, "en", "s"), (None, d, "en", "s"), (None, d, "en", "s"),  # classes of null ids only
+            (None, a, "en", "s"), (9, "", "en", "s"), (9, None, "en", "s")]
+    got = sorted(((r["doc_id"], r["text"]) for r in simhash.keep_one(make_docs(rows)).collect()), key=str)
+    assert got == sorted([(3, a), (7, b), (None, c), (None, d), (9, None)], key=str)
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(100, 130)] + [(7, 7), (None, 3)] + [(1000, i) for i in range(1001, 1060)]
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(path, "a long, b long")).collect()}

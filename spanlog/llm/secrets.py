@@ -5,10 +5,13 @@ then a value of 6 or more characters), ``access`` (AKIA and capitals or digits,
 Further candidates, ``opaque``: maximal runs of 20 or more of [A-Za-z0-9+/_-] that hold an upper-case letter, a lower-case
 letter and a digit and overlap no base span.
 
-The method: the hash of every candidate's value is counted over the whole corpus by distinct repositories (documents) and
-distinct owners (sources). A value of one owner in at most ``live_repos`` repositories is live-looking; a value that
-``example_owners`` or more owners hold is a widely copied example; others are shared. Base spans are always reported, each
-with its verdict; an opaque candidate becomes a span only if it is live-looking.
+The method: the hash of every candidate's value is counted over the whole corpus by distinct repositories (documents; equal
+texts are one) and distinct owners (sources). As many owners hold a value independently as it has owners, but no more than it
+has repositories. A value is a widely copied example if at least ``example_owners`` owners and at least the square root of
+the corpus's number of owners hold it independently, or if over half of all owners (and ``example_owners``) hold it, be it
+in copies of one text. Of the others, a value of one owner, in whatever number of repositories, or of one repository, whoever
+copied it, is live-looking; the rest are shared. Base spans are always reported, each with its verdict; an opaque candidate
+becomes a span only if it is live-looking.
 """
 
 from __future__ import annotations
@@ -30,11 +33,10 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 OPAQUE = re.compile(r"[A-Za-z0-9+/_-]{20,}")
 NAMES = ("passw", "secret", "token", "api")  # one of them is in every text with an assignment
 KINDS = ("assign", "access", "hex", "opaque")
-LIVE_REPOS = 3
 EXAMPLE_OWNERS = 3
 
 SPAN = "struct<kind:string,start:int,end:int,value_hash:long>"
-COLUMNS = f"doc_id long, owner string, spans array<{SPAN}>"
+COLUMNS = f"doc_id long, owner string, content long, spans array<{SPAN}>"
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -65,7 +67,7 @@ def value_hash(value: str) -> int:
 
 
 def candidates(df: DataFrame, id_col: str, text_col: str, owner_col: str) -> DataFrame:
-    """(doc_id, owner, spans): all candidates of each row, in order of start, then kind."""
+    """(doc_id, owner, content, spans): all candidates of each row, in order of start, then kind; ``content`` is its text's hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("value_hash", pa.int64())]))
         for batch in batches:
@@ -76,37 +78,39 @@ def candidates(df: DataFrame, id_col: str, text_col: str, owner_col: str) -> Dat
                     base = base_spans(text)
                     both = sorted(base + opaque_spans(text, base), key=lambda s: (s[1], KINDS.index(s[0])))
                     spans.append([{"kind": k, "start": b, "end": e, "value_hash": value_hash(v)} for k, b, e, v in both])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("owner"), pa.array(spans, kind)],
-                                                 ["doc_id", "owner", "spans"])
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in ("doc_id", "owner", "content")] + [pa.array(spans, kind)],
+                                                 ["doc_id", "owner", "content", "spans"])
     src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(owner_col).cast("string").alias("owner"),
-                    F.col(text_col).cast("string").alias("text"))
+                    F.xxhash64(F.col(text_col).cast("string")).alias("content"), F.col(text_col).cast("string").alias("text"))
     return src.mapInArrow(run, COLUMNS)
 
 
-def ownership(spans: DataFrame, live_repos: int, example_owners: int) -> DataFrame:
-    """(value_hash, owners, repos, verdict) over the whole corpus.
+def ownership(spans: DataFrame, all_owners: int, example_owners: int) -> DataFrame:
+    """(value_hash, owners, repos, verdict) over the whole corpus, which has ``all_owners`` owners.
 
-    Distinct (value, owner) and (value, document) rows come first, so a value that a third of all rows hold is spread by
+    Distinct (value, owner) and (value, text) rows come first, so a value that a third of all rows hold is spread by
     the second key; the counts over them are combined map-side. A null owner counts as one owner.
     """
     per_owner = (spans.select("value_hash", "owner").distinct().groupBy("value_hash").agg(F.count("*").alias("owners")))
-    per_repo = (spans.select("value_hash", "doc_id").distinct().groupBy("value_hash").agg(F.count("*").alias("repos")))
-    verdict = (F.when((F.col("owners") == 1) & (F.col("repos") <= live_repos), "live")
-               .when(F.col("owners") >= example_owners, "example").otherwise("shared"))
+    per_repo = (spans.select("value_hash", "content").distinct().groupBy("value_hash").agg(F.count("*").alias("repos")))
+    apart = F.least("owners", "repos")
+    example = (((apart >= example_owners) & (apart * apart >= all_owners))
+               | ((F.col("owners") >= example_owners) & (F.col("owners") * 2 > all_owners)))
+    verdict = F.when(example, "example").when(apart == 1, "live").otherwise("shared")
     return per_owner.join(per_repo, "value_hash").withColumn("verdict", verdict)
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-         live_repos: int = LIVE_REPOS, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+         example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
     """(doc_id, spans): one row per input row; spans are (kind, start, end, owners, repos, verdict) by start, then kind.
 
     Offsets are code points, ends exclusive. A null or empty text has no spans; a null id or owner is a value like any
-    other; repeated rows give repeated results and count as one repository; an empty table gives an empty result; other
+    other; repeated rows give repeated results, and equal texts count as one repository; an empty table gives an empty result; other
     columns are ignored.
     """
     rows = stored(candidates(df, id_col, text_col, owner_col).withColumn("row", F.monotonically_increasing_id()), "secrets")
-    spans = rows.select("row", "doc_id", "owner", F.explode("spans").alias("s")).select("row", "doc_id", "owner", "s.*")
-    verdicts = ownership(spans, live_repos, example_owners)
+    spans = rows.select("row", "doc_id", "owner", "content", F.explode("spans").alias("s")).select("row", "doc_id", "owner", "content", "s.*")
+    verdicts = ownership(spans, rows.select("owner").distinct().count(), example_owners)
     # A join whose hot values AQE splits; the rows of a document meet again under its own key.
     judged = (spans.join(verdicts, "value_hash").where("kind <> 'opaque' OR verdict = 'live'")
               .withColumn("place", F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")))

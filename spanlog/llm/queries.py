@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, extract, langid, mixing, pieces, quality, secrets, simhash, substrings, topk
+from . import ann, codes, decontaminate, extract, langid, mixing, pieces, quality, secrets, simhash, substrings, topk
 from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,24 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes covered by 100-byte strings that start earlier."""
     out = substrings.deduplicate(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code of 8 parts by codebooks of 16 entries, with its error and its label's."""
+    out = codes.compress(table(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+ORACLE["op11_vector_codes"] = codes.oracle()
+
+
+@query
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words that lie in 10-word windows of the benchmark."""
+    out = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+ORACLE["op12_decontaminate"] = decontaminate.ORACLE

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, codes, decontaminate, extract, langid, mixing, pieces, quality, secrets, simhash, substrings, topk
+from . import ann, codes, decontaminate, extract, langid, mixing, negatives, pieces, quality, secrets, simhash, substrings, topk
 from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,13 @@ def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op12_decontaminate"] = decontaminate.ORACLE
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every vec_id divisible by 100 its positives and their hard negatives; every seventh row carries the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+ORACLE["op13_hard_negatives"] = negatives.ORACLE

@@ -38,16 +38,21 @@ ROWS_AT_ONCE = 4096
 
 def not_dominated(low: np.ndarray, high: np.ndarray, entries: np.ndarray) -> np.ndarray:
     """Boxes x entries: whether an entry may be nearest (ties included) to an integer point of the box [low, high]."""
-    near = np.maximum(np.maximum(low[:, None] - entries, entries - high[:, None]), 0)
-    far = np.maximum(np.abs(low[:, None] - entries), np.abs(high[:, None] - entries))
-    stays = (near ** 2).sum(axis=2) <= (far ** 2).sum(axis=2).min(axis=1, keepdims=True)
-    norm = (entries ** 2).sum(axis=1)
-    for b in range(len(entries)):
-        # least over the box of |x - a|^2 - |x - b|^2 = |a|^2 - |b|^2 - 2 x (a - b), per component at one end of the box
-        gap = entries - entries[b]
-        most = np.maximum(low[:, None] * gap, high[:, None] * gap).sum(axis=2)
-        stays &= norm - norm[b] - 2 * most <= 0
-    return stays
+    nearest = np.zeros((len(low), len(entries)), np.int64)
+    farthest = np.zeros_like(nearest)
+    for i in range(entries.shape[1]):
+        below, above = low[:, i:i + 1] - entries[:, i], entries[:, i] - high[:, i:i + 1]
+        nearest += np.maximum(np.maximum(below, above), 0) ** 2
+        farthest += np.maximum(-below, -above) ** 2  # to the end of the box that lies further off
+    stays = nearest <= farthest.min(axis=1, keepdims=True)
+    # least over the box of |x - a|^2 - |x - b|^2 = |a|^2 - |b|^2 - 2 x (a - b): at the middle less half the box's width per component
+    gap = (entries[:, None] - entries[None]).astype(float)
+    norm = (entries.astype(float) ** 2).sum(axis=1)
+    middle, half = (low + high) / 2.0, (high - low)[:1] / 2.0
+    flat = gap.reshape(-1, entries.shape[1])
+    least = (norm[:, None] - norm[None]).ravel() - 2 * (middle @ flat.T) - 2 * (np.abs(flat) * half).sum(axis=1)
+    slack = 1e-9 * (1 + np.abs(middle).max(initial=0.0) * np.abs(flat).sum(axis=1).max(initial=0.0) + norm.max(initial=0.0))  # keeps more, never less
+    return stays & (least <= slack).reshape(len(low), len(entries), len(entries)).all(axis=2)
 
 
 class Assigner:

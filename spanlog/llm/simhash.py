@@ -52,7 +52,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, keep: str | None = None) -> DataFrame:
-    """(doc_id, fp) and the long column ``keep``: one row per input row; other columns, whatever their names, are left out."""
+    """(doc_id, fp) and the binary column ``keep``: one row per input row; other columns, whatever their names, are left out."""
     names = ["doc_id", *[keep] * bool(keep)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,7 +62,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(c) for c in names], pa.array(np.array(fps, np.uint64).view(np.int64))], [*names, "fp"])
     src = df.select(F.col(id_col).cast("long").alias("doc_id"), *names[1:], F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "fp"]))
+    return src.mapInArrow(run, ", ".join(f"{c} {'binary' if c == keep else 'long'}" for c in [*names, "fp"]))
 
 
 def ring(positions: list[int], distance: int) -> list[int]:
@@ -199,16 +199,38 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     """The rows of ``df``, one per near-duplicate class: that with the smallest id (null after all others), then the smallest
     text (null first); of rows that are equal in both any one, and of any number of them only one.
 
-    Rows are told apart by their number in a stored copy of ``df``; ids may be null or shared by different texts.
+    Rows are told apart by an MD5 of id and text (``_key``; ids may be null or shared by different texts), so texts are neither
+    copied nor shuffled: the table is read once for fingerprints and once to leave out the keys that were not chosen. Texts are
+    compared only where rows of one class share the smallest id, and only those rows are shuffled; likewise rows that repeat.
     """
-    rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
-    src = rows.select("_row", F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    docs = stored(fingerprints(src, "doc_id", "text", shingle, keep="_row"), "simhash-fp")
+    marked = _keyed_rows(df, id_col, text_col)
+    src = marked.select("_key", F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = stored(fingerprints(src, "doc_id", "text", shingle, keep="_key"), "simhash-fp")
     classes = stored(_classes(docs, distance, bucket_rows).select("fp", "root"), "simhash-classes")
-    of = docs.join(classes, "fp").select("root", "doc_id", "_row")
-    # First the smallest id of each class, map-side; texts are compared only among the rows that share it.
+    # one row per class and key: copies of a row add up before any shuffle
+    of = stored(docs.join(classes, "fp").groupBy("root", "doc_id", "_key").agg(F.count("*").alias("n")), "simhash-rows")
     least = of.groupBy("root").agg(F.min("doc_id").alias("least"))
-    first = stored(of.join(least, "root").where(F.col("doc_id").eqNullSafe(F.col("least"))).select("root", "_row"), "simhash-first")
-    best = (first.join(src.select("_row", "text"), "_row").groupBy("root")
-            .agg(F.min(F.struct("text", "_row")).alias("m")).select(F.col("m._row").alias("_row")))
-    return rows.join(best, "_row", "left_semi").drop("_row")
+    first = stored(of.join(least, "root").where(F.col("doc_id").eqNullSafe(F.col("least"))).groupBy("root")
+                   .agg(F.min("_key").alias("one"), F.count("*").alias("keys")), "simhash-first")
+    shared = first.where("keys > 1").select("root", F.col("one").alias("_one"))
+    ties = (of.join(shared, "root").join(least.withColumnRenamed("root", "_root"), F.col("root") == F.col("_root"))
+            .where(F.col("doc_id").eqNullSafe(F.col("least"))).select("root", "_key"))
+    ties = stored(ties, "simhash-ties")  # rows of one class and one id with different texts: rare, and written so that its size is known
+    texts = src.select("_key", "text").join(ties, "_key").groupBy("root").agg(F.min(F.struct("text", "_key")).alias("m"))
+    best = stored(first.where("keys = 1").select("root", F.col("one").alias("_best"))
+                  .unionByName(texts.select("root", F.col("m._key").alias("_best"))), "simhash-best")
+    chosen = of.join(best, "root")
+    # what goes, not what stays, is looked up: copies and near copies are the smaller part
+    gone = stored(chosen.where(F.col("_key") != F.col("_best")).select("_key"), "simhash-gone")
+    left = marked.join(gone, "_key", "left_anti")
+    again = stored(chosen.where((F.col("_key") == F.col("_best")) & (F.col("n") > 1)).select("_key"), "simhash-again")
+    if not again.isEmpty():
+        left = left.join(again, "_key", "left_anti").unionByName(left.join(again, "_key", "left_semi").dropDuplicates(["_key"]))
+    return left.drop("_key")
+
+
+def _keyed_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``df`` with ``_key``, an MD5 of id and text, never null. Nulls have a key of their own."""
+    name = F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit(""))
+    text = F.col(text_col).cast("string")
+    return df.withColumn("_key", F.unhex(F.md5(F.concat(name, F.when(text.isNull(), F.lit(":")).otherwise(F.lit("=")), F.coalesce(text, F.lit(""))).cast("binary"))))

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_slices
+from .common import stored, stored_by, text_slices
 
 ORDER = 4
 REJECT_SDS = 8.0
@@ -38,6 +38,7 @@ TEMPERATURES = (0.5, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)
 UNKNOWN = "und"
 SLICE = 1 << 20  # bytes of text at a time: arrays of 8 bytes a character are made of it
 BLOCK = 16 << 20  # bytes of text that look up their n-grams together
+MAX_BUCKETS = 50_000  # tasks that score; more blocks than these share tasks, one block at a time
 _SPACE, _END = 32, 1
 
 
@@ -134,6 +135,7 @@ class Model:
     alphabet: int
     grams: DataFrame
     contexts: DataFrame
+    chars: int = 0
 
     def logs(self, wanted: DataFrame) -> DataFrame:
         """(g, logs) of the distinct 4-grams ``wanted`` (column g): log-probabilities, one per language.
@@ -173,7 +175,8 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mode
         cur = cur.groupBy("lang", _hash(k).alias("g")).agg(F.count("*").alias("n"))
         tables.append(cur.withColumn("k", F.lit(k)))
     every = stored(reduce(DataFrame.unionByName, tables), "langid-orders")
-    spread = every.groupBy("lang", "k").agg(F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).collect()
+    spread = every.groupBy("lang", "k").agg(F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"),
+                                            F.sum(F.when(F.col("k") == ORDER, F.col("n")).otherwise(0)).alias("chars")).collect()
     if not spread:  # one row per language and order
         return None
     langs = sorted({r["lang"] for r in spread})
@@ -199,7 +202,7 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mode
              .groupBy("k", "g").agg(F.collect_list(F.struct("i", (mass / F.col("total")).cast("float").alias("s"))).alias("e"))
              .select("k", "g", dense("e", 0.0).alias("share")))
     grams, contexts = stored(grams, "langid-shares"), stored(contexts, "langid-contexts")
-    return Model(langs, grams.where("k = 1").count() + 1, grams, contexts)
+    return Model(langs, grams.where("k = 1").count() + 1, grams, contexts, sum(r["chars"] for r in spread))
 
 
 def _blocks(df: DataFrame, block: int) -> DataFrame:
@@ -241,7 +244,9 @@ def entropies(df: DataFrame, model: Model | None, keep: tuple[str, ...], text_co
     if model is None:
         return df.select(*names).withColumn("_h", F.lit(None).cast("array<double>")).withColumn("_n", F.lit(0).cast("long"))
     schema = ", ".join(f"`{n}` {src.schema['_text' if own and n == text_col else n].dataType.simpleString()}" for n in names) + ", _h array<double>, _n long"
-    texts = stored(_blocks(src, block), "langid-blocks")  # stored: both uses below see the same blocks
+    # stored: both uses below see the same blocks; in buckets: the texts meet their n-grams where they lie
+    buckets = min(MAX_BUCKETS, max(2 * df.sparkSession.sparkContext.defaultParallelism, model.chars // block))
+    texts = stored_by(_blocks(src, block), "langid-blocks", "block", buckets)
     wanted = texts.select("block", F.explode("grams").alias("g"))
     logs = wanted.join(model.logs(wanted.select("g").distinct()), "g").select(F.col("block").alias("of"), "g", "logs")
     width = len(model.langs)

@@ -7,6 +7,7 @@ executor costs no more than one stage. Nulls, empty texts, repeated rows and emp
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 from functools import wraps
 
@@ -25,9 +26,14 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def own_names(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """Runs a stage with other columns under names that cannot clash with its own, and names them back."""
+    """Runs a stage with other columns under names that cannot clash with its own, and names them back.
+
+    Spark gives back shuffle files, broadcasts and the memory of finished plans when the driver's collectors find them unused;
+    both are asked to look before a stage starts, since a stage can be shorter than their own intervals."""
     @wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        gc.collect()
+        spark._jvm.System.gc()
         safe = [c if c in COLUMNS else f"_other{i}" for i, c in enumerate(docs.columns)]
         back = dict(zip(safe, docs.columns, strict=True))
         out = stage(spark, docs.toDF(*safe), sf_dir)

@@ -22,8 +22,8 @@ from ..functions.times import throttle_bucket
 from ..model import KEY, ROW4, closed_versions, history_columns, open_versions
 from ..operators.history import series_to_history
 from ..plans.ordered import keyed_scan
-from ..session import scratch_path
-from ..sources.tables import read_history, write_history
+from ..session import reliable_checkpoint, scratch_path
+from ..sources.commits import CommitTable, split_changes
 
 EVENT_SCHEMA = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 
@@ -93,14 +93,20 @@ def throttle_stream(stream: DataFrame, grain: str, spark: SparkSession, source:
 def apply_listings(h: DataFrame, listings: DataFrame, t: str = "t") -> DataFrame:
     """The history after several listings, in one pass (equals B6 for each in order of its time).
 
-    A row without a path only says that a listing was taken at its time: that is how an empty listing is stated. The open
-    versions stand for a listing before the first; those still there at the first time keep their start."""
+    A row without a path only says that a listing was taken at its time: that is how an empty listing is stated."""
+    made = listed_versions(open_versions(h), listings, t)
+    return history_columns(h) if made is None else history_columns(closed_versions(h)).unionByName(made)
+
+
+def listed_versions(now: DataFrame, listings: DataFrame, t: str = "t") -> DataFrame | None:
+    """What the open versions ``now`` have become after the listings, and the versions that began; None if there was no listing.
+
+    The open versions stand for a listing before the first; those still there at the first time keep their start."""
     rows = listings.withColumnRenamed(t, "t").select("t", *ROW4)
     times = rows.select("t").distinct()
     first = times.agg(F.min("t")).head()[0]
     if first is None:
-        return history_columns(h)
-    now = open_versions(h)
+        return None
     before = F.lit(first) - F.expr("INTERVAL 1 SECOND")
     again = rows.filter(F.col("dirname").isNotNull()).unionByName(now.select(before.alias("t"), *ROW4))
     made = series_to_history(again, times.unionByName(times.limit(1).select(before.alias("t"))))
@@ -110,32 +116,30 @@ def apply_listings(h: DataFrame, listings: DataFrame, t: str = "t") -> DataFrame
     made = (made.withColumn("row_id", F.when(old, F.col("_id")).otherwise(F.col("row_id")))
             .withColumn("created", F.when(old, F.col("_since")).otherwise(F.col("created")))
             .withColumn("freq", freq_class("created", "deleted")))
-    return history_columns(closed_versions(h)).unionByName(history_columns(made))
+    return history_columns(made)
 
 
 def history_stream(listings: DataFrame, spark: SparkSession, start: DataFrame, t: str = "t", table: str | None = None,
                    checkpoint: str | None = None) -> DataFrame:
-    """Arriving listings (rows with their snapshot time, see ``apply_listings``) are applied to the history.
-
-    The history lives as versions ``v=<batch>`` of the table; ``start`` is version -1, written when the stream starts first.
-    Batches must hold whole listings, in time order from batch to batch."""
-    base = table or scratch_path(spark, "history")
-    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
-
-    def versions() -> list[int]:
-        path = jvm.Path(base)
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
-        return sorted(int(n[2:]) for n in names if n.startswith("v=") and fs.exists(jvm.Path(f"{base}/{n}/_SUCCESS")))
+    """Arriving listings (rows with their snapshot time, see ``apply_listings``) are committed to the history.
 
-    if not versions():
-        write_history(start, f"{base}/v=-1", mode="overwrite")
+    The history is a ``CommitTable``: a batch reads the open versions and writes the changes, closed ones are neither read nor
+    written again. ``start`` is version 0, written when the stream starts first. A batch replayed after a failure is found
+    in the log and commits nothing. Batches must hold whole listings, in time order from batch to batch."""
+    log = CommitTable(spark, table or scratch_path(spark, "history"))
+    log.create(start)
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        write_history(apply_listings(read_history(spark, f"{base}/v={batch_id - 1}"), df, t), f"{base}/v={batch_id}", mode="overwrite")
+        if log.version().batches.get("listings", -1) >= batch_id:
+            return
+        now = log.open()
+        made = listed_versions(now, df, t)
+        if made is not None:
+            made = reliable_checkpoint(made)  # both halves come from one computation
+            log.commit(*split_changes(now, made), source="listings", batch=batch_id)
 
     _run(listings.writeStream.foreachBatch(sink), "history", spark, checkpoint)
-    return read_history(spark, f"{base}/v={versions()[-1]}")
+    return log.read()
 
 
 def interval_stream(changes: DataFrame, spark: SparkSession, table: str | None = None, checkpoint: str | None = None) -> DataFrame:

@@ -12,16 +12,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.classes import freq_class
 from ..functions.times import throttle_bucket
 from ..model import KEY, ROW4, closed_versions, history_columns, open_versions
 from ..operators.history import series_to_history
-from ..plans.ordered import keyed_scan
 from ..session import reliable_checkpoint, scratch_path
 from ..sources.commits import CommitTable, split_changes
 
@@ -53,19 +54,27 @@ def event_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def _run(query_writer, name: str, spark: SparkSession, checkpoint: str | None = None, state_partitions: int | None = None) -> int:
+#: The state store that keyed operators need: state on disk, changes written per batch.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _run(query_writer, name: str, spark: SparkSession, checkpoint: str | None = None, state_partitions: int | None = None,
+         store: str | None = None) -> int:
     """Run a stream to the end of its input; returns the rows that its watermark dropped as late.
 
     A stateful stream fixes its number of state partitions when it starts first. ``state_partitions`` sets it, for a cluster
     that may grow; left out, it is the session's number of shuffle partitions, or twice the cores if that is less. The
-    session's setting is changed only while the query starts."""
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions or min(int(old), 2 * spark.sparkContext.defaultParallelism)))
+    session's settings are changed only while the query starts."""
+    partitions = str(state_partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism))
+    wanted = {"spark.sql.shuffle.partitions": partitions} | ({"spark.sql.streaming.stateStore.providerClass": store} if store else {})
+    old = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         q = query_writer.option("checkpointLocation", checkpoint or scratch_path(spark, f"ckpt-{name}")).trigger(availableNow=True).start()
     finally:
-        spark.conf.set(key, old)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     q.awaitTermination()
     return sum(op.numRowsDroppedByWatermark for p in q.recentProgress for op in p.stateOperators)
 
@@ -142,27 +151,77 @@ def history_stream(listings: DataFrame, spark: SparkSession, start: DataFrame, t
     return log.read()
 
 
-def interval_stream(changes: DataFrame, spark: SparkSession, table: str | None = None, checkpoint: str | None = None) -> DataFrame:
+STATE_BUCKETS = 64
+INTERVAL_OUT = "dirname string, filename string, inode long, created_us long, deleted_us long, late boolean"
+
+
+class OpenVersions(StatefulProcessor):
+    """The open version of every path in the state store, paths dealt into buckets: a batch reads and writes the entries of its own
+    paths and no other, and a bucket's rows are cut into intervals together."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.open = handle.getMapState("open", "dirname string, filename string", "inode long, created_us long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        x = pd.concat(list(rows), ignore_index=True)
+        path = x.groupby(KEY, dropna=False, sort=False).ngroup().to_numpy()
+        first = np.unique(path, return_index=True)[1]
+        names = [tuple(None if pd.isna(v) else v for v in r) for r in x.loc[first, KEY].itertuples(index=False)]
+        held = [self.open.getValue(n) for n in names]
+        known = np.array([h is not None for h in held], bool)
+        open_inode, open_since = np.array([h if h is not None else (0, 0) for h in held], np.int64).T
+        since, inode = x["created_us"].to_numpy(np.int64), x["inode"].to_numpy(np.int64)
+        late = known[path] & ((since < open_since[path]) | ((since == open_since[path]) & (inode < open_inode[path])))
+        # the open versions stand before the batch's rows of their paths
+        of = np.concatenate([np.nonzero(known)[0], path[~late]])
+        at, who = np.concatenate([open_since[known], since[~late]]), np.concatenate([open_inode[known], inode[~late]])
+        order = np.lexsort((who, at, of))
+        of, at, who = of[order], at[order], who[order]
+        last = np.append(of[1:] != of[:-1], True) if len(of) else np.empty(0, bool)
+        for p, i, t in zip(of[last].tolist(), who[last].tolist(), at[last].tolist(), strict=True):
+            if held[p] is None or (i, t) != tuple(held[p]):
+                self.open.updateValue(names[p], (i, t))
+        ended = np.nonzero(~last)[0]
+        which = np.concatenate([of[ended], path[late]])
+        text = [pd.Series([names[p][i] for p in which.tolist()], dtype=object) for i in (0, 1)]
+        yield pd.DataFrame({"dirname": text[0], "filename": text[1],
+                            "inode": np.concatenate([who[ended], inode[late]]), "created_us": np.concatenate([at[ended], since[late]]),
+                            "deleted_us": np.concatenate([at[ended + 1], since[late]]), "late": np.arange(len(which)) >= len(ended)})
+
+    def close(self) -> None:
+        pass
+
+
+def interval_stream(changes: DataFrame, spark: SparkSession, table: str | None = None, checkpoint: str | None = None,
+                    buckets: int = STATE_BUCKETS) -> DataFrame:
     """Keyed change events (dirname, filename, inode, created) -> closed intervals as they end.
 
-    A batch joins its events with the open version of each path, left by the batch before it, cuts them into intervals by an
-    ordered scan (a hot path is split over tasks) and writes the closed intervals and the versions now open. Events must
-    arrive in time order per path from batch to batch; within a batch any order does."""
+    The open version of each path is an entry of the state store (RocksDB), so a batch costs what it brings, however many paths are
+    open. ``buckets`` bounds the tasks that share the paths and stays as it was when the stream started first. Within a batch rows come in any order. An event older than its path's open version is too late to cut anything: it
+    goes to ``late_events`` instead. Rows without inode or time are left out. One bucket's rows of one batch meet in one
+    task: the trigger's size bounds them."""
     base = table or scratch_path(spark, "intervals")
+    rows = changes.where("inode IS NOT NULL AND created IS NOT NULL").select(
+        F.pmod(F.xxhash64(*KEY), F.lit(buckets)).alias("bucket"), *KEY, "inode", F.unix_micros("created").alias("created_us"))
+    s = rows.groupBy("bucket").transformWithStateInPandas(statefulProcessor=OpenVersions(), outputStructType=INTERVAL_OUT, outputMode="Append",
+                                                      timeMode="None")
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        rows = df.select(*KEY, "inode", "created")
-        if batch_id > 0:
-            rows = rows.unionByName(spark.read.parquet(f"{base}/open/v={batch_id - 1}").select(*KEY, "inode", "created"))
-        # from the last event of a path to its first, so that the next one is what a lag sees
-        rows = rows.withColumn("_neg", -F.unix_micros("created")).withColumn("_id", -F.col("inode"))
-        s = keyed_scan(rows, KEY, ["_neg", "_id"], lag=["created"])
-        done = s.select(F.col("inode").alias("row_id"), "inode", F.lit("f").alias("type"), *KEY, "created", F.col("lag_created").alias("deleted"))
-        done.filter("deleted IS NOT NULL").write.mode("overwrite").parquet(f"{base}/closed/batch={batch_id}")
-        done.filter("deleted IS NULL").select(*KEY, "inode", "created").write.mode("overwrite").parquet(f"{base}/open/v={batch_id}")
-
-    _run(changes.writeStream.foreachBatch(sink), "intervals", spark, checkpoint)
-    return spark.read.parquet(f"{base}/closed").drop("batch")
+        df.write.mode("overwrite").partitionBy("late").parquet(f"{base}/batch={batch_id}")
+
+    _run(s.writeStream.outputMode("append").foreachBatch(sink), "intervals", spark, checkpoint, store=ROCKSDB)
+    done = _intervals(spark, base).where(~F.col("late"))
+    return done.select(F.col("inode").alias("row_id"), "inode", F.lit("f").alias("type"), *KEY,
+                       F.timestamp_micros("created_us").alias("created"), F.timestamp_micros("deleted_us").alias("deleted"))
+
+
+def _intervals(spark: SparkSession, base: str) -> DataFrame:
+    return spark.read.schema(f"{INTERVAL_OUT}, batch long").option("basePath", base).parquet(f"{base}/batch=*")
+
+
+def late_events(spark: SparkSession, table: str) -> DataFrame:
+    """The events that ``interval_stream`` set aside, with the batch that brought them."""
+    return _intervals(spark, table).where("late").select(*KEY, "inode", F.timestamp_micros("created_us").alias("created"), "batch")
 
 
 @dataclass

@@ -76,3 +76,23 @@ def test_history_goes_on_after_a_stop_and_takes_empty_listings(spark, tmp_path):
             got = St.history_stream(src, spark, empty_history(spark), **paths)
     columns = ["inode", "type", "dirname", "filename", "created", "deleted", "freq"]
     assert sorted(map(tuple, got.select(*columns).collect())) == sorted(map(tuple, want.select(*columns).collect()))
+
+
+def test_intervals_keep_state_per_path_and_set_late_events_aside(spark, tmp_path):
+    """Three batches; the second repeats a time and comes unsorted, the third brings an event older than its path's open version."""
+    schema = "dirname string, filename string, inode long, created timestamp"
+    batches = [[("./a/", "x", 1, "2024-01-01"), ("./a/", "y", 2, "2024-01-02"), ("./a/", "x", None, "2024-01-02"), ("./a/", "x", 9, None)],
+               [("./a/", "x", 5, "2024-01-07"), ("./a/", "x", 4, "2024-01-05"), ("./a/", "x", 3, "2024-01-05"), (None, "n", 6, "2024-01-06")],
+               [("./a/", "x", 7, "2024-01-06"), ("./a/", "y", 8, "2024-01-09"), (None, "n", 10, "2024-01-10")]]
+    paths = {"table": f"{tmp_path}/t", "checkpoint": f"{tmp_path}/c"}
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    for rows in batches:  # the stream is stopped after every batch and goes on from its folders
+        df = spark.createDataFrame(rows, schema.replace("timestamp", "string")).withColumn("created", F.to_timestamp("created"))
+        df.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        got = St.interval_stream(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), spark, **paths)
+    found = sorted([(r["inode"], str(r["created"])[:10], str(r["deleted"])[:10]) for r in got.collect()])
+    assert found == [(1, "2024-01-01", "2024-01-05"), (2, "2024-01-02", "2024-01-09"), (3, "2024-01-05", "2024-01-05"), (4, "2024-01-05", "2024-01-07"),
+                     (6, "2024-01-06", "2024-01-10")]
+    assert [(r["inode"], r["batch"]) for r in St.late_events(spark, paths["table"]).collect()] == [(7, 2)]
+    assert spark.conf.get(provider) == before

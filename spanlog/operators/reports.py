@@ -113,7 +113,7 @@ def protection_coverage(eligible: DataFrame, manifest: DataFrame) -> DataFrame:
 def dedup_counters(d: DataFrame) -> DataFrame:
     """Duplicate rows and groups of a dedup work table."""
     return d.agg(F.count(F.lit(1)).alias("total_dups"),
-                 F.countDistinct("dirname", "filename", "min_created", "max_deleted").alias("total_groups"))
+                 F.countDistinct("dirname", "filename", "span_from", "span_to").alias("total_groups"))
 
 
 def check_summary(results: dict[str, DataFrame], show: int = 10, key: str = "item") -> DataFrame:

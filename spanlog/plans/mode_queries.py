@@ -141,12 +141,12 @@ def q_snap_start_all(spark, sf):
 
 @register("dedup_candidates_guarded", """
 WITH d AS (SELECT * REPLACE (CASE WHEN starts_with(dirname, './g3/') THEN 0 ELSE inode END AS inode) FROM hist_dups)
-SELECT f.row_id AS h_rowid, f.inode, f.dirname, f.filename, f.created AS one_created, f.deleted AS one_deleted,
-       f.min_created, f.max_deleted, f.c, FALSE AS bad
-FROM (SELECT *, min(created) OVER w AS min_created, max(deleted) OVER w AS max_deleted, count(*) OVER w AS c
-      FROM d WHERE type = 'f' WINDOW w AS (PARTITION BY inode, dirname, filename)) f
-WHERE c >= 2 AND NOT (created = min_created AND deleted = max_deleted)
-AND (dirname, filename) NOT IN (SELECT (dirname, filename) FROM d GROUP BY dirname, filename HAVING min(inode) <> max(inode))""",
+SELECT v.inode, v.dirname, v.filename, v.row_id, v.created, v.deleted, g.span_from, g.span_to, g.members, FALSE AS guarded
+FROM d v
+JOIN (SELECT inode, dirname, filename, min(created) AS span_from, max(deleted) AS span_to, count(*) AS members
+      FROM d WHERE type = 'f' GROUP BY ALL HAVING count(*) > 1) g USING (inode, dirname, filename)
+ANTI JOIN (SELECT dirname, filename FROM d GROUP BY ALL HAVING count(DISTINCT inode) > 1) held USING (dirname, filename)
+WHERE v.type = 'f' AND (v.created > g.span_from OR v.deleted < g.span_to)""",
           ("hist_dups",))
 def q_dedup_candidates_guarded(spark, sf):
     """G1 with the guard as intended: paths that hold another inode are left alone (here all but those below g3)."""

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..model import empty_history, read_table
-from ..session import scratch_path
 from ..streaming import debounce as L
 from ..streaming import streams as St
 from . import fixtures as X
@@ -116,15 +115,9 @@ SELECT *, {freq_sql()} AS freq FROM r""", ("daily_states", "snapshot_times"))
 def q_history_stream(spark, sf):
     """Daily listings arriving as a stream, each applied to the history (must equal B11)."""
     states = X.daily_states(spark, sf)
-    path = scratch_path(spark, "listings")
-    # every day's rows plus one that says a listing was taken; listings arrive in four files, one after the other
+    # every day's rows plus one that says a listing was taken
     taken = X.snapshot_times(spark, sf).select("t", *[F.lit(None).cast(states.schema[c].dataType).alias(c) for c in states.columns if c != "t"])
-    rows = states.unionByName(taken.select(*states.columns))
-    lo, hi = rows.agg(F.min(F.unix_seconds("t")), F.max(F.unix_seconds("t")) + 1).head()
-    for i in range(4):
-        a, b = lo + (hi - lo) * i // 4, lo + (hi - lo) * (i + 1) // 4
-        rows.filter((F.unix_seconds("t") >= a) & (F.unix_seconds("t") < b)).coalesce(1).write.mode("append").parquet(path)
-    src = spark.readStream.schema(states.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    src = St.stream_in_time_order(states.unionByName(taken.select(*states.columns)), "t")
     return St.history_stream(src, spark, empty_history(spark)).drop("row_id")
 
 
@@ -133,7 +126,7 @@ SELECT row_id, inode, type, dirname, filename, created, deleted FROM hist_events
           ("hist_events",), headline=True)
 def q_interval_stream(spark, sf):
     """Event versions arriving as a stream; each new version closes the open one."""
-    src = St.event_stream(spark, St.split_events(spark, sf, ordered=True))
+    src = St.stream_in_time_order(read_table(spark, sf, "events"), "ts")
     ch = src.select(
         F.concat(F.lit("./g"), (F.col("user_id") % 10).cast("string"), F.lit("/u"),
                  F.col("user_id").cast("string"), F.lit("/")).alias("dirname"),
@@ -146,7 +139,7 @@ def q_interval_stream(spark, sf):
 HAVING max(a) < (SELECT max(epoch_us(ts)) FROM events)""")
 def q_debounce_stream(spark, sf):
     """L1 on a file stream: batches emitted while the stream runs (the last pending ones are not)."""
-    src = St.event_stream(spark, St.split_events(spark, sf, ordered=True))
+    src = St.stream_in_time_order(read_table(spark, sf, "events"), "ts")
     return St.debounce_stream(src, spark, "user_id", "ts", GAP, MAX, delay="0 seconds").rows
 
 
@@ -159,7 +152,7 @@ FROM (SELECT *, sum(CASE WHEN p IS NULL OR ts - p >= INTERVAL {GAP} SECOND THEN
 GROUP BY k, s) WHERE session_end <= (SELECT max(ts) FROM events)""")
 def q_session_stream(spark, sf):
     """L3 on a file stream: 6 h sessions per user emitted as the watermark passes them."""
-    src = St.event_stream(spark, St.split_events(spark, sf, ordered=True))
+    src = St.stream_in_time_order(read_table(spark, sf, "events"), "ts")
     return St.session_stream(src, spark, "user_id", "ts", GAP, delay="0 seconds").rows
 
 
@@ -167,5 +160,5 @@ def q_session_stream(spark, sf):
 HAVING max(a) < (SELECT max(epoch_us(ts)) FROM events)""")
 def q_debounce_as_written_stream(spark, sf):
     """L2 on a file stream: fixed 6 h windows from the first event, emitted as the watermark passes."""
-    src = St.event_stream(spark, St.split_events(spark, sf, ordered=True))
+    src = St.stream_in_time_order(read_table(spark, sf, "events"), "ts")
     return St.debounce_stream(src, spark, "user_id", "ts", GAP, GAP, delay="0 seconds").rows

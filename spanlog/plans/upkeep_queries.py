@@ -278,15 +278,16 @@ def q_breadcrumbs(spark, sf):
 
 
 @register("empty_dirs", """
-WITH used AS (
+WITH both_listings AS (SELECT * FROM inv_prev UNION ALL SELECT * FROM inv_cur),
+used AS (
   SELECT DISTINCT './' || array_to_string(list_slice(parts, 1, i), '/') || '/' AS p
-  FROM (SELECT string_split(substr(dirname, 3), '/') AS parts FROM (SELECT DISTINCT dirname FROM inv_cur WHERE type <> 'd')) x,
+  FROM (SELECT string_split(substr(dirname, 3), '/') AS parts FROM (SELECT DISTINCT dirname FROM both_listings WHERE type <> 'd')) x,
        LATERAL (SELECT unnest(generate_series(1, len(x.parts) - 1)) AS i))
-SELECT c.* FROM inv_cur c WHERE c.type = 'd'
-AND NOT EXISTS (SELECT 1 FROM used WHERE used.p = c.dirname || c.filename || '/')""", ("inv_cur",))
+SELECT c.* FROM both_listings c WHERE c.type = 'd'
+AND NOT EXISTS (SELECT 1 FROM used WHERE used.p = c.dirname || c.filename || '/')""", ("inv_prev", "inv_cur"))
 def q_empty_dirs(spark, sf):
-    """I6."""
-    return I.empty_dirs(X.inv_cur(spark, sf))
+    """I6, over all parts: those of the listing before and those of the current one."""
+    return I.empty_dirs(X.inv_prev(spark, sf).unionByName(X.inv_cur(spark, sf)))
 
 
 @register("normalize_path", """

@@ -39,7 +39,7 @@ def sessions(df: DataFrame, key: str, ts: str, gap_s: int, tie: str, at_gap: boo
     return x.select("key", "t", "tie", F.col("ffill__start").alias("session"))
 
 
-def _extend(ts: np.ndarray, at: int, quiet: np.ndarray, t0: int, fire: int, gap_us: int, thr_us: int) -> tuple[int, int]:
+def pending_end(ts: np.ndarray, at: int, quiet: np.ndarray, t0: int, fire: int, gap_us: int, thr_us: int) -> tuple[int, int]:
     """The end of a pending batch among the events ``ts[at:]`` of its session, and its fire time.
 
     The events before ``t0 + thr`` postpone, up to the first silence of ``gap`` (``quiet`` holds the events after one);
@@ -75,7 +75,7 @@ def _fold(gap_us: int, thr_us: int):
                         t0, n, fire, start = int(own[at]), 1, int(own[at]) + gap_us, at + 1
                     else:
                         t0, fire, n, start = cur[2], cur[3], cur[4], at
-                    at, fire = _extend(own, start, quiet, t0, fire, gap_us, thr_us)
+                    at, fire = pending_end(own, start, quiet, t0, fire, gap_us, thr_us)
                     cur = (key, session, t0, fire, n + at - start)
                     if at < len(own):
                         out.append((key, t0, fire, cur[4]))

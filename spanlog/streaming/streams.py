@@ -25,28 +25,16 @@ from ..model import KEY, ROW4, closed_versions, history_columns, open_versions
 from ..operators.history import series_to_history
 from ..session import reliable_checkpoint, scratch_path
 from ..sources.commits import CommitTable, split_changes
+from .debounce import pending_end
 
 EVENT_SCHEMA = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 
 
-def split_events(spark: SparkSession, sf_dir: str, parts: int = 4, ordered: bool = False) -> str:
-    """Copy the events table into files to stream from.
-
-    One parallel write, for streams that take rows in any order; ``ordered`` writes ``parts`` files by event id
-    one after the other (file streams take files in modification order), for those that need time order."""
+def split_events(spark: SparkSession, sf_dir: str, parts: int = 4) -> str:
+    """Copy the events table into files to stream from, for streams that take rows in any order."""
     from ..model import read_table
-    e = read_table(spark, sf_dir, "events")
     out = scratch_path(spark, "events-stream")
-    if not ordered:
-        e.repartition(parts).write.parquet(out)
-        return out
-    bounds = e.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
-    lo, hi = int(bounds["lo"]), int(bounds["hi"])
-    step = (hi - lo) // parts + 1
-    for i in range(parts):
-        a, b = lo + i * step, lo + (i + 1) * step
-        (e.filter((F.col("event_id") >= a) & (F.col("event_id") < b)).coalesce(1)
-         .write.mode("append").parquet(out))
+    read_table(spark, sf_dir, "events").repartition(parts).write.parquet(out)
     return out
 
 
@@ -54,8 +42,35 @@ def event_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
 
 
+def stream_in_time_order(rows: DataFrame, t: str, spans: int = 4, files: int | None = None, path: str | None = None) -> DataFrame:
+    """A table as a stream whose triggers bring one span of time after the other, for streams that need that order.
+
+    Spans are of equal length and begin at whole seconds, so rows of one second arrive together; rows without a time belong to the
+    first. Every span is written by ``files`` parallel tasks (the cores, if left out) and taken by one trigger: file streams
+    take files by age, so all spans get the same number of files, where rows are few by empty ones. An empty table is a stream
+    without rows."""
+    spark = rows.sparkSession
+    files = files or spark.sparkContext.defaultParallelism
+    path = path or scratch_path(spark, "in-time-order")
+    second = F.unix_seconds(t)
+    low, high = rows.agg(F.min(second), F.max(second)).head()
+    cuts = [] if low is None else sorted({low + (high - low + 1) * i // spans for i in range(1, spans)} - {low})
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    span = F.coalesce(sum(((second >= cut).cast("int") for cut in cuts), F.lit(0)), F.lit(0))
+    for i in range(len(cuts) + 1):
+        rows.where(span == i).repartition(files).write.mode("append").parquet(path)
+        while _data_files(spark, fs, path) < (i + 1) * files:
+            spark.createDataFrame([], rows.schema).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def _data_files(spark: SparkSession, fs, path: str) -> int:
+    return sum(s.getPath().getName().endswith(".parquet") for s in fs.listStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)))
+
+
 #: The state store that keyed operators need: state on disk, changes written per batch.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROGRESS_SECONDS = 0.5
 
 
 def _run(query_writer, name: str, spark: SparkSession, checkpoint: str | None = None, state_partitions: int | None = None,
@@ -75,8 +90,14 @@ def _run(query_writer, name: str, spark: SparkSession, checkpoint: str | None =
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    q.awaitTermination()
-    return sum(op.numRowsDroppedByWatermark for p in q.recentProgress for op in p.stateOperators)
+    # a query remembers its last hundred reports only, so they are gathered while it runs
+    late: dict[int, int] = {}
+    ended = False
+    while not ended:
+        ended = q.awaitTermination(PROGRESS_SECONDS)
+        for p in q.recentProgress:
+            late[p.batchId] = max(late.get(p.batchId, 0), sum(op.numRowsDroppedByWatermark for op in p.stateOperators))
+    return sum(late.values())
 
 
 def throttle_stream(stream: DataFrame, grain: str, spark: SparkSession, source: str = "source", t: str = "ts", tie: str = "event_id",
@@ -238,31 +259,31 @@ DEBOUNCE_STATE = "t0 long, fire long, n long"
 def _debounce_state(gap_us: int, thr_us: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state):
         out = []
-        cur = list(state.get) if state.exists else None
+        cur = tuple(state.get) if state.exists else None  # t0, fire, n
         if state.hasTimedOut:
             out.append(cur)
             cur = None
         else:
-            rows = pd.concat(list(pdfs)).sort_values(["t", "tie"])
-            for t in rows["t"].tolist():
-                if cur is not None and t >= cur[1]:
+            ts = np.sort(pd.concat([p["t"] for p in pdfs]).to_numpy(np.int64))
+            quiet = np.nonzero(np.diff(ts) >= gap_us)[0] + 1
+            at = 0
+            while at < len(ts):
+                start = at
+                if cur is None:
+                    cur, start = (int(ts[at]), int(ts[at]) + gap_us, 1), at + 1
+                at, fire = pending_end(ts, start, quiet, cur[0], cur[1], gap_us, thr_us)
+                cur = (cur[0], fire, cur[2] + at - start)
+                if at < len(ts):
                     out.append(cur)
                     cur = None
-                if cur is None:
-                    cur = [t, t + gap_us, 1]
-                else:
-                    if t - cur[0] < thr_us:
-                        cur[1] = t + gap_us
-                    cur[2] += 1
         if cur is None:
             state.remove()
         else:
-            state.update(tuple(cur))
+            state.update(cur)
             # fires once the watermark (an event at or after the fire time) has passed it
             state.setTimeoutTimestamp(-(-cur[1] // 1000))
         if out:
-            k = int(key[0])
-            yield pd.DataFrame({"key": [k] * len(out),
+            yield pd.DataFrame({"key": pd.array([key[0]] * len(out), dtype="Int64"),
                                 "batch_start": pd.to_datetime([o[0] for o in out], unit="us"),
                                 "fire_at": pd.to_datetime([o[1] for o in out], unit="us"),
                                 "n_events": [int(o[2]) for o in out]})
@@ -270,18 +291,18 @@ def _debounce_state(gap_us: int, thr_us: int):
 
 
 def debounce_stream(stream: DataFrame, spark: SparkSession, key: str, ts: str, gap_s: int, max_s: int, delay: str,
-                    tie: str = "event_id", table: str | None = None, checkpoint: str | None = None) -> StreamResult:
+                    table: str | None = None, checkpoint: str | None = None) -> StreamResult:
     """L1/L2 on a stream: per-key state (batch start, fire time, size) with event-time timeouts.
 
     A batch is emitted when a later event of its key arrives at or after its fire
     time, or when the watermark passes the fire time; a batch still pending when
     the input ends is not emitted (as the reference loses it).  Within a batch rows may
     come in any order; from batch to batch they must be in time order per key.  Rows that
-    lie more than ``delay`` before the newest one seen are dropped and counted.
+    lie more than ``delay`` before the newest one seen are dropped and counted; rows without a time are left out, a null key
+    is a key. Two binary searches per batch settle it, whatever its size.
     """
     out = table or scratch_path(spark, "debounce")
-    x = stream.select(F.col(key).cast("long").alias("key"), F.col(ts).alias("ts"),
-                      F.unix_micros(F.col(ts)).alias("t"), F.col(tie).cast("long").alias("tie"))
+    x = stream.select(F.col(key).cast("long").alias("key"), F.col(ts).alias("ts"), F.unix_micros(F.col(ts)).alias("t")).where("ts IS NOT NULL")
     s = (x.withWatermark("ts", delay).groupBy("key")
          .applyInPandasWithState(_debounce_state(gap_s * 1_000_000, (max_s - gap_s) * 1_000_000),
                                  DEBOUNCE_OUT, DEBOUNCE_STATE, "append", GroupStateTimeout.EventTimeTimeout))

@@ -96,3 +96,30 @@ def test_intervals_keep_state_per_path_and_set_late_events_aside(spark, tmp_path
                      (6, "2024-01-06", "2024-01-10")]
     assert [(r["inode"], r["batch"]) for r in St.late_events(spark, paths["table"]).collect()] == [(7, 2)]
     assert spark.conf.get(provider) == before
+
+
+def test_spans_of_time_arrive_in_order_one_trigger_each(spark, tmp_path):
+    """Rows without a time come first, rows of one second together; few rows fill up with empty files; no rows, no crash."""
+    schema = "k long, ts timestamp, event_id long"
+    rows = [(1, None, 0), (None, "2024-01-01 00:00:00", 1), *[(i % 3, f"2024-01-{1 + i // 4:02d} 00:00:0{i % 2}.{i % 5}", i) for i in range(2, 90)]]
+    df = spark.createDataFrame(rows, schema.replace("timestamp", "string")).withColumn("ts", F.to_timestamp("ts"))
+    src = St.stream_in_time_order(df, "ts", spans=5, files=3, path=f"{tmp_path}/in")
+    seen = []
+    q = (src.writeStream.foreachBatch(lambda b, i: seen.append((i, b.agg(F.min("ts"), F.max("ts"), F.count("*"), F.sum(F.col("ts").isNull().cast("int"))).head())))
+         .option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert [i for i, _ in seen] == [0, 1, 2, 3, 4] and sum(r[2] for _, r in seen) == len(rows)
+    assert [r[3] for _, r in seen] == [1, 0, 0, 0, 0]
+    assert all(a[1].replace(microsecond=0) < b[0].replace(microsecond=0) for (_, a), (_, b) in zip(seen, seen[1:]))
+    none = df.where("false")
+    assert St.session_stream(St.stream_in_time_order(none, "ts", files=2), spark, "k", "ts", 60, delay="0 seconds").rows.count() == 0
+    one = df.where("event_id = 5")
+    assert St.debounce_stream(St.stream_in_time_order(one, "ts", files=2), spark, "k", "ts", 60, 120, delay="0 seconds").late_rows == 0
+
+
+def test_debounce_stream_takes_null_keys_and_times(spark, tmp_path):
+    rows = [(None, "2024-01-01 00:00:00", 1), (None, "2024-01-01 00:00:30", 2), (None, None, 3), (4, "2024-01-01 00:10:00", 4), (None, "2024-01-01 00:20:00", 5)]
+    df = spark.createDataFrame(rows, "k long, ts string, event_id long").withColumn("ts", F.to_timestamp("ts"))
+    got = St.debounce_stream(St.stream_in_time_order(df, "ts", files=1), spark, "k", "ts", 60, 120, delay="0 seconds").rows.collect()
+    assert sorted((r["key"] or 0, str(r["batch_start"])[11:], str(r["fire_at"])[11:], r["n_events"]) for r in got) == [
+        (0, "00:00:00", "00:01:30", 2), (4, "00:10:00", "00:11:00", 1)]

@@ -42,29 +42,14 @@ def _without(rows: DataFrame, others: DataFrame) -> DataFrame:
     return rows.join(keys, reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in IDENTITY]), "left_anti")
 
 
-@dataclass
-class Version:
-    """The files that make up a version of the table."""
-    number: int = -1
-    files: list[dict] = field(default_factory=list)  # path, kind, version, rows, low and high of path, created and deleted
-    rewritten: int = -1  # the version that last wrote all open rows
-    batches: dict[str, int] = field(default_factory=dict)  # per source the last batch that is in the table
-
-    def after(self, manifest: dict) -> Version:
-        files = manifest["list"] if manifest.get("list") is not None else [
-            f for f in self.files if not (manifest["rewrite"] and f["kind"] == "open")] + manifest["add"]
-        return Version(manifest["version"], files, manifest["version"] if manifest["rewrite"] else manifest.get("rewritten", self.rewritten),
-                       {**self.batches, **manifest["batches"]})
-
+class ManifestLog:
+    """Numbered manifests under ``log/`` of a table's folder; of two writers of one number the second fails."""
 
-class CommitTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
         self._jvm = spark.sparkContext._jvm
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
 
-    # the log
-
     def _at(self, path: str):
         return self._jvm.org.apache.hadoop.fs.Path(path)
 
@@ -100,6 +85,23 @@ class CommitTable:
             self._fs().delete(self._at(draft), False)
             raise CommitConflict(f"version {manifest['version']} exists") from e
 
+
+@dataclass
+class Version:
+    """The files that make up a version of the table."""
+    number: int = -1
+    files: list[dict] = field(default_factory=list)  # path, kind, version, rows, low and high of path, created and deleted
+    rewritten: int = -1  # the version that last wrote all open rows
+    batches: dict[str, int] = field(default_factory=dict)  # per source the last batch that is in the table
+
+    def after(self, manifest: dict) -> Version:
+        files = manifest["list"] if manifest.get("list") is not None else [
+            f for f in self.files if not (manifest["rewrite"] and f["kind"] == "open")] + manifest["add"]
+        return Version(manifest["version"], files, manifest["version"] if manifest["rewrite"] else manifest.get("rewritten", self.rewritten),
+                       {**self.batches, **manifest["batches"]})
+
+
+class CommitTable(ManifestLog):
     def version(self, number: int | None = None) -> Version:
         """The table's newest version, or an older one: from the last whole list up to it."""
         numbers = [n for n in self._numbers() if number is None or n <= number]

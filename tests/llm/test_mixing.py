@@ -54,3 +54,38 @@ def test_the_plan_is_native(make_docs):
     docs = make_docs([(1, "a b", "en", "s")])
     plan = mixing.mix(docs, {"source": F.col("source")}, mixing.words(F.col("text")))._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_expected_tokens_meet_the_targets_though_probabilities_end_at_one(spark):
+    """Value 'z' asks for more than it has: it gives everything, the others share the rest; every other margin is met within 0.1 %."""
+    cells = [(a, b, (200 if b == "p" else 300) if a != "z" else 5) for a in ("x", "y", "z", None) for b in ("p", "q", "r")]
+    df = spark.createDataFrame(cells, "a string, b string, w long")
+    targets = {"a": spark.createDataFrame([("x", 0.4), ("y", 0.2), ("z", 0.3), (None, 0.1)], "value string, share double"),
+               "b": spark.createDataFrame([("p", 0.3), ("q", 0.3), ("r", 0.4)], "value string, share double")}
+    raked = mixing.rake(df, ["a", "b"], targets, rounds=20, budget=0.4)
+    total = sum(w for *_, w in cells)
+    got = {(r["margin"], r["value"]): r for r in mixing.achieved(raked, ["a", "b"]).collect()}
+    assert len(got) == 7
+    for r in got.values():
+        assert r["goal"] <= r["tokens"] + 1e-9 and abs(r["expected"] / r["goal"] - 1) < 1e-3
+    assert got["a", "z"]["expected"] == 15
+    left = 0.4 * total - 15
+    assert abs(got["a", "x"]["expected"] / left - 4 / 7) < 1e-3 and abs(got["a", None]["expected"] / left - 1 / 7) < 1e-3
+    assert abs(got["b", "r"]["expected"] / (0.4 * total) - 0.4) < 1e-3
+
+
+def test_sampled_margins_of_the_given_documents(spark):
+    """Sampled token shares of the smallest table's documents lie where their goals are, up to the chance of sampling."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.withColumn("_t", mixing.words(F.col("text")))
+    margins = {"source": F.col("source"), "language": F.col("lang"), "topic": mixing.length_class(F.col("_t"))}
+    out = mixing.mix(rows, margins, F.col("_t")).cache()
+    total = out.agg(F.sum("mix_tokens")).head()[0]
+    assert abs(out.agg(F.sum(F.col("mix_tokens") * F.col("mix_probability"))).head()[0] / total - mixing.BUDGET) < 1e-3
+    for name in margins:
+        of = out.groupBy(f"mix_{name}").agg(F.sum("mix_tokens").alias("w"), F.sum(F.col("mix_tokens") * F.col("mix_probability")).alias("e")).collect()
+        shares = {r[0]: r["w"] ** mixing.TEMPER for r in of}
+        short = {r[0] for r in of if r["e"] > 0.9999 * r["w"]}  # these give all they have
+        left = sum(r["e"] for r in of if r[0] not in short)
+        scale = sum(s for v, s in shares.items() if v not in short)
+        assert all(abs(r["e"] / left / (shares[r[0]] / scale) - 1) < 0.01 for r in of if r[0] not in short)

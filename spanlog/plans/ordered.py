@@ -1,4 +1,4 @@
-"""Sequential scans (lag, last-non-null, running sum) that do not put a hot key in one task.
+"""Sequential scans (lag, last-non-null, running sum and minimum) that do not put a hot key in one task.
 
 A ``Window.partitionBy(key).orderBy(t)`` sends every row of a key to one task.
 When one key may hold a third of the rows, that task is the whole job.  The
@@ -45,15 +45,15 @@ def _key_struct(keys: list[str]) -> Column:
 
 
 def keyed_scan(df: DataFrame, keys: list[str], order: list[str], *,
-               lag: list[str] = (), ffill: list[str] = (), cumsum: list[str] = (),
+               lag: list[str] = (), ffill: list[str] = (), cumsum: list[str] = (), cummin: list[str] = (),
                partitions: int | None = None, keep_ranges: bool = False) -> DataFrame:
-    """Add ``lag_<c>``, ``ffill_<c>`` (last non-null at or before the row) and
-    ``cumsum_<c>`` (inclusive running sum) within each key in ``order``.
+    """Add ``lag_<c>``, ``ffill_<c>`` (last non-null at or before the row), ``cumsum_<c>`` and
+    ``cummin_<c>`` (inclusive running sum and minimum) within each key in ``order``.
 
     ``keys + order`` must be a total order of the rows.  With ``keep_ranges`` the result
     keeps its ranges (column ``_pid``), and a second scan of it by the same keys and order
     needs no new ranges, checkpoint or exchange.  Column names starting with
-    ``_k``, ``_pid``, ``_first``, ``_lag_``, ``_ff_``, ``_cf_``, ``_krun_``, ``_cs_`` and ``_cprev``
+    ``_k``, ``_pid``, ``_first``, ``_lag_``, ``_ff_``, ``_cf_``, ``_krun_``, ``_kmin_``, ``_cs_``, ``_cm_`` and ``_cprev``
     are used internally.
     """
     clash = {"_k", "_first", "_fk", "_cprev"} & set(df.columns)
@@ -72,22 +72,25 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], *,
         last = F.last(F.when(F.col(c).isNotNull(), F.struct(F.col("_k").alias("k"), F.col(c).alias("v"))),
                       ignorenulls=True).over(wrun)
         r = r.withColumn(f"_ff_{c}", last)
-    if cumsum:
+    if cumsum or cummin:
         wk = Window.partitionBy(_PID, "_k").orderBy(*_cols(list(order))) \
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         for c in cumsum:
             r = r.withColumn(f"_krun_{c}", F.sum(F.col(c)).over(wk))
+        for c in cummin:
+            r = r.withColumn(f"_kmin_{c}", F.min(F.col(c)).over(wk))
 
     # one row per partition: first key, last key, and the state at its end
     tail_fields = [F.col("_k").alias("lk")]
     tail_fields += [F.col(c).alias(f"lv_{c}") for c in lag]
     tail_fields += [F.col(f"_ff_{c}").alias(f"lf_{c}") for c in ffill]
     tail_fields += [F.col(f"_krun_{c}").alias(f"ls_{c}") for c in cumsum]
+    tail_fields += [F.col(f"_kmin_{c}").alias(f"lm_{c}") for c in cummin]
     ordkey = F.struct(*_cols(list(keys) + list(order)))
     tails = r.groupBy(_PID).agg(
         F.min_by(F.col("_k"), ordkey).alias("fk"),
         F.max_by(F.struct(*tail_fields), ordkey).alias("t"))
-    carry = _carry(tails, lag, ffill, cumsum)
+    carry = _carry(tails, lag, ffill, cumsum, cummin)
     r = r.join(F.broadcast(carry), _PID, "left")
 
     out = r
@@ -102,15 +105,18 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], *,
     for c in cumsum:
         out = out.withColumn(f"cumsum_{c}", F.col(f"_krun_{c}") + F.when(
             F.col("_k") == F.col("_fk"), F.coalesce(F.col(f"_cs_{c}"), F.lit(0))).otherwise(F.lit(0)))
+    for c in cummin:
+        out = out.withColumn(f"cummin_{c}", F.least(F.col(f"_kmin_{c}"), F.when(F.col("_k") == F.col("_fk"), F.col(f"_cm_{c}"))))
     internal = {_PID, "_k", "_first", "_fk", "_cprev"}
     internal |= {f"_lag_{c}" for c in lag} | {f"_ff_{c}" for c in ffill} | {f"_cf_{c}" for c in ffill}
     internal |= {f"_krun_{c}" for c in cumsum} | {f"_cs_{c}" for c in cumsum}
+    internal |= {f"_kmin_{c}" for c in cummin} | {f"_cm_{c}" for c in cummin}
     if keep_ranges:
         internal.discard(_PID)
     return out.drop(*[x for x in out.columns if x in internal])
 
 
-def _carry(tails: DataFrame, lag, ffill, cumsum) -> DataFrame:
+def _carry(tails: DataFrame, lag, ffill, cumsum, cummin=()) -> DataFrame:
     """State entering each partition, from the one-row-per-partition summary.
 
     Partitions whose last key is k form a contiguous block (keys are sorted),
@@ -122,22 +128,27 @@ def _carry(tails: DataFrame, lag, ffill, cumsum) -> DataFrame:
     t = tails.select(_PID, F.col("fk").alias("_fk"), F.col("t.lk").alias("_lk"),
                      *[F.col(f"t.lv_{c}").alias(f"_lv_{c}") for c in lag],
                      *[F.col(f"t.lf_{c}").alias(f"_lf_{c}") for c in ffill],
-                     *[F.col(f"t.ls_{c}").alias(f"_ls_{c}") for c in cumsum])
+                     *[F.col(f"t.ls_{c}").alias(f"_ls_{c}") for c in cumsum],
+                     *[F.col(f"t.lm_{c}").alias(f"_lm_{c}") for c in cummin])
     block = Window.partitionBy("_lk").orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for c in ffill:
         own = F.when(F.col(f"_lf_{c}").isNotNull() & (F.col(f"_lf_{c}.k") == F.col("_lk")), F.col(f"_lf_{c}.v"))
         t = t.withColumn(f"_bf_{c}", F.last(own, ignorenulls=True).over(block))
     for c in cumsum:
         t = t.withColumn(f"_bs_{c}", F.sum(F.col(f"_ls_{c}")).over(block))
+    for c in cummin:
+        t = t.withColumn(f"_bm_{c}", F.min(F.col(f"_lm_{c}")).over(block))
     prev = F.lag(F.struct(F.col("_lk").alias("k"),
                           *[F.col(f"_lv_{c}").alias(f"v_{c}") for c in lag],
                           *[F.col(f"_bf_{c}").alias(f"f_{c}") for c in ffill],
-                          *[F.col(f"_bs_{c}").alias(f"s_{c}") for c in cumsum])).over(Window.orderBy(_PID))
+                          *[F.col(f"_bs_{c}").alias(f"s_{c}") for c in cumsum],
+                          *[F.col(f"_bm_{c}").alias(f"m_{c}") for c in cummin])).over(Window.orderBy(_PID))
     t = t.withColumn("_cprev", prev)
     same = F.col("_cprev.k") == F.col("_fk")
     return t.select(_PID, "_fk", "_cprev",
                     *[F.when(same, F.col(f"_cprev.f_{c}")).alias(f"_cf_{c}") for c in ffill],
-                    *[F.when(same, F.col(f"_cprev.s_{c}")).alias(f"_cs_{c}") for c in cumsum])
+                    *[F.when(same, F.col(f"_cprev.s_{c}")).alias(f"_cs_{c}") for c in cumsum],
+                    *[F.when(same, F.col(f"_cprev.m_{c}")).alias(f"_cm_{c}") for c in cummin])
 
 
 def global_exclusive_cumsum(df: DataFrame, order: list[str], col: str, out: str,

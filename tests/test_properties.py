@@ -333,3 +333,21 @@ def test_overlaps_match_brute_force(spark):
         if cands:
             want[a[0]] = min(cands)
     assert got == want
+
+
+def test_overlaps_of_a_path_with_many_inverted_versions(spark):
+    """30,000 inverted versions of one path (900 million pairs with its versions): the scan gives the answer of a sorted walk."""
+    n = 30_000
+    rows = [(i, i, "f", "./", "hot", 1_700_000_000 + (i * 7919) % 400_000, 1_700_000_000 + (i * 7919) % 400_000 + (-(i % 500) - 1 if i % 10 else 60)) for i in range(n)]
+    h = spark.createDataFrame(rows, "row_id long, inode long, type string, dirname string, filename string, c long, d long").select(
+        "row_id", "inode", "type", "dirname", "filename", F.timestamp_seconds("c").alias("created"), F.timestamp_seconds("d").alias("deleted"))
+    got = {r[0]: r[1] for r in H.check_overlaps(h).select("row_id", F.unix_timestamp("next_created")).collect()}
+    order = sorted(rows, key=lambda r: -min(r[5], r[6]))
+    want, at, least = {}, 0, None
+    for r in sorted(rows, key=lambda r: -r[5]):
+        while at < n and min(order[at][5], order[at][6]) > r[5]:
+            least = order[at][5] if least is None else min(least, order[at][5])
+            at += 1
+        if least is not None and least < r[6]:
+            want[r[0]] = least
+    assert got == want and len(want) > 500

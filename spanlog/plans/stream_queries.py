@@ -44,6 +44,12 @@ def q_debounce_as_written(spark, sf):
     return L.debounce(read_table(spark, sf, "events"), "user_id", "ts", GAP, GAP)
 
 
+@register("debounce_jumps", _debounce_sql(GAP, MAX))
+def q_debounce_jumps(spark, sf):
+    """L1 by pointers to the next batch in place of a walk."""
+    return L.debounce_by_jumps(read_table(spark, sf, "events"), "user_id", "ts", GAP, MAX)
+
+
 @register("session_windows", f"""
 SELECT k AS key, min(ts) AS session_start, max(ts) + INTERVAL {GAP} SECOND AS session_end, count(*) AS n_events
 FROM (SELECT *, sum(CASE WHEN p IS NULL OR ts - p >= INTERVAL {GAP} SECOND THEN 1 ELSE 0 END)

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.ordered import keyed_scan
+from ..plans.pointers import reached
+from ..session import reliable_checkpoint
 
 BATCH_SCHEMA = "key long, batch_start timestamp, fire_at timestamp, n_events long"
 RUN_SCHEMA = "key long, batch_start timestamp, fire_at timestamp, run_start timestamp, n_events long"
@@ -108,6 +110,39 @@ def debounce(df: DataFrame, key: str, ts: str, gap_s: int, max_s: int, tie: str
     return out
 
 
+def debounce_by_jumps(df: DataFrame, key: str, ts: str, gap_s: int, max_s: int) -> DataFrame:
+    """L1 (and L2) without a fold: equal to ``debounce``, for keys with sessions that never end.
+
+    A batch that starts at a time is the same whatever came before, so its fire time, and with it the start of the batch after it,
+    is found for every time at once by ordered scans; a silence of ``gap`` starts a batch in any case. The starts that come about
+    are those reached from these (``pointers.reached``), so one endless session is worked on by all tasks. Events without a
+    key or time belong to no batch."""
+    gap, thr = gap_s * 1_000_000, (max_s - gap_s) * 1_000_000
+    times = (df.select(F.col(key).cast("long").alias("key"), F.unix_micros(F.col(ts)).alias("t"))
+             .where("key IS NOT NULL AND t IS NOT NULL").groupBy("key", "t").agg(F.count("*").alias("n")))
+    x = keyed_scan(times, ["key"], ["t"], lag=["t"], keep_ranges=True)
+    quiet = F.col("lag_t").isNull() | (F.col("t") - F.col("lag_t") >= gap)
+    x = keyed_scan(x.withColumn("_run", F.when(quiet, F.col("t"))).drop("lag_t"), ["key"], ["t"], ffill=["_run"])
+    x = reliable_checkpoint(x.select("key", "t", "n", F.col("ffill__run").alias("run")))  # a run has no silence of gap within
+    none = F.lit(None).cast("long")
+    # the last time that postpones: the last one of the run before t + thr, or t itself
+    asks = x.select("key", "run", (F.col("t") + thr).alias("at"), F.lit(0).alias("side"), F.col("t").alias("start"), none.alias("seen"))
+    seen = x.select("key", "run", F.col("t").alias("at"), F.lit(1).alias("side"), F.col("t").alias("start"), F.col("t").alias("seen"))
+    last = keyed_scan(asks.unionByName(seen), ["key", "run"], ["at", "side", "start"], ffill=["seen"]).where("side = 0")
+    fires = last.select("key", "run", "start", (F.greatest("start", "ffill_seen") + gap).alias("fire"))
+    fires = reliable_checkpoint(fires)
+    # the start after it: the first time of the run at or after the fire time (beyond the run a new run starts one)
+    asks = fires.select("key", "run", (-F.col("fire")).alias("at"), F.lit(1).alias("side"), "start", none.alias("seen"))
+    seen = x.select("key", "run", (-F.col("t")).alias("at"), F.lit(0).alias("side"), F.col("t").alias("start"), F.col("t").alias("seen"))
+    links = keyed_scan(asks.unionByName(seen), ["key", "run"], ["at", "side", "start"], ffill=["seen"]).where("side = 1 AND ffill_seen IS NOT NULL")
+    heads = x.where("t = run").select("key", F.col("t").alias("start"))
+    starts = reached(heads, links.select("key", "start", F.col("ffill_seen").alias("to")), ["key"], "start", "to")
+    marked = x.join(starts.select("key", F.col("start").alias("t"), F.col("start").alias("batch")), ["key", "t"], "left")
+    sizes = keyed_scan(marked, ["key"], ["t"], ffill=["batch"]).groupBy("key", F.col("ffill_batch").alias("start")).agg(F.sum("n").alias("n_events"))
+    return sizes.join(fires.select("key", "start", "fire"), ["key", "start"]).select(
+        "key", F.timestamp_micros("start").alias("batch_start"), F.timestamp_micros("fire").alias("fire_at"), "n_events")
+
+
 def session_windows(df: DataFrame, key: str, ts: str, gap_s: int, tie: str = "event_id") -> DataFrame:
     """L3: the limit case max = infinity: sessions (start, last event + gap, count).
 

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from ..functions.classes import freq_class
 from ..functions.paths import full_path
 from ..plans.ordered import keyed_scan
+from ..plans.pointers import reached
 from ..model import KEY, ROW4, closed_versions, history_columns, open_ts, open_versions, row_id_of, ts
+from ..session import reliable_checkpoint
 
 
 def scope_prefix(df: DataFrame, directory: str | None) -> DataFrame:
@@ -144,21 +146,35 @@ def _one_per_path(s: DataFrame) -> DataFrame:
     """Listing rows (t, idx, ROW4) with one version per path and time, chosen as B6 and B9 do.
 
     A repeated row counts once. Of different rows of a path at one time the version open since the time before stays, or
-    else the smallest (inode, type) is taken. Only paths with such a clash are folded over their times (an array of at most
-    one entry per snapshot); all others pass through."""
+    else the smallest (inode, type) is taken. Only paths with such a clash need a choice (``_chosen``); all others pass through."""
     g = s.groupBy(*KEY, "idx", "t").agg(F.array_sort(F.collect_set(F.struct("inode", "type"))).alias("_v"))
+    g = reliable_checkpoint(g)  # read three times
     clash = g.filter(F.size("_v") > 1).select(*KEY).distinct()
     one = g.join(clash, KEY, "left_anti").select("t", "idx", *KEY, F.col("_v")[0].alias("_c"))
-    lists = g.join(clash, KEY, "left_semi").groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("idx", "t", "_v"))).alias("_l"))
-
-    def step(done, at):
-        last = F.try_element_at(done, F.lit(-1))
-        stays = (last["idx"] == at["idx"] - 1) & F.array_contains(at["_v"], last["_c"])
-        return F.concat(done, F.array(F.struct(at["idx"].alias("idx"), at["t"].alias("t"), F.when(stays, last["_c"]).otherwise(at["_v"][0]).alias("_c"))))
-
-    empty = F.array().cast("array<struct<idx:bigint,t:timestamp,_c:struct<inode:bigint,type:string>>>")
-    many = lists.select(*KEY, F.explode(F.aggregate("_l", empty, step)).alias("_x")).select("_x.t", "_x.idx", *KEY, "_x._c")
-    return one.unionByName(many).select("t", "idx", F.col("_c.inode").alias("inode"), F.col("_c.type").alias("type"), *KEY)
+    many = reliable_checkpoint(g.join(clash, KEY, "left_semi"))
+    if not many.isEmpty():
+        one = one.unionByName(_chosen(many))
+    return one.select("t", "idx", F.col("_c.inode").alias("inode"), F.col("_c.type").alias("type"), *KEY)
+
+
+def _chosen(g: DataFrame) -> DataFrame:
+    """One version per path and time of listings (KEY, idx, t, _v: the versions listed), whatever their number of times.
+
+    A version taken at a time stays as long as the listings after it go on holding it; at the first one that does not, the
+    smallest is taken anew. So each time has one successor at which the choice is made again, if it is made there at all, and the
+    times at which it is are reached from those with no listing of the path just before (``pointers.reached``)."""
+    listed = keyed_scan(g, KEY, ["idx"], lag=["idx"])
+    heads = listed.where(F.col("lag_idx").isNull() | (F.col("lag_idx") != F.col("idx") - 1)).select(*KEY, "idx")
+    # the end of every version's stretch of consecutive listings, carried back to its times
+    x = g.select(*KEY, "idx", (-F.col("idx")).alias("_back"), F.posexplode("_v").alias("_pos", "_c"))
+    x = keyed_scan(x, [*KEY, "_c"], ["_back"], lag=["idx"], keep_ranges=True)
+    last = F.col("lag_idx").isNull() | (F.col("lag_idx") != F.col("idx") + 1)
+    x = keyed_scan(x.withColumn("_end", F.when(last, F.col("idx"))).drop("lag_idx"), [*KEY, "_c"], ["_back"], ffill=["_end"])
+    links = x.where("_pos = 0").select(*KEY, "idx", (F.col("ffill__end") + 1).alias("_to"))
+    links = links.join(g.select(*KEY, F.col("idx").alias("_to")), [*KEY, "_to"])
+    anew = reached(heads, links, KEY, "idx", "_to").withColumn("_anew", F.lit(True))
+    taken = g.join(anew, [*KEY, "idx"], "left").withColumn("_c", F.when(F.col("_anew"), F.col("_v")[0])).drop("_anew", "_v")
+    return keyed_scan(taken, KEY, ["idx"], ffill=["_c"]).select("t", "idx", *KEY, F.col("ffill__c").alias("_c"))
 
 
 def series_to_history(snaps: DataFrame, times: DataFrame, max_freq: int = 8640) -> DataFrame:

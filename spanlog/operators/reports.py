@@ -9,6 +9,7 @@ from ..functions.classes import SECONDS_PER_MONTH, int_div
 from ..functions.paths import root_of
 from ..functions.times import days_between, epoch
 from ..model import ts
+from ..plans.ordered import keyed_scan
 
 
 def count_versions(h: DataFrame) -> DataFrame:
@@ -110,6 +111,18 @@ def protection_coverage(eligible: DataFrame, manifest: DataFrame) -> DataFrame:
     return g.withColumn("pct", int_div(F.col("secured") * 100, F.nullif(F.col("total"), F.lit(0))))
 
 
+def protection_progress(eligible: DataFrame, manifest: DataFrame, every: int = 100) -> DataFrame:
+    """E11 while it runs: after each ``every`` versions, by path, how many were looked at (``checked``) and how many of them are secured.
+
+    The counts are running sums over ranges of the order, so no task walks through all versions."""
+    m = manifest.select("dirname", "filename", "created").distinct().withColumn("_secured", F.lit(1).cast("long"))
+    j = eligible.select("dirname", "filename", "created", "row_id", "inode").join(m, ["dirname", "filename", "created"], "left")
+    j = j.withColumn("_secured", F.coalesce("_secured", F.lit(0).cast("long"))).withColumn("_one", F.lit(1).cast("long"))
+    s = keyed_scan(j, [], ["dirname", "filename", "created", "row_id", "inode"], cumsum=["_one", "_secured"])
+    return s.filter(F.col("cumsum__one") % every == 0).select(
+        F.col("cumsum__one").alias("checked"), F.col("cumsum__secured").alias("secured"))
+
+
 def dedup_counters(d: DataFrame) -> DataFrame:
     """Duplicate rows and groups of a dedup work table."""
     return d.agg(F.count(F.lit(1)).alias("total_dups"),

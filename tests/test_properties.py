@@ -351,3 +351,32 @@ def test_overlaps_of_a_path_with_many_inverted_versions(spark):
         if least is not None and least < r[6]:
             want[r[0]] = least
     assert got == want and len(want) > 500
+
+
+def test_a_path_listed_many_times_twice_is_chosen_without_an_array_of_its_listings(spark):
+    """600 listings that hold a path with up to four versions, some without it: the choice of a walk; no row holds them together."""
+    rnd = random.Random(12)
+    rows, want = [], {}
+    for path in ("hot", "b"):
+        open_one, before = None, -2
+        for i in range(600 if path == "hot" else 40):
+            if rnd.random() < 0.03:
+                continue
+            held = sorted({(rnd.choice([1, 1, 1, 2, 3, 4]), rnd.choice("ffd")) for _ in range(rnd.randrange(1, 5))})
+            open_one = open_one if before == i - 1 and open_one in held else held[0]
+            before, want[(path, i)] = i, open_one
+            rows += [(i, *v, "./", path) for v in held for _ in range(rnd.randrange(1, 3))]
+    s = spark.createDataFrame(rows, "idx long, inode long, type string, dirname string, filename string").withColumn("t", F.timestamp_seconds("idx"))
+    one = B._one_per_path(s)
+    assert {(r.filename, r.idx): (r.inode, r.type) for r in one.collect()} == want and one.count() == len(want)
+
+
+def test_progress_equals_a_count(spark):
+    from spanlog.operators.reports import protection_progress
+    rows = [(i, i, "f", f"./d{i % 3}/", f"n{i:04d}", "2024-01-01 00:00:00", "2024-02-01 00:00:00") for i in range(730)]
+    h = hist_rows(spark, rows)
+    secured = h.where(F.pmod("row_id", F.lit(4)) == 1)
+    got = sorted(map(tuple, protection_progress(h, secured.unionByName(secured)).collect()))
+    order = sorted(rows, key=lambda r: (r[3], r[4]))
+    assert got == [(n, sum(r[0] % 4 == 1 for r in order[:n])) for n in range(100, 731, 100)]
+    assert protection_progress(h.limit(0), secured).count() == 0

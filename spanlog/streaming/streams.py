@@ -25,7 +25,6 @@ from ..model import KEY, ROW4, closed_versions, history_columns, open_versions
 from ..operators.history import series_to_history
 from ..session import reliable_checkpoint, scratch_path
 from ..sources.commits import CommitTable, split_changes
-from .debounce import pending_end
 
 EVENT_SCHEMA = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 
@@ -253,57 +252,69 @@ class StreamResult:
 
 
 DEBOUNCE_OUT = "key long, batch_start timestamp, fire_at timestamp, n_events long"
-DEBOUNCE_STATE = "t0 long, fire long, n long"
+DEBOUNCE_STATE = "pending binary"  # rows of (key is null, key, batch start, fire time, size), 64-bit integers
+DEBOUNCE_BUCKETS = 256
 
 
 def _debounce_state(gap_us: int, thr_us: int):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state):
+    def fn(bucket, pdfs: Iterator[pd.DataFrame], state):
+        held = np.frombuffer(state.get[0], np.int64).reshape(-1, 5).tolist() if state.exists else []
+        pending = {(none, key): (t0, fire, n) for none, key, t0, fire, n in held}
         out = []
-        cur = tuple(state.get) if state.exists else None  # t0, fire, n
-        if state.hasTimedOut:
-            out.append(cur)
-            cur = None
-        else:
-            ts = np.sort(pd.concat([p["t"] for p in pdfs]).to_numpy(np.int64))
-            quiet = np.nonzero(np.diff(ts) >= gap_us)[0] + 1
-            at = 0
-            while at < len(ts):
-                start = at
-                if cur is None:
-                    cur, start = (int(ts[at]), int(ts[at]) + gap_us, 1), at + 1
-                at, fire = pending_end(ts, start, quiet, cur[0], cur[1], gap_us, thr_us)
-                cur = (cur[0], fire, cur[2] + at - start)
-                if at < len(ts):
-                    out.append(cur)
-                    cur = None
-        if cur is None:
+        if not state.hasTimedOut:
+            x = pd.concat(list(pdfs), ignore_index=True)
+            order = np.lexsort((x["t"], x["key"], x["none"]))
+            last = None
+            for none, key, t in zip(*(x[c].to_numpy(np.int64)[order].tolist() for c in ("none", "key", "t")), strict=True):
+                if (none, key) != last:
+                    if last is not None:
+                        pending[last] = (t0, fire, n)
+                    last = (none, key)
+                    t0, fire, n = pending.get(last, (t, t + gap_us, 0))
+                if n and t >= fire:
+                    out.append((none, key, t0, fire, n))
+                    t0, fire, n = t, t + gap_us, 1
+                else:
+                    n += 1
+                    if t - t0 < thr_us:
+                        fire = t + gap_us
+            if last is not None:
+                pending[last] = (t0, fire, n)
+        # a batch fires once the watermark (an event at or after the fire time) has passed it
+        now = state.getCurrentWatermarkMs()
+        rows = np.array([(*k, *v) for k, v in pending.items()], np.int64).reshape(-1, 5)
+        due = -(-rows[:, 3] // 1000)
+        out = np.concatenate([np.array(out, np.int64).reshape(-1, 5), rows[due < now]])
+        if (due < now).all():
             state.remove()
         else:
-            state.update(cur)
-            # fires once the watermark (an event at or after the fire time) has passed it
-            state.setTimeoutTimestamp(-(-cur[1] // 1000))
-        if out:
-            yield pd.DataFrame({"key": pd.array([key[0]] * len(out), dtype="Int64"),
-                                "batch_start": pd.to_datetime([o[0] for o in out], unit="us"),
-                                "fire_at": pd.to_datetime([o[1] for o in out], unit="us"),
-                                "n_events": [int(o[2]) for o in out]})
+            state.update((rows[due >= now].tobytes(),))
+            state.setTimeoutTimestamp(int(due[due >= now].min()))
+        if len(out):
+            yield pd.DataFrame({"key": pd.arrays.IntegerArray(out[:, 1].copy(), out[:, 0] == 1),
+                                "batch_start": pd.to_datetime(out[:, 2], unit="us"),
+                                "fire_at": pd.to_datetime(out[:, 3], unit="us"),
+                                "n_events": out[:, 4]})
     return fn
 
 
 def debounce_stream(stream: DataFrame, spark: SparkSession, key: str, ts: str, gap_s: int, max_s: int, delay: str,
-                    table: str | None = None, checkpoint: str | None = None) -> StreamResult:
-    """L1/L2 on a stream: per-key state (batch start, fire time, size) with event-time timeouts.
+                    table: str | None = None, checkpoint: str | None = None, buckets: int = DEBOUNCE_BUCKETS) -> StreamResult:
+    """L1/L2 on a stream: each key's pending batch (start, fire time, size) as state, with event-time timeouts.
 
     A batch is emitted when a later event of its key arrives at or after its fire
     time, or when the watermark passes the fire time; a batch still pending when
     the input ends is not emitted (as the reference loses it).  Within a batch rows may
     come in any order; from batch to batch they must be in time order per key.  Rows that
     lie more than ``delay`` before the newest one seen are dropped and counted; rows without a time are left out, a null key
-    is a key. Two binary searches per batch settle it, whatever its size.
+    is a key. Keys are dealt into ``buckets``: Python is called and state is read once per bucket and trigger, not once per key. One
+    bucket's rows of one trigger meet in one task; the number stays as it was when the stream started first.
     """
     out = table or scratch_path(spark, "debounce")
-    x = stream.select(F.col(key).cast("long").alias("key"), F.col(ts).alias("ts"), F.unix_micros(F.col(ts)).alias("t")).where("ts IS NOT NULL")
-    s = (x.withWatermark("ts", delay).groupBy("key")
+    k = F.col(key).cast("long")
+    x = stream.select(F.pmod(F.xxhash64(k), F.lit(buckets)).alias("bucket"), k.isNull().cast("long").alias("none"),
+                      F.coalesce(k, F.lit(0)).alias("key"), F.col(ts).alias("ts"), F.unix_micros(F.col(ts)).alias("t")).where("ts IS NOT NULL")
+    s = (x.withWatermark("ts", delay).groupBy("bucket")
          .applyInPandasWithState(_debounce_state(gap_s * 1_000_000, (max_s - gap_s) * 1_000_000),
                                  DEBOUNCE_OUT, DEBOUNCE_STATE, "append", GroupStateTimeout.EventTimeTimeout))
 

@@ -1,5 +1,7 @@
 """Stream forms against their batch forms: any arrival order, late rows, going on after a stop (smallest data set)."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -7,6 +9,7 @@ from spanlog.model import empty_history, read_table
 from spanlog.operators.history import apply_snapshot
 from spanlog.operators.retention import calendar_throttle
 from spanlog.streaming import streams as St
+from spanlog.streaming.debounce import debounce_loop
 
 
 def _events(spark):
@@ -123,3 +126,20 @@ def test_debounce_stream_takes_null_keys_and_times(spark, tmp_path):
     got = St.debounce_stream(St.stream_in_time_order(df, "ts", files=1), spark, "k", "ts", 60, 120, delay="0 seconds").rows.collect()
     assert sorted((r["key"] or 0, str(r["batch_start"])[11:], str(r["fire_at"])[11:], r["n_events"]) for r in got) == [
         (0, "00:00:00", "00:01:30", 2), (4, "00:10:00", "00:11:00", 1)]
+
+
+def test_debounce_stream_keeps_one_state_entry_per_bucket(spark, tmp_path):
+    """Many keys share a bucket: same batches as the plain loop, each fired by its own time; state and calls go by bucket, not by key."""
+    rng = random.Random(5)
+    rows = sorted({(rng.choice([None, *range(-20, 20)]), rng.randrange(3000)) for _ in range(900)}, key=str)
+    df = spark.createDataFrame([(k, 1_700_000_000 + t) for k, t in rows], "k long, s long").select("k", F.timestamp_seconds("s").alias("ts"))
+    for gap, most in ((40, 40), (40, 130)):
+        out = St.debounce_stream(St.stream_in_time_order(df, "ts", spans=3, files=2), spark, "k", "ts", gap, most, delay="0 seconds",
+                                 checkpoint=f"{tmp_path}/{most}", buckets=3)
+        got = out.rows.select("key", F.unix_micros("batch_start").alias("a"), F.unix_micros("fire_at").alias("b"), "n_events").collect()
+        loop = debounce_loop(sorted((99 if k is None else k, (1_700_000_000 + t) * 1_000_000) for k, t in rows), gap * 1_000_000, most * 1_000_000)
+        end = (1_700_000_000 + max(t for _, t in rows)) * 1_000_000
+        want = [(None if k == 99 else k, a, b, n) for k, a, b, n in loop if b < end]
+        assert sorted(map(tuple, got), key=str) == sorted(want, key=str) and out.late_rows == 0
+        held = spark.read.format("statestore").load(f"{tmp_path}/{most}").count()
+        assert held <= 3 < len(loop) - len(want)

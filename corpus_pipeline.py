@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlog.llm import langid, mixing, pieces, secrets, simhash
-from spanlog.llm.common import held_out, stored, table
+from spanlog.llm.common import held_out, sieved, stored, table
 
 #: The stages cannot be said in SQL: language models, XXH64 fingerprints and piece lattices are tested by brute force.
 ORACLE_SQL = None
@@ -59,11 +59,12 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Replaces every secret that is not a widely copied example; keeps every document. ``n_chars`` follows the new text."""
     key = F.xxhash64("doc_id", "text")  # a row's own spans, whatever ids repeat
     found = secrets.scan(docs.withColumn("_key", key), id_col="_key").where(F.size("spans") > 0).dropDuplicates(["doc_id"])
-    found = found.select(F.col("doc_id").alias("_key"), F.filter("spans", lambda s: s["verdict"] != "example").alias("_spans"))
+    found = stored(found.select(F.col("doc_id").alias("_key"), F.filter("spans", lambda s: s["verdict"] != "example").alias("_spans")), "secrets-found")
+    rest, asked = sieved(docs.withColumn("_key", key), found, "_key")  # only texts that may hold a secret meet the spans
     text = F.when(F.size("_spans") > 0, secrets.redact(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
-    out = docs.withColumn("_key", key).join(found, "_key", "left").withColumn("_text", text)
+    out = asked.join(found, "_key", "left").withColumn("_text", text)
     size = F.when(F.size("_spans") > 0, F.length("_text").cast("long")).otherwise(F.col("n_chars"))
-    return out.withColumns({"text": F.col("_text"), "n_chars": size}).select(*docs.columns)
+    return rest.select(*docs.columns).unionByName(out.withColumns({"text": F.col("_text"), "n_chars": size}).select(*docs.columns))
 
 
 @own_names

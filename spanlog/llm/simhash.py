@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_slices
+from .common import sieved, stored, text_slices
 from .graph import connected_components
 
 SHINGLE = 3
@@ -200,8 +200,8 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     text (null first); of rows that are equal in both any one, and of any number of them only one.
 
     Rows are told apart by an MD5 of id and text (``_key``; ids may be null or shared by different texts), so texts are neither
-    copied nor shuffled: the table is read once for fingerprints and once to leave out the keys that were not chosen. Texts are
-    compared only where rows of one class share the smallest id, and only those rows are shuffled; likewise rows that repeat.
+    copied: the table is read once for fingerprints and twice to leave out the keys that were not chosen. Texts are shuffled where a
+    sieve of these keys lets a row through, which is about those that go, and are compared only where rows of one class share the smallest id.
     """
     marked = _keyed_rows(df, id_col, text_col)
     src = marked.select("_key", F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -222,11 +222,12 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     chosen = of.join(best, "root")
     # what goes, not what stays, is looked up: copies and near copies are the smaller part
     gone = stored(chosen.where(F.col("_key") != F.col("_best")).select("_key"), "simhash-gone")
-    left = marked.join(gone, "_key", "left_anti")
     again = stored(chosen.where((F.col("_key") == F.col("_best")) & (F.col("n") > 1)).select("_key"), "simhash-again")
+    left, asked = sieved(marked, gone.unionByName(again), "_key")
+    asked = asked.join(gone, "_key", "left_anti").select(*marked.columns)
     if not again.isEmpty():
-        left = left.join(again, "_key", "left_anti").unionByName(left.join(again, "_key", "left_semi").dropDuplicates(["_key"]))
-    return left.drop("_key")
+        asked = asked.join(again, "_key", "left_anti").unionByName(asked.join(again, "_key", "left_semi").dropDuplicates(["_key"]))
+    return left.unionByName(asked).drop("_key")
 
 
 def _keyed_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -88,3 +88,37 @@ def test_components_of_a_long_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(100, 130)] + [(7, 7), (None, 3)] + [(1000, i) for i in range(1001, 1060)]
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(path, "a long, b long")).collect()}
     assert got == {i: 100 for i in range(100, 131)} | {i: 1000 for i in range(1000, 1060)}
+
+
+def test_a_sieve_parts_rows_exactly_without_a_shuffle_of_them(spark):
+    from pyspark.sql import functions as F
+    from spanlog.llm.common import sieved
+    df = spark.range(3000).select(F.when(F.col("id") % 7 > 0, F.col("id").cast("string").cast("binary")).alias("_key"), F.col("id").alias("text"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the keys were many
+    try:
+        for keys, bits in ((df.where("text % 100 = 3").select("_key"), 22), (df.where("text < 70").select("_key"), 8),
+                           (df.limit(0).select("_key"), 22)):
+            rest, asked = sieved(df, keys, "_key", bits)
+            wanted = {None if r[0] is None else bytes(r[0]) for r in keys.collect()}
+            a, b = ([(None if k is None else bytes(k), t) for k, t in x.collect()] for x in (rest, asked))
+            assert sorted(t for _, t in a + b) == list(range(3000)) and not wanted & {k for k, _ in a}
+            assert wanted <= {k for k, _ in b} and (bits < 22 or sum(k not in wanted for k, _ in b) <= 20)
+            plan = rest._jdf.queryExecution().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_keep_one_shuffles_no_text_that_stays(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(400).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[F.sha2((F.col("id") % 390 * 8 + i).cast("string"), 256) for i in range(8)]).alias("text"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = simhash.keep_one(df)
+        assert sorted(r["doc_id"] for r in out.collect()) == list(range(390))
+        staying = out._jdf.queryExecution().sparkPlan().children().head().toString()
+        assert "BroadcastHashJoin" in staying and "SortMergeJoin" not in staying
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlog.llm import langid, mixing, pieces, secrets, simhash
-from spanlog.llm.common import held_out, sieved, stored, table
+from spanlog.llm.common import held_out, short_batches, sieved, stored, table
 
 #: The stages cannot be said in SQL: language models, XXH64 fingerprints and piece lattices are tested by brute force.
 ORACLE_SQL = None
@@ -34,6 +34,7 @@ def own_names(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Cal
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         gc.collect()
         spark._jvm.System.gc()
+        short_batches(spark)  # a stage may be called with a table that this package did not read
         safe = [c if c in COLUMNS else f"_other{i}" for i, c in enumerate(docs.columns)]
         back = dict(zip(safe, docs.columns, strict=True))
         out = stage(spark, docs.toDF(*safe), sf_dir)

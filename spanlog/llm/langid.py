@@ -36,7 +36,7 @@ REJECT_SDS = 8.0
 REJECT_CHARS = 20
 TEMPERATURES = (0.5, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)
 UNKNOWN = "und"
-SLICE = 1 << 20  # bytes of text at a time: arrays of 8 bytes a character are made of it
+SLICE = 1 << 19  # bytes of text at a time: arrays of 8 bytes a character are made of it
 BLOCK = 16 << 20  # bytes of text that look up their n-grams together
 MAX_BUCKETS = 50_000  # tasks that score; more blocks than these share tasks, one block at a time
 _SPACE, _END = 32, 1

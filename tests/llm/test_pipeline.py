@@ -1,15 +1,17 @@
 import os
 import sys
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 import corpus_pipeline as pipeline  # noqa: E402
 from spanlog.llm import langid, pieces  # noqa: E402
+from spanlog.llm.common import BATCHES, table  # noqa: E402
 from test_secrets import brute as brute_secrets  # noqa: E402
 from test_simhash import brute_classes, brute_fingerprint  # noqa: E402
-from llm_fixtures import make_docs  # noqa: E402, F401
+from llm_fixtures import make_docs, make_table  # noqa: E402, F401
 
 SF = "/root/testdata/sf0.001"
 
@@ -72,3 +74,25 @@ def test_language_stage_keeps_clean_documents_of_every_source(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     assert pipeline.language_id(spark, docs, SF).count() == docs.where(F.col("text").rlike(r"\p{L}")).count()
     assert langid.UNKNOWN == "und"
+
+
+def test_workers_get_long_texts_in_batches_of_bounded_size(spark, make_table):
+    long = spark.range(1500).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 1000).alias("text")).coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["rows", "bytes"])
+
+    def largest(df):
+        got = df.mapInArrow(sizes, "rows long, bytes long").collect()
+        assert sum(r["rows"] for r in got) == 1500
+        return max(r["bytes"] for r in got)
+
+    def by_stage():
+        return pipeline.own_names(lambda s, docs, sf_dir: docs)(spark, long, SF)  # as a caller's table reaches a stage
+
+    path = make_table(documents=long)
+    for read in (by_stage, lambda: table(spark, path, "documents")):
+        for k in BATCHES:
+            spark.conf.unset(k)
+        assert largest(read()) < 4 << 20  # all rows, 16 MB, came as one batch

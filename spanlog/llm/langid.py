@@ -169,12 +169,12 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mode
     """Learn from every row with a text and a language; None if there is none."""
     src = df.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     counts = count_grams(src.where("text IS NOT NULL AND lang IS NOT NULL")).groupBy("lang", "g").agg(F.sum("n").alias("n"))
-    top = stored(counts, "langid-grams")
-    tables, cur = [top.withColumn("k", F.lit(ORDER))], top
+    top = stored(counts, "langid-grams", few=True)
+    tables, cur = [], top
     for k in range(ORDER - 1, 0, -1):  # continuation counts: different characters before an n-gram
         cur = cur.groupBy("lang", _hash(k).alias("g")).agg(F.count("*").alias("n"))
         tables.append(cur.withColumn("k", F.lit(k)))
-    every = stored(reduce(DataFrame.unionByName, tables), "langid-orders")
+    every = top.withColumn("k", F.lit(ORDER)).unionByName(stored(reduce(DataFrame.unionByName, tables), "langid-orders", few=True))
     spread = every.groupBy("lang", "k").agg(F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"),
                                             F.sum(F.when(F.col("k") == ORDER, F.col("n")).otherwise(0)).alias("chars")).collect()
     if not spread:  # one row per language and order
@@ -201,7 +201,7 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mode
     grams = (rows.join(totals.select("k", "ctx", "i", "total"), ["k", "ctx", "i"])
              .groupBy("k", "g").agg(F.collect_list(F.struct("i", (mass / F.col("total")).cast("float").alias("s"))).alias("e"))
              .select("k", "g", dense("e", 0.0).alias("share")))
-    grams, contexts = stored(grams, "langid-shares"), stored(contexts, "langid-contexts")
+    grams, contexts = stored(grams, "langid-shares", few=True), stored(contexts, "langid-contexts", few=True)
     return Model(langs, grams.where("k = 1").count() + 1, grams, contexts, sum(r["chars"] for r in spread))
 
 

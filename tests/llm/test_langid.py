@@ -107,6 +107,34 @@ def test_every_ngram_is_in_the_model(make_docs):
     assert np.allclose(model.log_probability(keys), [brute_logs(rows, g) for g in wanted], atol=1e-4)
 
 
+def test_model_tables_are_few_files_however_many_shuffle_partitions(spark, make_docs, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, "".join(rng.choice(list("abcdefghijklmnopqrst"), 2000)), "aa", "s") for i in range(4)]
+    want = langid.train(make_docs(rows))
+    stored, files = langid.stored, {}
+
+    def counted(df, name, **how):
+        out = stored(df, name, **how)
+        files[name] = len(out.inputFiles())
+        return out
+
+    most = 2 * spark.sparkContext.defaultParallelism
+    many = {"spark.sql.shuffle.partitions": str(8 * most), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in many}
+    monkeypatch.setattr(langid, "stored", counted)
+    try:
+        for k, v in many.items():
+            spark.conf.set(k, v)
+        got = langid.train(make_docs(rows))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert set(files) == {"langid-grams", "langid-orders", "langid-shares", "langid-contexts"} and max(files.values()) <= most
+    for name in ("grams", "contexts"):
+        one, other = (sorted(map(tuple, getattr(m, name).collect())) for m in (want, got))
+        assert len(one) == len(other) > 5000 // (1 + (name == "contexts")) and all(a[:2] == b[:2] and np.allclose(a[2], b[2]) for a, b in zip(one, other, strict=True))
+
+
 def test_scores_do_not_depend_on_the_blocks(make_docs, rows):
     docs = make_docs(rows + [(200, None, "aa", "s"), (201, "", "aa", "s")])
     model = langid.train(docs)
